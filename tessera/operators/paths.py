@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.edges import graph_nodes
-from tessera.session import ensure_checkpoint_dir, shuffle_partitions
+from tessera.session import materialize as _materialize
+from tessera.session import shuffle_partitions
 
 DEFAULT_MAX_ROUNDS = 100_000
 
@@ -35,11 +36,6 @@ def _checked_length(length: Column) -> Column:
         F.lit("negative edge length: shortest paths need lengths >= 0"))).otherwise(length)
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _expansion_edges(edges: DataFrame, reverse: bool, weighted: bool) -> DataFrame:
     """``src, dst[, length]`` to expand along, cached partitioned on ``src``."""
     src, dst = ("to_node", "from_node") if reverse else ("from_node", "to_node")

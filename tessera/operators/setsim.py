@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.similarity import (
+    CEIL_EPS,
     check_threshold,
     jaccard,
     length_compatible,
@@ -19,6 +20,7 @@ from tessera.functions.similarity import (
     prefix_length,
 )
 from tessera.operators.grouping import MAX_LIST_ITEMS, collect_bounded
+from tessera.session import materialize
 
 
 def token_frequency(sets: DataFrame) -> DataFrame:
@@ -79,8 +81,11 @@ def prefix_index(sets: DataFrame, t: float, max_items: int = MAX_LIST_ITEMS) ->
 def similarity_candidates(sets: DataFrame, t: float) -> DataFrame:
     """Distinct ``rid_a < rid_b`` pairs that share a prefix token and pass the
     length and positional filters -- a superset of all pairs with Jaccard >= t."""
-    t = check_threshold(t)
-    records = _distinct_tokens(sets)
+    return similarity_candidates_of(_distinct_tokens(sets), check_threshold(t))
+
+
+def similarity_candidates_of(records: DataFrame, t: float) -> DataFrame:
+    """:func:`similarity_candidates` over ``rid, toks, n`` records."""
     prefix = (
         _ranked_tokens(records)
         .where(F.col("pos") <= prefix_length(F.col("n"), t))
@@ -93,24 +98,64 @@ def similarity_candidates(sets: DataFrame, t: float) -> DataFrame:
         & length_compatible(F.col("a.n"), F.col("b.n"), t)
         & position_compatible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), t)
     )
-    return a.join(b, cond).select(
-        F.col("a.rid").alias("rid_a"), F.col("b.rid").alias("rid_b")).distinct()
+    shared = a.join(b, cond).select(
+        F.col("a.rid").alias("rid_a"), F.col("b.rid").alias("rid_b"),
+        F.col("a.n").alias("na"), F.col("b.n").alias("nb"),
+        F.col("a.pos").alias("pa"), F.col("b.pos").alias("pb"))
+    # Per pair: c shared prefix tokens were found, the last at positions
+    # (max pa, max pb). Every shared token before it was found (it lies in both
+    # prefixes), and at most min(na - pa, nb - pb) shared tokens follow it, so
+    # overlap <= c + min(...). The positional filter above only cuts a suffix
+    # of a pair's shared tokens (its bound falls with position), so the bound
+    # stays valid. Lossless; built inside the distinct-pair aggregation.
+    per_pair = shared.groupBy("rid_a", "rid_b").agg(
+        F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"),
+        F.first("na").alias("na"), F.first("nb").alias("nb"))
+    bound = F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    need = (F.col("na") + F.col("nb")) * F.lit(t) - F.lit(CEIL_EPS)
+    return per_pair.where(bound * F.lit(1.0 + t) >= need).select("rid_a", "rid_b")
 
 
 def set_similarity_join(sets: DataFrame, t: float, ordered: bool = True) -> DataFrame:
     """All record pairs with Jaccard similarity >= t: ``rid_a, rid_b, sim``
     with ``rid_a < rid_b``, ordered by ``rid_a, rid_b`` unless ``ordered`` is
-    false. Candidates come from the prefix filter; each is verified exactly
-    against both records' distinct token sets."""
+    false.
+
+    Plan:
+
+    1. The records (distinct tokens, their number, and their 64-bit token
+       hashes) are computed once and checkpointed, partitioned on ``rid``;
+       every later branch reads those files.
+    2. Candidates from the prefix, length and positional filters
+       (:func:`similarity_candidates`).
+    3. Bound: the overlap of the hash arrays (fixed-width, cheap to ship and
+       intersect). A hash clash between two records can only raise it, and
+       clashes inside a record are added back, so it never falls below the
+       true overlap -- pairs under the threshold on the bound are dropped
+       without loss.
+    4. Exact: the surviving pairs are verified on the token strings.
+    """
     t = check_threshold(t)
     records = _distinct_tokens(sets)
-    cand = similarity_candidates(sets, t)
+    records = materialize(records.select(
+        "rid", "toks", "n",
+        F.array_distinct(F.transform("toks", lambda x: F.xxhash64(x))).alias("h"),
+    ).repartition("rid"))
+    cand = similarity_candidates_of(records.select("rid", "toks", "n"), t)
+
+    ha = records.select(F.col("rid").alias("rid_a"), F.col("n").alias("na"), F.col("h").alias("ha"))
+    hb = records.select(F.col("rid").alias("rid_b"), F.col("n").alias("nb"), F.col("h").alias("hb"))
+    upper = (F.size(F.array_intersect("ha", "hb")) + (F.col("na") - F.size("ha"))
+             + (F.col("nb") - F.size("hb")))
+    survivors = (cand.join(ha, "rid_a").join(hb, "rid_b")
+                 .where(jaccard(upper, F.col("na"), F.col("nb")) >= F.lit(t))
+                 .select("rid_a", "rid_b"))
+
     ra = records.select(F.col("rid").alias("rid_a"), F.col("toks").alias("ta"), F.col("n").alias("na"))
     rb = records.select(F.col("rid").alias("rid_b"), F.col("toks").alias("tb"), F.col("n").alias("nb"))
-    inter = F.size(F.array_intersect("ta", "tb"))
-    sim = jaccard(inter, F.col("na"), F.col("nb"))
+    sim = jaccard(F.size(F.array_intersect("ta", "tb")), F.col("na"), F.col("nb"))
     out = (
-        cand.join(ra, "rid_a").join(rb, "rid_b")
+        survivors.join(ra, "rid_a").join(rb, "rid_b")
         .select("rid_a", "rid_b", sim.alias("sim"))
         .where(F.col("sim") >= F.lit(t))
     )

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Configuration the library relies on at any scale: adaptive execution
 # (runtime broadcast of small join sides, coalescing, skew-join splitting).
@@ -20,6 +20,11 @@ SCALE_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only on measured sizes: no static guess (estimates through
+    # explode/window are unreliable), AQE converts a join to broadcast once
+    # the build side's shuffle output is known to be small.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     # A short line in an edge file must fail, not come back padded with nulls.
     "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
@@ -81,3 +86,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shuffle_partitions(spark: SparkSession) -> int:
     """The cluster's configured shuffle width; iterative state is kept at it."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the reliable checkpoint directory and return it.
+
+    Used where a result is read by several branches of a plan or by the next
+    round of an iteration: the work runs once, lineage is cut, and a lost
+    executor only costs re-reading the written files.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
