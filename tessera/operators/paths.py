@@ -10,12 +10,16 @@ Execution model, the same for all three:
 * Semi-naive evaluation: a round expands only the nodes that changed in the
   previous round (column ``round``), not the whole state.
 * Candidates are reduced map-side (``min`` per node) before their shuffle.
-* Each round's state is written with ``checkpoint()`` to the reliable
-  checkpoint directory: lineage stays one round long and a lost executor
-  costs at most one round. The only value the driver sees per round is
-  whether the new frontier is empty.
+* One job per round computes the new state into the cache and counts the
+  nodes that changed (the only value the driver sees). Every
+  ``CHECKPOINT_EVERY`` rounds, and at the end, the state is written with
+  ``checkpoint()`` to the reliable checkpoint directory, so lineage stays
+  short and a lost executor costs at most a few rounds of recomputation.
 * Edges are cleaned once (self-loops dropped, parallel edges reduced to the
-  shortest) and cached hash-partitioned on the expansion key.
+  shortest) and cached hash-partitioned on the expansion key; the frontier
+  is a slice of the state, already partitioned on the same key, so the
+  frontier-edges join moves nothing. Per round the only shuffle is the
+  map-side-reduced candidates, keyed by node.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from tessera.session import materialize as _materialize
 from tessera.session import shuffle_partitions
 
 DEFAULT_MAX_ROUNDS = 100_000
+# Rounds between reliable checkpoints of the iteration state.
+CHECKPOINT_EVERY = 4
 
 
 def _checked_length(length: Column) -> Column:
@@ -61,12 +67,31 @@ def _initial_state(edges: DataFrame, origin: int, columns: dict[str, Column]) ->
 
 
 def _fixpoint(state: DataFrame, step, max_rounds: int) -> DataFrame:
-    """Run ``state = step(state, k)`` until no node changed in round ``k+1``."""
-    state = _materialize(state)
+    """Run ``state = step(state, k)`` until no node changed in round ``k+1``.
+
+    One job per round computes the next state into the cache (keeping its
+    partitioning on ``node``) and counts the changed rows. Every
+    ``CHECKPOINT_EVERY`` rounds, and at the end, the state is written to the
+    reliable checkpoint directory: lineage never spans more than that many
+    rounds, and the result handed back reads the written files.
+    """
+    state = state.persist()
+    state.count()
     for k in range(max_rounds):
-        if state.where(F.col("round") == F.lit(k)).isEmpty():
-            return state
-        state = _materialize(step(state, k))
+        nxt = step(state, k).persist()
+        changed = nxt.where(F.col("round") == F.lit(k + 1)).count()
+        state.unpersist()
+        state = nxt
+        if changed == 0:
+            final = _materialize(state)
+            state.unpersist()
+            return final
+        if (k + 1) % CHECKPOINT_EVERY == 0:
+            # The written copy comes back without a known partitioning: the
+            # next round's join re-shuffles it once and caches it partitioned.
+            written = _materialize(state)
+            state.unpersist()
+            state = written
     raise RuntimeError(f"graph iteration did not converge in {max_rounds} rounds")
 
 
@@ -196,20 +221,28 @@ def shortest_routes_to_target(edges: DataFrame, target: int,
     ceil(log2(longest route)) rounds suffice; each is one join on ``node``.
     """
     state = _to_target_state(edges, target, max_rounds)
-    links = _materialize(state.select(
+    links = state.select(
         "node", F.col("dist").alias("distance"), F.array(F.col("node")).alias("path"),
-        F.col("next_hop").alias("ptr")))
-    for _ in range(64):  # 2^64 hops bounds any route
-        if links.where(F.col("ptr").isNotNull()).isEmpty():
-            break
+        F.col("next_hop").alias("ptr")).persist()
+    pending = links.where(F.col("ptr").isNotNull()).count()
+    rounds = 0
+    while pending:
         ahead = links.select(F.col("node").alias("ptr"), F.col("path").alias("p2"),
                              F.col("ptr").alias("ptr2"))
         joined = links.join(ahead, "ptr", "left")
-        links = _materialize(joined.select(
+        nxt = joined.select(
             "node", "distance",
             F.when(F.col("ptr").isNull(), F.col("path"))
             .otherwise(F.concat(F.col("path"), F.col("p2"))).alias("path"),
             F.when(F.col("ptr").isNull(), F.lit(None).cast("long"))
-            .otherwise(F.col("ptr2")).alias("ptr")))
+            .otherwise(F.col("ptr2")).alias("ptr")).persist()
+        pending = nxt.where(F.col("ptr").isNotNull()).count()
+        links.unpersist()
+        links = nxt
+        rounds += 1
+        if rounds > 64:  # 2^64 hops bound any route; a cycle of links would be a bug
+            raise RuntimeError("route assembly did not terminate")
     route = F.array_join(F.transform("path", lambda x: x.cast("string")), "->")
-    return links.select("node", "distance", route.alias("route"))
+    result = _materialize(links.select("node", "distance", route.alias("route")))
+    links.unpersist()
+    return result

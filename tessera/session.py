@@ -25,6 +25,9 @@ SCALE_CONF: dict[str, str] = {
     # the build side's shuffle output is known to be small.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    # Keep a cached DataFrame's partitioning visible to later plans, so that
+    # joins on the key it is partitioned by do not shuffle it again.
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "false",
     # A short line in an edge file must fail, not come back padded with nulls.
     "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
