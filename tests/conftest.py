@@ -1,0 +1,51 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tessera.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    # Local session; the checkpoint directory is unset here, so the library
+    # picks a private temporary one (tests only).
+    s = local_session(cores="*", shuffle_partitions=8, app="tessera-tests")
+    yield s
+    s.stop()
+
+
+def parse_edges(spec: str):
+    """'0-1:10 0-2:5' -> [(edge_id, from, to, length)]."""
+    rows = []
+    for i, item in enumerate(spec.split()):
+        ends, length = item.split(":")
+        a, b = ends.split("-")
+        rows.append((i, int(a), int(b), float(length)))
+    return rows
+
+
+# Edge fixtures (see FIXTURES.md section 2).
+E1 = parse_edges("0-1:10 0-2:5 1-2:2 1-3:1 2-1:3 2-3:9 2-4:2 3-4:4 4-0:7 4-3:5")
+E2 = parse_edges("0-1:10 1-2:3 1-3:1 2-1:3 2-0:5 2-3:9 2-4:2 3-4:4 4-0:2 4-3:6")
+E3 = parse_edges("0-1:10 1-2:3 1-3:1 2-1:3 2-3:9 2-4:2 3-4:4 4-3:6")
+
+EDGE_DDL = "edge_id long, from_node long, to_node long, length double"
+SET_DDL = "rid long, tokens array<string>"
+
+
+@pytest.fixture(scope="session")
+def edges(spark):
+    def make(rows):
+        return spark.createDataFrame(rows, EDGE_DDL)
+    return make
+
+
+@pytest.fixture(scope="session")
+def sets(spark):
+    def make(records):
+        return spark.createDataFrame(
+            [(rid, [str(t) for t in toks]) for rid, toks in records], SET_DDL)
+    return make

@@ -1,0 +1,69 @@
+import os
+import tempfile
+
+import pytest
+
+from tessera.sources import read_edges, read_lines, read_sets, write_kv, write_pairs, write_tuples
+from tessera import avg_out_length, set_similarity_join, word_count_raw
+
+
+def scratch():
+    return tempfile.mkdtemp(prefix="tessera-test-")
+
+
+def write(path, text):
+    with open(path, "w") as f:
+        f.write(text)
+    return path
+
+
+def read_text_dir(path):
+    out = []
+    for name in sorted(os.listdir(path)):
+        if name.startswith("part-"):
+            with open(os.path.join(path, name)) as f:
+                out += f.read().splitlines()
+    return out
+
+
+def test_read_edges_skips_blank_lines(spark):
+    d = scratch()
+    p = write(os.path.join(d, "g.txt"), "0 0 1 10.0\n\n1 1 2 3.0\n2 2 0 5.0")
+    rows = [tuple(r) for r in read_edges(spark, p).orderBy("edge_id").collect()]
+    assert rows == [(0, 0, 1, 10.0), (1, 1, 2, 3.0), (2, 2, 0, 5.0)]
+
+
+def test_read_edges_short_line_fails(spark):
+    d = scratch()
+    p = write(os.path.join(d, "g.txt"), "0 0 1 10.0\n1 1 2\n")
+    with pytest.raises(Exception):
+        read_edges(spark, p).collect()
+
+
+def test_read_sets_trailing_space(spark):
+    d = scratch()
+    p = write(os.path.join(d, "s.txt"), "0 1 4 5 6 \n1 2 3 6\n\n2 \n")
+    got = {r.rid: r.tokens for r in read_sets(spark, p).collect()}
+    assert got == {0: ["1", "4", "5", "6"], 1: ["2", "3", "6"], 2: []}
+
+
+def test_sinks_round_trip(spark):
+    d = scratch()
+    edges = spark.createDataFrame([(0, 0, 1, 3.0), (1, 0, 2, 4.0), (2, 1, 2, 1.0)],
+                                  "edge_id long, from_node long, to_node long, length double")
+    out = os.path.join(d, "avg")
+    write_kv(avg_out_length(edges).coalesce(1), out, "node", "avg_length")
+    assert read_text_dir(out) == ["0\t3.5", "1\t1.0"]
+    with pytest.raises(Exception):
+        write_kv(avg_out_length(edges), out, "node", "avg_length")
+
+    lines = read_lines(spark, write(os.path.join(d, "t.txt"), "b a\na\n"))
+    out = os.path.join(d, "wc")
+    write_tuples(word_count_raw(lines).orderBy("word").coalesce(1), out)
+    assert read_text_dir(out) == ["(a,2)", "(b,1)"]
+
+    sets = spark.createDataFrame([(0, ["1", "2"]), (1, ["1", "2", "3"])],
+                                 "rid long, tokens array<string>")
+    out = os.path.join(d, "pairs")
+    write_pairs(set_similarity_join(sets, 0.5).coalesce(1), out)
+    assert read_text_dir(out) == ["(0,1)\t0.6666666666666666"]
