@@ -1,0 +1,3 @@
+"""Incremental (Structured Streaming) runs of the batch word counts."""
+
+from tessera.streaming.wordcount import start_word_counts, stream_word_counts  # noqa: F401

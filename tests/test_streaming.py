@@ -1,0 +1,23 @@
+import os
+import tempfile
+
+from tessera import word_count_normalized
+from tessera.streaming import start_word_counts
+
+
+def test_streaming_counts_equal_batch(spark):
+    src = tempfile.mkdtemp(prefix="tessera-stream-")
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("The quick fox\nthe lazy dog, the end\n")
+    q = start_word_counts(spark, src, "wc_stream_test")
+    try:
+        q.processAllAvailable()
+        with open(os.path.join(src, "b.txt"), "w") as f:
+            f.write("Quick quick FOX\n")
+        q.processAllAvailable()
+        got = {r.word: r.cnt for r in spark.sql("SELECT * FROM wc_stream_test").collect()}
+    finally:
+        q.stop()
+    batch = word_count_normalized(spark.read.text(src))
+    assert got == {r.word: r.cnt for r in batch.collect()}
+    assert got["quick"] == 3 and got["the"] == 3
