@@ -6,10 +6,12 @@ from tessera.functions.similarity import (  # noqa: F401
     length_compatible,
     position_compatible,
     prefix_length,
+    size_band,
 )
 from tessera.functions.text import (  # noqa: F401
     WORD_DELIMITER_REGEX,
     WORD_DELIMITERS,
+    delimited_pieces,
     normalized_words,
     split_on_space,
     text_lines,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,3 +47,18 @@ def position_compatible(n_a: Column, pos_a: Column, n_b: Column, pos_b: Column,
 def jaccard(inter: Column, n_a: Column, n_b: Column) -> Column:
     """|a & b| / |a | b| as a double, from the intersection and the sizes."""
     return inter.cast("double") / (n_a + n_b - inter).cast("double")
+
+
+def size_band(n: Column, t: float) -> Column:
+    """Band of a set size such that two sizes passing :func:`length_compatible`
+    always fall in the same or adjacent bands.
+
+    Bands are ``floor(ln(n) / w)`` with width ``w = ln(1/t)`` widened by a
+    relative 1e-9, which keeps floating-point rounding at a band edge from
+    separating a compatible pair by two bands. For t = 1 sizes must be equal
+    and the band is the size itself.
+    """
+    if t >= 1.0:
+        return n.cast("long")
+    width = -math.log(t) * (1.0 + 1e-9)
+    return F.floor(F.log(n.cast("double")) / F.lit(width)).cast("long")

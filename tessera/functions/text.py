@@ -29,15 +29,25 @@ def split_on_space(line: Column) -> Column:
     )
 
 
+def delimited_pieces(line: Column) -> Column:
+    """Pieces between runs of the fixed delimiters (may include empty pieces
+    at the ends; callers drop them and lower-case each word)."""
+    return F.split(line, WORD_DELIMITER_REGEX)
+
+
 def normalized_words(line: Column) -> Column:
-    """Split on the fixed delimiter set, drop empty pieces, lower-case."""
-    pieces = F.split(line, WORD_DELIMITER_REGEX)
-    return F.transform(F.filter(pieces, lambda w: w != F.lit("")), F.lower)
+    """Split on the fixed delimiter set, drop empty pieces, lower-case.
+
+    Array form (for callers that need a per-line list); the word counts use
+    :func:`delimited_pieces` + explode so the filter and ``lower`` run as
+    plain row expressions inside whole-stage codegen.
+    """
+    return F.transform(F.array_remove(delimited_pieces(line), ""), F.lower)
 
 
 def whitespace_words(text: Column) -> Column:
     """Words separated by runs of space, tab, CR or LF; no empty words."""
-    return F.filter(F.split(text, r"[ \t\r\n]+"), lambda w: w != F.lit(""))
+    return F.array_remove(F.split(text, r"[ \t\r\n]+"), "")
 
 
 def text_lines(text: Column) -> Column:

@@ -16,10 +16,12 @@ Execution model, the same for all three:
   ``checkpoint()`` to the reliable checkpoint directory, so lineage stays
   short and a lost executor costs at most a few rounds of recomputation.
 * Edges are cleaned once (self-loops dropped, parallel edges reduced to the
-  shortest) and cached hash-partitioned on the expansion key; the frontier
-  is a slice of the state, already partitioned on the same key, so the
-  frontier-edges join moves nothing. Per round the only shuffle is the
-  map-side-reduced candidates, keyed by node.
+  shortest) and cached, spread by ``(src, dst)`` so a hub's edges do not
+  sit in one task. The frontier's exact size is known from the previous
+  round's count: a frontier under ``BROADCAST_FRONTIER_ROWS`` is broadcast
+  and the edges do not move; a larger one takes a shuffle join that AQE
+  splits on skew. The candidates are reduced per node map-side, and their
+  shuffle is keyed like the state, so the state is not moved either.
 """
 
 from __future__ import annotations
@@ -34,6 +36,9 @@ from tessera.session import shuffle_partitions
 DEFAULT_MAX_ROUNDS = 100_000
 # Rounds between reliable checkpoints of the iteration state.
 CHECKPOINT_EVERY = 4
+# Largest frontier (rows of node id + a few numbers, well under 100 MB) that
+# is broadcast to the edge partitions; the count is exact, not estimated.
+BROADCAST_FRONTIER_ROWS = 2_000_000
 
 
 def _checked_length(length: Column) -> Column:
@@ -43,7 +48,12 @@ def _checked_length(length: Column) -> Column:
 
 
 def _expansion_edges(edges: DataFrame, reverse: bool, weighted: bool) -> DataFrame:
-    """``src, dst[, length]`` to expand along, cached partitioned on ``src``."""
+    """``src, dst[, length]`` to expand along, cached.
+
+    The cache is hash-partitioned on ``(src, dst)`` (the output of the
+    de-duplicating aggregate), not on ``src``: a hub's out-edges are spread
+    over all partitions instead of landing in one task.
+    """
     src, dst = ("to_node", "from_node") if reverse else ("from_node", "to_node")
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"),
                      _checked_length(F.col("length")).alias("length"))
@@ -52,8 +62,21 @@ def _expansion_edges(edges: DataFrame, reverse: bool, weighted: bool) -> DataFra
         e = e.groupBy("src", "dst").agg(F.min("length").alias("length"))
     else:
         e = e.select("src", "dst").distinct()
-    n = shuffle_partitions(edges.sparkSession)
-    return e.repartition(n, "src").persist()
+    return e.persist()
+
+
+def _expand(frontier: DataFrame, adj: DataFrame, frontier_rows: int) -> DataFrame:
+    """Join the frontier (``src`` + state columns) to its out-edges.
+
+    The driver knows the frontier's exact row count (it counted the changed
+    nodes); below ``BROADCAST_FRONTIER_ROWS`` the frontier is broadcast and
+    the cached edges are streamed where they are, so no edge moves. A larger
+    frontier takes a shuffle join on ``src``, where AQE splits a hub's
+    partition across tasks.
+    """
+    if frontier_rows <= BROADCAST_FRONTIER_ROWS:
+        return adj.join(F.broadcast(frontier), "src")
+    return frontier.join(adj, "src")
 
 
 def _initial_state(edges: DataFrame, origin: int, columns: dict[str, Column]) -> DataFrame:
@@ -67,22 +90,24 @@ def _initial_state(edges: DataFrame, origin: int, columns: dict[str, Column]) ->
 
 
 def _fixpoint(state: DataFrame, step, max_rounds: int) -> DataFrame:
-    """Run ``state = step(state, k)`` until no node changed in round ``k+1``.
+    """Run ``state = step(state, k, frontier_rows)`` until no node changed in
+    round ``k+1``.
 
     One job per round computes the next state into the cache (keeping its
-    partitioning on ``node``) and counts the changed rows. Every
-    ``CHECKPOINT_EVERY`` rounds, and at the end, the state is written to the
-    reliable checkpoint directory: lineage never spans more than that many
-    rounds, and the result handed back reads the written files.
+    partitioning on ``node``) and counts the changed rows, which is the next
+    frontier's exact size. Every ``CHECKPOINT_EVERY`` rounds, and at the end,
+    the state is written to the reliable checkpoint directory: lineage never
+    spans more than that many rounds, and the result handed back reads the
+    written files.
     """
     state = state.persist()
-    state.count()
+    frontier_rows = state.where(F.col("round") == F.lit(0)).count()
     for k in range(max_rounds):
-        nxt = step(state, k).persist()
-        changed = nxt.where(F.col("round") == F.lit(k + 1)).count()
+        nxt = step(state, k, frontier_rows).persist()
+        frontier_rows = nxt.where(F.col("round") == F.lit(k + 1)).count()
         state.unpersist()
         state = nxt
-        if changed == 0:
+        if frontier_rows == 0:
             final = _materialize(state)
             state.unpersist()
             return final
@@ -102,9 +127,9 @@ def reachable_nodes(edges: DataFrame, source: int,
     adj = _expansion_edges(edges, reverse=False, weighted=False)
     state = _initial_state(edges, source, {"level": F.lit(0)})
 
-    def step(state: DataFrame, k: int) -> DataFrame:
+    def step(state: DataFrame, k: int, rows: int) -> DataFrame:
         frontier = state.where(F.col("round") == F.lit(k)).select(F.col("node").alias("src"))
-        reached = (frontier.join(adj, "src").select(F.col("dst").alias("node")).distinct()
+        reached = (_expand(frontier, adj, rows).select(F.col("dst").alias("node")).distinct()
                    .withColumn("hit", F.lit(True)))
         new = F.col("level").isNull() & F.col("hit").isNotNull()
         return state.join(reached, "node", "left").select(
@@ -136,10 +161,10 @@ def shortest_from_source(edges: DataFrame, source: int,
     adj = _expansion_edges(edges, reverse=False, weighted=True)
     state = _initial_state(edges, source, {"dist": F.lit(0.0)})
 
-    def step(state: DataFrame, k: int) -> DataFrame:
+    def step(state: DataFrame, k: int, rows: int) -> DataFrame:
         frontier = state.where(F.col("round") == F.lit(k)).select(
             F.col("node").alias("src"), "dist")
-        cand = (frontier.join(adj, "src")
+        cand = (_expand(frontier, adj, rows)
                 .groupBy(F.col("dst").alias("node"))
                 .agg(F.min(F.col("dist") + F.col("length")).alias("cand")))
         better = F.col("cand").isNotNull() & (
@@ -171,10 +196,10 @@ def _to_target_state(edges: DataFrame, target: int, max_rounds: int) -> DataFram
     state = _initial_state(edges, target, {
         "dist": F.lit(0.0), "hops": F.lit(0), "next_hop": F.lit(None).cast("long")})
 
-    def step(state: DataFrame, k: int) -> DataFrame:
+    def step(state: DataFrame, k: int, rows: int) -> DataFrame:
         frontier = state.where(F.col("round") == F.lit(k)).select(
             F.col("node").alias("src"), "dist", "hops")
-        cand = (frontier.join(adj, "src")
+        cand = (_expand(frontier, adj, rows)
                 .groupBy(F.col("dst").alias("node"))
                 .agg(F.min(F.struct(
                     (F.col("dist") + F.col("length")).alias("d"),

@@ -8,7 +8,7 @@ Repeated tokens inside a record count once everywhere except in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.similarity import (
@@ -18,6 +18,7 @@ from tessera.functions.similarity import (
     length_compatible,
     position_compatible,
     prefix_length,
+    size_band,
 )
 from tessera.operators.grouping import MAX_LIST_ITEMS, collect_bounded
 from tessera.session import materialize
@@ -85,23 +86,42 @@ def similarity_candidates(sets: DataFrame, t: float) -> DataFrame:
 
 
 def similarity_candidates_of(records: DataFrame, t: float) -> DataFrame:
-    """:func:`similarity_candidates` over ``rid, toks, n`` records."""
+    """:func:`similarity_candidates` over ``rid, toks, n`` records.
+
+    The self-join key is ``(token, size band)``: the length filter only lets
+    a pair through if its sizes are in the same or adjacent bands, so each
+    prefix row probes its own band and the one below, and a frequent token's
+    group is split by record size instead of being paired all against all.
+    Same-band matches are kept once (``rid`` order); cross-band matches occur
+    once by construction.
+    """
     prefix = (
         _ranked_tokens(records)
         .where(F.col("pos") <= prefix_length(F.col("n"), t))
-        .select("token", "rid", "n", "pos")
+        .select("token", "rid", "n", "pos", size_band(F.col("n"), t).alias("band"))
     )
-    a, b = prefix.alias("a"), prefix.alias("b")
+    probe = prefix.select(
+        "token", "rid", "n", "pos", "band",
+        F.explode(F.array(F.col("band"), F.col("band") - F.lit(1))).alias("key"))
+    a, b = probe.alias("a"), prefix.alias("b")
+    same = F.col("a.key") == F.col("a.band")
     cond = (
         (F.col("a.token") == F.col("b.token"))
-        & (F.col("a.rid") < F.col("b.rid"))
+        & (F.col("a.key") == F.col("b.band"))
+        & (~same | (F.col("a.rid") < F.col("b.rid")))
+        & (F.col("a.rid") != F.col("b.rid"))
         & length_compatible(F.col("a.n"), F.col("b.n"), t)
         & position_compatible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), t)
     )
+    a_first = F.col("a.rid") < F.col("b.rid")
+
+    def pick(x: str, y: str) -> Column:
+        return F.when(a_first, F.col(x)).otherwise(F.col(y))
+
     shared = a.join(b, cond).select(
-        F.col("a.rid").alias("rid_a"), F.col("b.rid").alias("rid_b"),
-        F.col("a.n").alias("na"), F.col("b.n").alias("nb"),
-        F.col("a.pos").alias("pa"), F.col("b.pos").alias("pb"))
+        pick("a.rid", "b.rid").alias("rid_a"), pick("b.rid", "a.rid").alias("rid_b"),
+        pick("a.n", "b.n").alias("na"), pick("b.n", "a.n").alias("nb"),
+        pick("a.pos", "b.pos").alias("pa"), pick("b.pos", "a.pos").alias("pb"))
     # Per pair: c shared prefix tokens were found, the last at positions
     # (max pa, max pb). Every shared token before it was found (it lies in both
     # prefixes), and at most min(na - pa, nb - pb) shared tokens follow it, so

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import normalized_words, split_on_space
+from tessera.functions.text import delimited_pieces, split_on_space
 
 
 def _count_words(words: DataFrame) -> DataFrame:
@@ -23,4 +23,6 @@ def word_count_raw(lines: DataFrame, column: str = "value") -> DataFrame:
 def word_count_normalized(lines: DataFrame, column: str = "value") -> DataFrame:
     """Counts of lower-cased words split on the fixed punctuation/space set,
     empty pieces dropped. ``word, cnt``."""
-    return _count_words(lines.select(F.explode(normalized_words(F.col(column))).alias("word")))
+    pieces = lines.select(F.explode(delimited_pieces(F.col(column))).alias("piece"))
+    words = pieces.where(F.col("piece") != F.lit("")).select(F.lower("piece").alias("word"))
+    return _count_words(words)

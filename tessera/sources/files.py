@@ -44,7 +44,7 @@ def read_sets(spark: SparkSession, path: str) -> DataFrame:
         .where(F.trim(F.col("value"), F.lit(" ")) != F.lit(""))
         .select(
             F.element_at(parts, 1).cast("long").alias("rid"),
-            F.filter(F.slice(parts, 2, F.size(parts)), lambda t: t != F.lit("")).alias("tokens"),
+            F.array_remove(F.slice(parts, 2, F.size(parts)), "").alias("tokens"),
         )
     )
 
