@@ -1,9 +1,10 @@
 """Set-similarity jobs: token frequency, global token order, prefix index and
 the exact Jaccard self-join with prefix, length and positional filtering.
 
-Set records are ``rid LONG, tokens ARRAY<STRING>`` with one row per ``rid``.
-Repeated tokens inside a record count once everywhere except in
-:func:`token_frequency`, which counts occurrences.
+Set records are ``rid LONG, tokens ARRAY<STRING>`` with one row per ``rid``
+(:func:`token_frequency` also takes the long form ``rid, token``, one row per
+occurrence, which needs no regrouping). Repeated tokens inside a record count
+once everywhere except in :func:`token_frequency`, which counts occurrences.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from tessera.session import materialize
 def token_frequency(sets: DataFrame) -> DataFrame:
     """Occurrences of every token (``token, freq``), ordered by frequency,
     then numerically where the token is a number, then as text."""
+    tokens = (sets.select("token") if "token" in sets.columns
+              else sets.select(F.explode("tokens").alias("token")))
     return (
-        sets.select(F.explode("tokens").alias("token"))
+        tokens
         .groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
         .orderBy(F.asc("freq"), F.col("token").try_cast("double").asc_nulls_last(),
                  F.asc("token"))

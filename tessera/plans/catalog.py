@@ -58,7 +58,7 @@ def _word_count_normalized(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _token_frequency(spark: SparkSession, sf: str) -> DataFrame:
-    return J.token_frequency(V.sets_orders(spark, sf))
+    return J.token_frequency(V.sets_orders_long(spark, sf))
 
 
 def _global_order_sets(spark: SparkSession, sf: str) -> DataFrame:

@@ -52,6 +52,11 @@ def test_token_frequency_counts_repeats_and_orders_numerically(sets):
     assert got == [("9", 2), ("10", 2)]
 
 
+def test_token_frequency_long_form(spark):
+    long = spark.createDataFrame([(0, "7"), (0, "7"), (1, "3")], "rid long, token string")
+    assert [(r.token, r.freq) for r in token_frequency(long).collect()] == [("3", 1), ("7", 2)]
+
+
 def test_order_tokens(sets):
     got = {r.rid: r.tokens for r in order_tokens(sets(T + [(9, [])])).collect()}
     assert got[0] == ["1", "4", "5", "6"]
