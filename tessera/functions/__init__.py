@@ -4,6 +4,7 @@ from tessera.functions.similarity import (  # noqa: F401
     check_threshold,
     jaccard,
     length_compatible,
+    overlap_needed,
     position_compatible,
     prefix_length,
     size_band,

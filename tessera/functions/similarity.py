@@ -33,15 +33,22 @@ def length_compatible(n_a: Column, n_b: Column, t: float) -> Column:
     return lo >= hi * F.lit(t) - F.lit(CEIL_EPS)
 
 
+def overlap_needed(n_a: Column, n_b: Column, t: float) -> Column:
+    """Real-valued overlap a pair needs for Jaccard >= t: ``t/(1+t)*(n_a+n_b)``
+    (minus a tolerance, so comparisons err on the side of keeping a pair)."""
+    return (n_a + n_b) * F.lit(t / (1.0 + t)) - F.lit(CEIL_EPS)
+
+
 def position_compatible(n_a: Column, pos_a: Column, n_b: Column, pos_b: Column,
-                        t: float) -> Column:
-    """Positional filter at a shared prefix token (1-based positions in the
-    global token order). At the *first* shared token the overlap is at most
-    ``1 + min(n_a - pos_a, n_b - pos_b)``; Jaccard >= t needs an overlap of
-    ``t/(1+t) * (n_a + n_b)``. The first shared token of a similar pair always
-    passes, so the filter is lossless once candidate pairs are made distinct."""
-    bound = F.lit(1) + F.least(n_a - pos_a, n_b - pos_b)
-    return bound * F.lit(1.0 + t) >= (n_a + n_b) * F.lit(t) - F.lit(CEIL_EPS)
+                        t: float, k: int = 1) -> Column:
+    """Positional filter at a shared token (1-based positions in the global
+    token order). Let the pair need an overlap of alpha. The j-th shared token
+    (in the global order) sits at most at position ``n - alpha + j`` in each
+    record, so for j <= k it satisfies ``k + min(n_a - pos_a, n_b - pos_b)
+    >= alpha``. Rows failing this cannot be among a similar pair's first k
+    shared tokens; keeping the rest is lossless."""
+    bound = F.lit(k) + F.least(n_a - pos_a, n_b - pos_b)
+    return bound >= overlap_needed(n_a, n_b, t)
 
 
 def jaccard(inter: Column, n_a: Column, n_b: Column) -> Column:

@@ -17,6 +17,7 @@ from tessera.functions.similarity import (
     check_threshold,
     jaccard,
     length_compatible,
+    overlap_needed,
     position_compatible,
     prefix_length,
     size_band,
@@ -24,6 +25,9 @@ from tessera.functions.similarity import (
 from tessera.operators.grouping import MAX_LIST_ITEMS, collect_bounded
 from tessera.session import materialize
 
+# k of the k-prefix filter in the self-join (shared prefix tokens required).
+SHARED_IN_PREFIX = 2
+
 
 def token_frequency(sets: DataFrame) -> DataFrame:
     """Occurrences of every token (``token, freq``), ordered by frequency,
@@ -91,16 +95,25 @@ def similarity_candidates(sets: DataFrame, t: float) -> DataFrame:
 def similarity_candidates_of(records: DataFrame, t: float) -> DataFrame:
     """:func:`similarity_candidates` over ``rid, toks, n`` records.
 
-    The self-join key is ``(token, size band)``: the length filter only lets
-    a pair through if its sizes are in the same or adjacent bands, so each
-    prefix row probes its own band and the one below, and a frequent token's
-    group is split by record size instead of being paired all against all.
-    Same-band matches are kept once (``rid`` order); cross-band matches occur
-    once by construction.
+    k-prefix filter (k = ``SHARED_IN_PREFIX``): let a pair need an overlap of
+    alpha (alpha >= t*n for both records when their sizes pass the length
+    filter). Its j-th shared token in the global order lies within the first
+    ``n - alpha + j`` tokens of each record, so with prefixes of
+    ``n - ceil(t*n) + k`` tokens a similar pair shows at least ``min(k,
+    alpha)`` shared prefix tokens that pass the positional filter. Pairs with
+    fewer are dropped in the pair aggregation without loss; pairs that share
+    just one rare token by chance no longer reach verification.
+
+    The self-join key is ``(token, size band)``: sizes passing the length
+    filter are in the same or adjacent bands, so each prefix row probes its
+    own band and the one below, and a frequent token's group is split by
+    record size instead of being paired all against all. The prefix rows are
+    checkpointed once and read by both sides of the join.
     """
-    prefix = (
+    k = SHARED_IN_PREFIX
+    prefix = materialize(
         _ranked_tokens(records)
-        .where(F.col("pos") <= prefix_length(F.col("n"), t))
+        .where(F.col("pos") <= prefix_length(F.col("n"), t) + F.lit(k - 1))
         .select("token", "rid", "n", "pos", size_band(F.col("n"), t).alias("band"))
     )
     probe = prefix.select(
@@ -114,7 +127,7 @@ def similarity_candidates_of(records: DataFrame, t: float) -> DataFrame:
         & (~same | (F.col("a.rid") < F.col("b.rid")))
         & (F.col("a.rid") != F.col("b.rid"))
         & length_compatible(F.col("a.n"), F.col("b.n"), t)
-        & position_compatible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), t)
+        & position_compatible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), t, k)
     )
     a_first = F.col("a.rid") < F.col("b.rid")
 
@@ -125,18 +138,16 @@ def similarity_candidates_of(records: DataFrame, t: float) -> DataFrame:
         pick("a.rid", "b.rid").alias("rid_a"), pick("b.rid", "a.rid").alias("rid_b"),
         pick("a.n", "b.n").alias("na"), pick("b.n", "a.n").alias("nb"),
         pick("a.pos", "b.pos").alias("pa"), pick("b.pos", "a.pos").alias("pb"))
-    # Per pair: c shared prefix tokens were found, the last at positions
-    # (max pa, max pb). Every shared token before it was found (it lies in both
-    # prefixes), and at most min(na - pa, nb - pb) shared tokens follow it, so
-    # overlap <= c + min(...). The positional filter above only cuts a suffix
-    # of a pair's shared tokens (its bound falls with position), so the bound
-    # stays valid. Lossless; built inside the distinct-pair aggregation.
     per_pair = shared.groupBy("rid_a", "rid_b").agg(
         F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"),
         F.first("na").alias("na"), F.first("nb").alias("nb"))
+    need = overlap_needed(F.col("na"), F.col("nb"), t)
+    # (1) k-prefix count: at least min(k, alpha) shared tokens were found.
+    enough = (F.col("c") >= F.lit(k)) | (F.col("c") >= need)
+    # (2) every shared token up to the last one found (positions pa, pb) was
+    # found, and at most min(na - pa, nb - pb) follow it.
     bound = F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    need = (F.col("na") + F.col("nb")) * F.lit(t) - F.lit(CEIL_EPS)
-    return per_pair.where(bound * F.lit(1.0 + t) >= need).select("rid_a", "rid_b")
+    return per_pair.where(enough & (bound >= need)).select("rid_a", "rid_b")
 
 
 def set_similarity_join(sets: DataFrame, t: float, ordered: bool = True) -> DataFrame:

@@ -131,3 +131,22 @@ def test_prefix_length_rounding(sets):
     b = [f"y{i}" for i in range(7)]
     got = pairs(set_similarity_join(sets([(1, a), (2, b)]), 0.28))
     assert got == [(1, 2, 0.28)]
+
+
+@pytest.mark.parametrize("t", [0.3, 0.6, 0.8])
+def test_equals_brute_force_dense(sets, t):
+    # small vocabulary, varied sizes, many pairs close to the threshold
+    rnd = random.Random(1000 + int(t * 10))
+    base = [rnd.sample(range(80), rnd.randint(5, 60)) for _ in range(8)]
+    records = []
+    for rid in range(90):
+        toks = list(rnd.choice(base))
+        for _ in range(rnd.randint(0, max(1, len(toks) // 3))):
+            if toks and rnd.random() < 0.5:
+                toks.pop(rnd.randrange(len(toks)))
+            else:
+                toks.append(rnd.randrange(80))
+        records.append((rid, toks))
+    expected = brute(records, t)
+    assert len(expected) > 20
+    assert pairs(set_similarity_join(sets(records), t)) == expected
