@@ -48,11 +48,23 @@ def _distinct_tokens(sets: DataFrame) -> DataFrame:
     return sets.select(F.col("rid"), toks.alias("toks")).withColumn("n", F.size("toks"))
 
 
-def _ranked_tokens(records: DataFrame) -> DataFrame:
+def _ranked_tokens(records: DataFrame, by_hash: bool = False) -> DataFrame:
     """``rid, n, token, freq, pos``: each distinct token of each record with its
-    document frequency and 1-based position in the global order
-    (frequency ascending, then token), which is the same for all records."""
+    document frequency and 1-based position in the global order (frequency
+    ascending, then token), which is the same for all records.
+
+    ``by_hash``: order by the frequency of the token's 64-bit hash, then the
+    hash, then the token. Still a strict total order on distinct tokens and
+    still rarest-first (the frequencies are exact unless two tokens clash),
+    which is all the prefix filter needs; the join and most sort comparisons
+    are then on longs instead of strings.
+    """
     pairs = records.select("rid", "n", F.explode("toks").alias("token"))
+    if by_hash:
+        pairs = pairs.withColumn("th", F.xxhash64("token"))
+        freq = pairs.groupBy("th").agg(F.count(F.lit(1)).alias("freq"))
+        order = Window.partitionBy("rid").orderBy("freq", "th", "token")
+        return pairs.join(freq, "th").withColumn("pos", F.row_number().over(order))
     freq = pairs.groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
     order = Window.partitionBy("rid").orderBy("freq", "token")
     return pairs.join(freq, "token").withColumn("pos", F.row_number().over(order))
@@ -112,7 +124,7 @@ def similarity_candidates_of(records: DataFrame, t: float) -> DataFrame:
     """
     k = SHARED_IN_PREFIX
     prefix = materialize(
-        _ranked_tokens(records)
+        _ranked_tokens(records, by_hash=True)
         .where(F.col("pos") <= prefix_length(F.col("n"), t) + F.lit(k - 1))
         .select("token", "rid", "n", "pos", size_band(F.col("n"), t).alias("band"))
     )
