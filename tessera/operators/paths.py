@@ -101,7 +101,7 @@ def _fixpoint(state: DataFrame, step, max_rounds: int) -> DataFrame:
     written files.
     """
     state = state.persist()
-    frontier_rows = state.where(F.col("round") == F.lit(0)).count()
+    frontier_rows = 1  # round 0 holds at most the origin (node ids are distinct)
     for k in range(max_rounds):
         nxt = step(state, k, frontier_rows).persist()
         frontier_rows = nxt.where(F.col("round") == F.lit(k + 1)).count()

@@ -6,25 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _write_text(lines: DataFrame, path: str) -> None:
-    lines.write.mode("errorifexists").text(path)
+def _write_text(df: DataFrame, line, path: str, order_by) -> None:
+    """Write one text line per row; with ``order_by`` the files hold the rows
+    in that order (a range-partitioned sort at the sink, nowhere earlier)."""
+    if order_by:
+        df = df.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
+    df.select(line.alias("value")).write.mode("errorifexists").text(path)
 
 
-def write_kv(df: DataFrame, path: str, key: str, value: str) -> None:
+def write_kv(df: DataFrame, path: str, key: str, value: str,
+             order_by: str | list[str] | None = None) -> None:
     """``key <TAB> value`` lines (the default key/value text output)."""
-    _write_text(
-        df.select(F.concat_ws("\t", F.col(key).cast("string"),
-                              F.col(value).cast("string")).alias("value")), path)
+    line = F.concat_ws("\t", F.col(key).cast("string"), F.col(value).cast("string"))
+    _write_text(df, line, path, order_by)
 
 
-def write_tuples(df: DataFrame, path: str, word: str = "word", cnt: str = "cnt") -> None:
+def write_tuples(df: DataFrame, path: str, word: str = "word", cnt: str = "cnt",
+                 order_by: str | list[str] | None = None) -> None:
     """``(word,n)`` lines, the printed form of a (string, count) tuple."""
-    _write_text(df.select(F.format_string("(%s,%d)", F.col(word), F.col(cnt)).alias("value")),
-                path)
+    _write_text(df, F.format_string("(%s,%d)", F.col(word), F.col(cnt)), path, order_by)
 
 
-def write_pairs(df: DataFrame, path: str) -> None:
+def write_pairs(df: DataFrame, path: str,
+                order_by: str | list[str] | None = None) -> None:
     """``(rid_a,rid_b) <TAB> sim`` lines for a similarity-join result."""
-    _write_text(
-        df.select(F.concat(F.format_string("(%d,%d)", F.col("rid_a"), F.col("rid_b")),
-                           F.lit("\t"), F.col("sim").cast("string")).alias("value")), path)
+    line = F.concat(F.format_string("(%d,%d)", F.col("rid_a"), F.col("rid_b")),
+                    F.lit("\t"), F.col("sim").cast("string"))
+    _write_text(df, line, path, order_by)

@@ -4,7 +4,7 @@ import tempfile
 import pytest
 
 from tessera.sources import read_edges, read_lines, read_sets, write_kv, write_pairs, write_tuples
-from tessera import avg_out_length, set_similarity_join, word_count_raw
+from tessera import avg_in_length, avg_out_length, set_similarity_join, word_count_raw
 
 
 def scratch():
@@ -54,12 +54,15 @@ def test_sinks_round_trip(spark):
     out = os.path.join(d, "avg")
     write_kv(avg_out_length(edges).coalesce(1), out, "node", "avg_length")
     assert read_text_dir(out) == ["0\t3.5", "1\t1.0"]
+    out_sorted = os.path.join(d, "avg_in")
+    write_kv(avg_in_length(edges), out_sorted, "node", "avg_length", order_by="node")
+    assert read_text_dir(out_sorted) == ["1\t3.0", "2\t2.5"]
     with pytest.raises(Exception):
         write_kv(avg_out_length(edges), out, "node", "avg_length")
 
     lines = read_lines(spark, write(os.path.join(d, "t.txt"), "b a\na\n"))
     out = os.path.join(d, "wc")
-    write_tuples(word_count_raw(lines).orderBy("word").coalesce(1), out)
+    write_tuples(word_count_raw(lines), out, order_by="word")
     assert read_text_dir(out) == ["(a,2)", "(b,1)"]
 
     sets = spark.createDataFrame([(0, ["1", "2"]), (1, ["1", "2", "3"])],
