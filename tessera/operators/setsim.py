@@ -23,7 +23,7 @@ from tessera.functions.similarity import (
     size_band,
 )
 from tessera.operators.grouping import MAX_LIST_ITEMS, collect_bounded
-from tessera.session import materialize
+from tessera.session import materialize, shuffle_partitions
 
 # k of the k-prefix filter in the self-join (shared prefix tokens required).
 SHARED_IN_PREFIX = 2
@@ -170,9 +170,11 @@ def set_similarity_join(sets: DataFrame, t: float, ordered: bool = True) -> Data
     Plan:
 
     1. The records (distinct tokens, their number, and their 64-bit token
-       hashes) are computed once and checkpointed, partitioned on ``rid``;
-       every later branch reads those files.
-    2. Candidates from the prefix, length and positional filters
+       hashes) are computed once and cached hash-partitioned on ``rid``. All
+       later reads use the cache, and the verification joins on ``rid_a`` /
+       ``rid_b`` find them already partitioned: only candidate pairs move,
+       never the records.
+    2. Candidates from the prefix, length, positional and k-prefix filters
        (:func:`similarity_candidates`).
     3. Bound: the overlap of the hash arrays (fixed-width, cheap to ship and
        intersect). A hash clash between two records can only raise it, and
@@ -180,29 +182,38 @@ def set_similarity_join(sets: DataFrame, t: float, ordered: bool = True) -> Data
        true overlap -- pairs under the threshold on the bound are dropped
        without loss.
     4. Exact: the surviving pairs are verified on the token strings.
+
+    The result is written to the reliable checkpoint directory before the
+    cached records are released, so the returned DataFrame reads those files.
     """
     t = check_threshold(t)
-    records = _distinct_tokens(sets)
-    records = materialize(records.select(
+    n_parts = shuffle_partitions(sets.sparkSession)
+    records = _distinct_tokens(sets).select(
         "rid", "toks", "n",
         F.array_distinct(F.transform("toks", lambda x: F.xxhash64(x))).alias("h"),
-    ).repartition("rid"))
-    cand = similarity_candidates_of(records.select("rid", "toks", "n"), t)
-
-    ha = records.select(F.col("rid").alias("rid_a"), F.col("n").alias("na"), F.col("h").alias("ha"))
-    hb = records.select(F.col("rid").alias("rid_b"), F.col("n").alias("nb"), F.col("h").alias("hb"))
-    upper = (F.size(F.array_intersect("ha", "hb")) + (F.col("na") - F.size("ha"))
-             + (F.col("nb") - F.size("hb")))
-    survivors = (cand.join(ha, "rid_a").join(hb, "rid_b")
-                 .where(jaccard(upper, F.col("na"), F.col("nb")) >= F.lit(t))
-                 .select("rid_a", "rid_b"))
-
-    ra = records.select(F.col("rid").alias("rid_a"), F.col("toks").alias("ta"), F.col("n").alias("na"))
-    rb = records.select(F.col("rid").alias("rid_b"), F.col("toks").alias("tb"), F.col("n").alias("nb"))
-    sim = jaccard(F.size(F.array_intersect("ta", "tb")), F.col("na"), F.col("nb"))
-    out = (
-        survivors.join(ra, "rid_a").join(rb, "rid_b")
-        .select("rid_a", "rid_b", sim.alias("sim"))
-        .where(F.col("sim") >= F.lit(t))
-    )
+    ).repartition(n_parts, "rid").persist()
+    try:
+        cand = similarity_candidates_of(records.select("rid", "toks", "n"), t)
+
+        ha = records.select(F.col("rid").alias("rid_a"), F.col("n").alias("na"),
+                            F.col("h").alias("ha"))
+        hb = records.select(F.col("rid").alias("rid_b"), F.col("n").alias("nb"),
+                            F.col("h").alias("hb"))
+        upper = (F.size(F.array_intersect("ha", "hb")) + (F.col("na") - F.size("ha"))
+                 + (F.col("nb") - F.size("hb")))
+        survivors = (cand.join(ha, "rid_a").join(hb, "rid_b")
+                     .where(jaccard(upper, F.col("na"), F.col("nb")) >= F.lit(t))
+                     .select("rid_a", "rid_b"))
+
+        ra = records.select(F.col("rid").alias("rid_a"), F.col("toks").alias("ta"),
+                            F.col("n").alias("na"))
+        rb = records.select(F.col("rid").alias("rid_b"), F.col("toks").alias("tb"),
+                            F.col("n").alias("nb"))
+        sim = jaccard(F.size(F.array_intersect("ta", "tb")), F.col("na"), F.col("nb"))
+        out = materialize(
+            survivors.join(ra, "rid_a").join(rb, "rid_b")
+            .select("rid_a", "rid_b", sim.alias("sim"))
+            .where(F.col("sim") >= F.lit(t)))
+    finally:
+        records.unpersist()
     return out.orderBy("rid_a", "rid_b") if ordered else out
