@@ -5,8 +5,9 @@ Execution model, the same for all three:
 
 * The node state has one row per graph node and is hash-partitioned on
   ``node`` at the session's shuffle width. Every round updates it with a
-  *left* join on ``node``, which keeps that partitioning, so the state itself
-  is never re-shuffled; only the frontier and its candidates move.
+  *left* join on ``node``, which keeps that partitioning, so the state is
+  not re-shuffled (except once after each periodic checkpoint, whose files
+  carry no partitioning); only the frontier and its candidates move.
 * Semi-naive evaluation: a round expands only the nodes that changed in the
   previous round (column ``round``), not the whole state.
 * Candidates are reduced map-side (``min`` per node) before their shuffle.

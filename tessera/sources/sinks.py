@@ -14,10 +14,13 @@ def _write_text(df: DataFrame, line, path: str, order_by) -> None:
     df.select(line.alias("value")).write.mode("errorifexists").text(path)
 
 
-def write_kv(df: DataFrame, path: str, key: str, value: str,
+def write_kv(df: DataFrame, path: str, key: str, value: str | list[str],
              order_by: str | list[str] | None = None) -> None:
-    """``key <TAB> value`` lines (the default key/value text output)."""
-    line = F.concat_ws("\t", F.col(key).cast("string"), F.col(value).cast("string"))
+    """``key <TAB> value`` lines (the default key/value text output); several
+    value columns give ``key <TAB> v1 <TAB> v2`` (e.g. node, distance, route)."""
+    values = [value] if isinstance(value, str) else list(value)
+    line = F.concat_ws("\t", F.col(key).cast("string"),
+                       *[F.col(v).cast("string") for v in values])
     _write_text(df, line, path, order_by)
 
 

@@ -70,3 +70,13 @@ def test_sinks_round_trip(spark):
     out = os.path.join(d, "pairs")
     write_pairs(set_similarity_join(sets, 0.5).coalesce(1), out)
     assert read_text_dir(out) == ["(0,1)\t0.6666666666666666"]
+
+
+def test_routes_sink(spark):
+    from conftest import E2, EDGE_DDL
+    from tessera import shortest_routes_to_target
+    out = os.path.join(scratch(), "routes")
+    routes = shortest_routes_to_target(spark.createDataFrame(E2, EDGE_DDL), 0)
+    write_kv(routes, out, "node", ["distance", "route"], order_by="node")
+    assert read_text_dir(out) == ["0\t0.0\t0", "1\t7.0\t1->2->4->0", "2\t4.0\t2->4->0",
+                                  "3\t6.0\t3->4->0", "4\t2.0\t4->0"]
