@@ -162,38 +162,91 @@ def similarity_candidates_of(records: DataFrame, t: float) -> DataFrame:
     return per_pair.where(enough & (bound >= need)).select("rid_a", "rid_b")
 
 
+def _exact_copies(records: DataFrame) -> DataFrame:
+    """``rid, rep``: records whose token set is identical to that of a
+    representative ``rep`` (the smallest rid of its group), ``rid != rep``.
+
+    Groups are formed on (64-bit signature of the sorted token set, size),
+    moving only ``(rid, sig, n)``. Each member is then confirmed by comparing
+    its token array with its representative's, so a signature clash merely
+    leaves a record unmerged; only arrays of multi-member groups move.
+    """
+    sigs = records.select("rid", "sig", "n")
+    groups = (sigs.groupBy("sig", "n")
+              .agg(F.min("rid").alias("rep"), F.count(F.lit(1)).alias("m"))
+              .where(F.col("m") > F.lit(1)))
+    member = (sigs.join(groups, ["sig", "n"]).where(F.col("rid") != F.col("rep"))
+              .select("rid", "rep"))
+    tx = records.select("rid", F.col("toks").alias("tx"))
+    tr = records.select(F.col("rid").alias("rep"), F.col("toks").alias("tr"))
+    return materialize(member.join(tx, "rid").join(tr, "rep")
+                       .where(F.col("tx") == F.col("tr")).select("rid", "rep"))
+
+
+def _expand_copies(pairs: DataFrame, copies: DataFrame) -> DataFrame:
+    """Pairs between representatives -> pairs between all their copies, plus
+    the pairs inside each group of copies (Jaccard 1.0). Every row produced
+    is part of the answer; a large group's rows are spread by AQE's skew
+    handling of the joins on ``rep``."""
+    reps = copies.select("rep").distinct()
+    members = copies.select("rep", F.col("rid").alias("member")).unionByName(
+        reps.select("rep", F.col("rep").alias("member")))
+    ma = members.select(F.col("rep").alias("rid_a"), F.col("member").alias("xa"))
+    mb = members.select(F.col("rep").alias("rid_b"), F.col("member").alias("xb"))
+    spread = (pairs.join(ma, "rid_a", "left").join(mb, "rid_b", "left")
+              .select(F.coalesce("xa", "rid_a").alias("xa"),
+                      F.coalesce("xb", "rid_b").alias("xb"), "sim"))
+    across = spread.select(F.least("xa", "xb").alias("rid_a"),
+                           F.greatest("xa", "xb").alias("rid_b"), "sim")
+    x, y = members.alias("x"), members.alias("y")
+    within = x.join(y, (F.col("x.rep") == F.col("y.rep"))
+                    & (F.col("x.member") < F.col("y.member"))).select(
+        F.col("x.member").alias("rid_a"), F.col("y.member").alias("rid_b"),
+        F.lit(1.0).alias("sim"))
+    return across.unionByName(within)
+
+
 def set_similarity_join(sets: DataFrame, t: float, ordered: bool = True) -> DataFrame:
     """All record pairs with Jaccard similarity >= t: ``rid_a, rid_b, sim``
     with ``rid_a < rid_b``, ordered by ``rid_a, rid_b`` unless ``ordered`` is
-    false.
+    false. Records without tokens pair with nothing.
 
     Plan:
 
-    1. The records (distinct tokens, their number, and their 64-bit token
-       hashes) are computed once and cached hash-partitioned on ``rid``. All
-       later reads use the cache, and the verification joins on ``rid_a`` /
-       ``rid_b`` find them already partitioned: only candidate pairs move,
-       never the records.
-    2. Candidates from the prefix, length, positional and k-prefix filters
-       (:func:`similarity_candidates`).
-    3. Bound: the overlap of the hash arrays (fixed-width, cheap to ship and
+    1. The records (sorted distinct tokens, their number, a signature of the
+       set and the 64-bit token hashes) are computed once and cached
+       hash-partitioned on ``rid``. Later joins on ``rid`` find them already
+       partitioned: only candidate pairs move, never the records.
+    2. Exact copies are collapsed to one representative
+       (:func:`_exact_copies`), so a large group of copies costs its output
+       pairs only, not a quadratic blow-up per prefix token.
+    3. Candidates among the remaining records from the prefix, length,
+       positional and k-prefix filters (:func:`similarity_candidates`).
+    4. Bound: the overlap of the hash arrays (fixed-width, cheap to ship and
        intersect). A hash clash between two records can only raise it, and
        clashes inside a record are added back, so it never falls below the
        true overlap -- pairs under the threshold on the bound are dropped
        without loss.
-    4. Exact: the surviving pairs are verified on the token strings.
+    5. Exact: the surviving pairs are verified on the token strings, then
+       expanded back to all copies (:func:`_expand_copies`).
 
     The result is written to the reliable checkpoint directory before the
     cached records are released, so the returned DataFrame reads those files.
     """
     t = check_threshold(t)
     n_parts = shuffle_partitions(sets.sparkSession)
-    records = _distinct_tokens(sets).select(
-        "rid", "toks", "n",
-        F.array_distinct(F.transform("toks", lambda x: F.xxhash64(x))).alias("h"),
-    ).repartition(n_parts, "rid").persist()
+    toks = F.array_sort(F.array_distinct(F.col("tokens")))
+    records = (
+        sets.select("rid", toks.alias("toks"))
+        .where(F.size("toks") > F.lit(0))
+        .select("rid", "toks", F.size("toks").alias("n"), F.xxhash64("toks").alias("sig"),
+                F.array_distinct(F.transform("toks", lambda x: F.xxhash64(x))).alias("h"))
+        .repartition(n_parts, "rid").persist()
+    )
     try:
-        cand = similarity_candidates_of(records.select("rid", "toks", "n"), t)
+        copies = _exact_copies(records)
+        singles = records.join(copies, "rid", "left_anti")
+        cand = similarity_candidates_of(singles.select("rid", "toks", "n"), t)
 
         ha = records.select(F.col("rid").alias("rid_a"), F.col("n").alias("na"),
                             F.col("h").alias("ha"))
@@ -210,10 +263,10 @@ def set_similarity_join(sets: DataFrame, t: float, ordered: bool = True) -> Data
         rb = records.select(F.col("rid").alias("rid_b"), F.col("toks").alias("tb"),
                             F.col("n").alias("nb"))
         sim = jaccard(F.size(F.array_intersect("ta", "tb")), F.col("na"), F.col("nb"))
-        out = materialize(
-            survivors.join(ra, "rid_a").join(rb, "rid_b")
-            .select("rid_a", "rid_b", sim.alias("sim"))
-            .where(F.col("sim") >= F.lit(t)))
+        verified = (survivors.join(ra, "rid_a").join(rb, "rid_b")
+                    .select("rid_a", "rid_b", sim.alias("sim"))
+                    .where(F.col("sim") >= F.lit(t)))
+        out = materialize(_expand_copies(verified, copies))
     finally:
         records.unpersist()
     return out.orderBy("rid_a", "rid_b") if ordered else out

@@ -150,3 +150,17 @@ def test_equals_brute_force_dense(sets, t):
     expected = brute(records, t)
     assert len(expected) > 20
     assert pairs(set_similarity_join(sets(records), t)) == expected
+
+
+@pytest.mark.parametrize("t", [0.4, 1.0])
+def test_groups_of_copies(sets, t):
+    # one large group of identical records, a smaller one, near copies and
+    # records whose sets differ only in order or repeats
+    big = [(rid, [1, 2, 3, 4, 5]) for rid in range(0, 40)]
+    small = [(rid, [9, 8, 7]) for rid in (50, 51, 52)]
+    near = [(60, [1, 2, 3, 4]), (61, [1, 2, 3, 4, 5, 6]), (62, [7, 8, 9, 10]),
+            (63, [5, 4, 3, 2, 1, 1]), (64, [42]), (65, [42, 42])]
+    records = big + small + near
+    expected = brute(records, t)
+    assert len(expected) > 780
+    assert pairs(set_similarity_join(sets(records), t)) == expected
