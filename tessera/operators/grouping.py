@@ -16,22 +16,26 @@ def collect_bounded(df: DataFrame, key: str, item: Column, hash_cols: list[str],
                     distinct: bool = False) -> DataFrame:
     """``key, part, out`` with ``out`` the sorted list of ``item`` per key.
 
-    Keys with at most ``max_items`` values get one row (part 0). Larger keys
-    get ``ceil(n / max_items)`` parts, assigned by a hash of ``hash_cols`` and
-    re-partitioned on ``(key, part)`` so that their parts are built by
-    different tasks. Per-key counts are a partial (map-side) aggregate; the
-    join that attaches them is broadcast by AQE when the count table is small.
-    ``item`` may be null for a placeholder row: the key is then kept with an
-    empty list.
+    Keys with at most ``max_items`` values get one row (part 0) and are
+    aggregated directly (one shuffle on ``key``). Larger keys get
+    ``ceil(n / max_items)`` parts, assigned by a hash of ``hash_cols``; only
+    their rows are re-partitioned on ``(key, part)``, so the parts of a hot
+    key are built by different tasks. Per-key counts are a partial (map-side)
+    aggregate; the join that attaches them is broadcast by AQE when the count
+    table is small. ``item`` may be null for a placeholder row: the key is
+    then kept with an empty list.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     n = F.col("_n")
-    part = F.when((n <= F.lit(max_items)) | item.isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*hash_cols), F.ceil(n / F.lit(max_items))))
-    tagged = (
-        df.join(counts, key)
-        .select(F.col(key), part.cast("int").alias("part"), item.alias("_item"))
-        .repartition(key, "part")
-    )
     gather = F.collect_set if distinct else F.collect_list
-    return tagged.groupBy(key, "part").agg(F.array_sort(gather("_item")).alias(out))
+    tagged = df.join(counts, key).select(F.col(key), n, item.alias("_item"), *hash_cols)
+    small = (tagged.where(n <= F.lit(max_items))
+             .groupBy(key).agg(F.array_sort(gather("_item")).alias(out))
+             .select(F.col(key), F.lit(0).alias("part"), F.col(out)))
+    part = F.when(F.col("_item").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*hash_cols), F.ceil(n / F.lit(max_items))))
+    hot = (tagged.where(n > F.lit(max_items))
+           .select(F.col(key), part.cast("int").alias("part"), F.col("_item"))
+           .repartition(key, "part")
+           .groupBy(key, "part").agg(F.array_sort(gather("_item")).alias(out)))
+    return small.unionByName(hot)
