@@ -155,12 +155,10 @@ def reachable_count(edges: DataFrame, source: int,
         F.greatest(F.count(F.lit(1)) - F.lit(1), F.lit(0)).cast("bigint").alias("reachable"))
 
 
-def shortest_from_source(edges: DataFrame, source: int,
-                         max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
-    """``node, distance``: shortest distance from ``source`` to every node it
-    reaches (itself 0.0). Unreached nodes and an absent source give no row."""
-    adj = _expansion_edges(edges, reverse=False, weighted=True)
-    state = _initial_state(edges, source, {"dist": F.lit(0.0)})
+def _distances(edges: DataFrame, origin: int, reverse: bool, max_rounds: int) -> DataFrame:
+    """``node, distance`` from ``origin`` along the edges (or against them)."""
+    adj = _expansion_edges(edges, reverse=reverse, weighted=True)
+    state = _initial_state(edges, origin, {"dist": F.lit(0.0)})
 
     def step(state: DataFrame, k: int, rows: int) -> DataFrame:
         frontier = state.where(F.col("round") == F.lit(k)).select(
@@ -184,6 +182,13 @@ def shortest_from_source(edges: DataFrame, source: int,
         "node", F.col("dist").alias("distance"))
 
 
+def shortest_from_source(edges: DataFrame, source: int,
+                         max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
+    """``node, distance``: shortest distance from ``source`` to every node it
+    reaches (itself 0.0). Unreached nodes and an absent source give no row."""
+    return _distances(edges, source, reverse=False, max_rounds=max_rounds)
+
+
 def _to_target_state(edges: DataFrame, target: int, max_rounds: int) -> DataFrame:
     """``node, dist, hops, next_hop`` for every node that reaches ``target``.
 
@@ -232,9 +237,9 @@ def shortest_to_target(edges: DataFrame, target: int,
                        max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
     """``node, distance``: shortest distance from every node to ``target``
     (target itself 0.0). Nodes that cannot reach it, and an absent target,
-    give no row."""
-    state = _to_target_state(edges, target, max_rounds)
-    return state.select("node", F.col("dist").alias("distance"))
+    give no row. Distances only, so the iteration runs against the edge
+    direction without the hop/next-hop tie state of the route job."""
+    return _distances(edges, target, reverse=True, max_rounds=max_rounds)
 
 
 def shortest_routes_to_target(edges: DataFrame, target: int,
