@@ -49,16 +49,18 @@ def _checked_length(length: Column) -> Column:
 
 
 def _expansion_edges(edges: DataFrame, reverse: bool, weighted: bool) -> DataFrame:
-    """``src, dst[, length]`` to expand along, cached.
+    """``src, dst[, length]`` to expand along, cached; the only scan of the
+    edge input (the node set is derived from this cache too).
 
     The cache is hash-partitioned on ``(src, dst)`` (the output of the
     de-duplicating aggregate), not on ``src``: a hub's out-edges are spread
-    over all partitions instead of landing in one task.
+    over all partitions instead of landing in one task. Self-loops stay in
+    the cache (they carry nodes that have no other edge) and are skipped when
+    expanding.
     """
     src, dst = ("to_node", "from_node") if reverse else ("from_node", "to_node")
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"),
                      _checked_length(F.col("length")).alias("length"))
-    e = e.where(F.col("src") != F.col("dst"))
     if weighted:
         e = e.groupBy("src", "dst").agg(F.min("length").alias("length"))
     else:
@@ -75,19 +77,22 @@ def _expand(frontier: DataFrame, adj: DataFrame, frontier_rows: int) -> DataFram
     frontier takes a shuffle join on ``src``, where AQE splits a hub's
     partition across tasks.
     """
+    moves = adj.where(F.col("src") != F.col("dst"))
     if frontier_rows <= BROADCAST_FRONTIER_ROWS:
-        return adj.join(F.broadcast(frontier), "src")
-    return frontier.join(adj, "src")
+        return moves.join(F.broadcast(frontier), "src")
+    return frontier.join(moves, "src")
 
 
-def _initial_state(edges: DataFrame, origin: int, columns: dict[str, Column]) -> DataFrame:
-    """All graph nodes, partitioned on ``node``; only ``origin`` is seeded."""
-    n = shuffle_partitions(edges.sparkSession)
+def _initial_state(adj: DataFrame, origin: int, columns: dict[str, Column]) -> DataFrame:
+    """All graph nodes (both ends of the cached edges), partitioned on
+    ``node``; only ``origin`` is seeded."""
+    n = shuffle_partitions(adj.sparkSession)
     is_origin = F.col("node") == F.lit(origin)
     cols = [F.col("node")]
     cols += [F.when(is_origin, value).alias(name) for name, value in columns.items()]
     cols.append(F.when(is_origin, F.lit(0)).alias("round"))
-    return graph_nodes(edges).repartition(n, "node").select(*cols)
+    nodes = graph_nodes(adj.select(F.col("src").alias("from_node"), F.col("dst").alias("to_node")))
+    return nodes.repartition(n, "node").select(*cols)
 
 
 def _fixpoint(state: DataFrame, step, max_rounds: int) -> DataFrame:
@@ -126,7 +131,7 @@ def reachable_nodes(edges: DataFrame, source: int,
     """``node, level``: nodes reachable from ``source`` (itself at level 0)
     with their BFS depth. Each node is expanded exactly once."""
     adj = _expansion_edges(edges, reverse=False, weighted=False)
-    state = _initial_state(edges, source, {"level": F.lit(0)})
+    state = _initial_state(adj, source, {"level": F.lit(0)})
 
     def step(state: DataFrame, k: int, rows: int) -> DataFrame:
         frontier = state.where(F.col("round") == F.lit(k)).select(F.col("node").alias("src"))
@@ -158,7 +163,7 @@ def reachable_count(edges: DataFrame, source: int,
 def _distances(edges: DataFrame, origin: int, reverse: bool, max_rounds: int) -> DataFrame:
     """``node, distance`` from ``origin`` along the edges (or against them)."""
     adj = _expansion_edges(edges, reverse=reverse, weighted=True)
-    state = _initial_state(edges, origin, {"dist": F.lit(0.0)})
+    state = _initial_state(adj, origin, {"dist": F.lit(0.0)})
 
     def step(state: DataFrame, k: int, rows: int) -> DataFrame:
         frontier = state.where(F.col("round") == F.lit(k)).select(
@@ -199,7 +204,7 @@ def _to_target_state(edges: DataFrame, target: int, max_rounds: int) -> DataFram
     are unchanged).
     """
     adj = _expansion_edges(edges, reverse=True, weighted=True)
-    state = _initial_state(edges, target, {
+    state = _initial_state(adj, target, {
         "dist": F.lit(0.0), "hops": F.lit(0), "next_hop": F.lit(None).cast("long")})
 
     def step(state: DataFrame, k: int, rows: int) -> DataFrame:
