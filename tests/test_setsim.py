@@ -164,3 +164,14 @@ def test_groups_of_copies(sets, t):
     expected = brute(records, t)
     assert len(expected) > 780
     assert pairs(set_similarity_join(sets(records), t)) == expected
+
+
+def test_prefix_index_splits_hot_token(sets):
+    # token "0" is in the prefix of all 30 records: with max_items=4 its
+    # record list comes in several parts that together hold every record
+    records = [(rid, [0, 100 + rid]) for rid in range(30)]
+    rows = prefix_index(sets(records), 1.0, max_items=4).where("token = '100'").collect()
+    assert len(rows) == 1 and rows[0].rids == [0]
+    hot = prefix_index(sets(records), 0.5, max_items=4).where("token = '0'").collect()
+    assert len(hot) >= 4
+    assert sorted(r for row in hot for r in row.rids) == list(range(30))
