@@ -108,21 +108,22 @@ def _fixpoint(state: DataFrame, step, max_rounds: int) -> DataFrame:
     """
     state = state.persist()
     frontier_rows = 1  # round 0 holds at most the origin (node ids are distinct)
-    for k in range(max_rounds):
-        nxt = step(state, k, frontier_rows).persist()
-        frontier_rows = nxt.where(F.col("round") == F.lit(k + 1)).count()
-        state.unpersist()
-        state = nxt
-        if frontier_rows == 0:
-            final = _materialize(state)
-            state.unpersist()
-            return final
-        if (k + 1) % CHECKPOINT_EVERY == 0:
-            # The written copy comes back without a known partitioning: the
-            # next round's join re-shuffles it once and caches it partitioned.
-            written = _materialize(state)
+    try:
+        for k in range(max_rounds):
+            nxt = step(state, k, frontier_rows).persist()
+            frontier_rows = nxt.where(F.col("round") == F.lit(k + 1)).count()
             state.unpersist()
-            state = written
+            state = nxt
+            if frontier_rows == 0:
+                return _materialize(state)
+            if (k + 1) % CHECKPOINT_EVERY == 0:
+                # The written copy comes back without a known partitioning:
+                # the next round's join re-shuffles it once and caches it.
+                written = _materialize(state)
+                state.unpersist()
+                state = written
+    finally:
+        state.unpersist()
     raise RuntimeError(f"graph iteration did not converge in {max_rounds} rounds")
 
 
@@ -260,25 +261,26 @@ def shortest_routes_to_target(edges: DataFrame, target: int,
     links = state.select(
         "node", F.col("dist").alias("distance"), F.array(F.col("node")).alias("path"),
         F.col("next_hop").alias("ptr")).persist()
-    pending = links.where(F.col("ptr").isNotNull()).count()
-    rounds = 0
-    while pending:
-        ahead = links.select(F.col("node").alias("ptr"), F.col("path").alias("p2"),
-                             F.col("ptr").alias("ptr2"))
-        joined = links.join(ahead, "ptr", "left")
-        nxt = joined.select(
-            "node", "distance",
-            F.when(F.col("ptr").isNull(), F.col("path"))
-            .otherwise(F.concat(F.col("path"), F.col("p2"))).alias("path"),
-            F.when(F.col("ptr").isNull(), F.lit(None).cast("long"))
-            .otherwise(F.col("ptr2")).alias("ptr")).persist()
-        pending = nxt.where(F.col("ptr").isNotNull()).count()
+    try:
+        pending = links.where(F.col("ptr").isNotNull()).count()
+        rounds = 0
+        while pending:
+            ahead = links.select(F.col("node").alias("ptr"), F.col("path").alias("p2"),
+                                 F.col("ptr").alias("ptr2"))
+            joined = links.join(ahead, "ptr", "left")
+            nxt = joined.select(
+                "node", "distance",
+                F.when(F.col("ptr").isNull(), F.col("path"))
+                .otherwise(F.concat(F.col("path"), F.col("p2"))).alias("path"),
+                F.when(F.col("ptr").isNull(), F.lit(None).cast("long"))
+                .otherwise(F.col("ptr2")).alias("ptr")).persist()
+            pending = nxt.where(F.col("ptr").isNotNull()).count()
+            links.unpersist()
+            links = nxt
+            rounds += 1
+            if rounds > 64:  # 2^64 hops bound any route; a cycle of links would be a bug
+                raise RuntimeError("route assembly did not terminate")
+        route = F.array_join(F.transform("path", lambda x: x.cast("string")), "->")
+        return _materialize(links.select("node", "distance", route.alias("route")))
+    finally:
         links.unpersist()
-        links = nxt
-        rounds += 1
-        if rounds > 64:  # 2^64 hops bound any route; a cycle of links would be a bug
-            raise RuntimeError("route assembly did not terminate")
-    route = F.array_join(F.transform("path", lambda x: x.cast("string")), "->")
-    result = _materialize(links.select("node", "distance", route.alias("route")))
-    links.unpersist()
-    return result
