@@ -72,9 +72,16 @@ def _ranked_tokens(records: DataFrame, by_hash: bool = False) -> DataFrame:
 
 def order_tokens(sets: DataFrame) -> DataFrame:
     """Each record's distinct tokens, rarest first (``rid, tokens``); ties in
-    frequency by token text. Records without tokens keep an empty list."""
-    records = _distinct_tokens(sets)
-    pairs = records.select("rid", F.explode_outer("toks").alias("token"))
+    frequency by token text. Records without tokens keep an empty list.
+
+    Also takes the long form ``rid, token`` (one row per occurrence): its
+    distinct pairs come from a map-side partial distinct, with no regrouping
+    into arrays first.
+    """
+    if "token" in sets.columns:
+        pairs = sets.select("rid", "token").distinct()
+    else:
+        pairs = _distinct_tokens(sets).select("rid", F.explode_outer("toks").alias("token"))
     freq = pairs.where(F.col("token").isNotNull()).groupBy("token").agg(
         F.count(F.lit(1)).alias("freq"))
     keyed = F.when(F.col("token").isNotNull(), F.struct("freq", "token"))

@@ -62,7 +62,7 @@ def _token_frequency(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _global_order_sets(spark: SparkSession, sf: str) -> DataFrame:
-    ordered = J.order_tokens(V.sets_orders(spark, sf))
+    ordered = J.order_tokens(V.sets_orders_long(spark, sf))
     return ordered.select("rid", F.array_join("tokens", " ").alias("tokens"))
 
 

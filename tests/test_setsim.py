@@ -64,6 +64,14 @@ def test_order_tokens(sets):
     assert got[9] == []
 
 
+def test_order_tokens_long_form(spark, sets):
+    long = spark.createDataFrame([(rid, str(t)) for rid, toks in T for t in toks + toks[:1]],
+                                 "rid long, token string")
+    got = {r.rid: r.tokens for r in order_tokens(long).collect()}
+    want = {r.rid: r.tokens for r in order_tokens(sets(T)).collect()}
+    assert got == want
+
+
 def test_prefix_index(sets):
     got = {r.token: r.rids for r in prefix_index(sets(T), 0.5).collect()}
     assert got == {"1": [0, 3], "2": [1, 4], "3": [1, 5], "4": [0, 2, 3], "5": [0, 2, 4, 5]}
