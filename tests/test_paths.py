@@ -129,3 +129,10 @@ def test_against_dijkstra_and_each_other(edges, seed):
         assert sum(best[(a, b)] for a, b in zip(hops, hops[1:])) == d
     # reachable_count == reached nodes - 1
     assert reachable_count(df, src).collect()[0].reachable == len(from_src) - 1
+
+
+def test_round_guard(edges):
+    chain = parse_edges("0-1:1 1-2:1 2-3:1 3-4:1")
+    with pytest.raises(RuntimeError, match="did not converge"):
+        shortest_from_source(edges(chain), 0, max_rounds=2)
+    assert len(shortest_from_source(edges(chain), 0, max_rounds=10).collect()) == 5
