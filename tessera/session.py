@@ -45,7 +45,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.ansi.enabled", "false")
         # Delete superseded checkpoints (iteration rounds) once unreferenced;
         # a context-level setting, so clusters set it in their defaults.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
