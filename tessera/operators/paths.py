@@ -35,8 +35,11 @@ from tessera.session import materialize as _materialize
 from tessera.session import shuffle_partitions
 
 DEFAULT_MAX_ROUNDS = 100_000
-# Rounds between reliable checkpoints of the iteration state.
-CHECKPOINT_EVERY = 4
+# Rounds between reliable checkpoints of the iteration state. A round reads
+# the state twice (frontier and merge), so the logical plan doubles each
+# round until a checkpoint cuts it: 3 rounds keep it within 8x the base plan
+# (8 rounds, 256x, makes planning explode).
+CHECKPOINT_EVERY = 3
 # Largest frontier (rows of node id + a few numbers, well under 100 MB) that
 # is broadcast to the edge partitions; the count is exact, not estimated.
 BROADCAST_FRONTIER_ROWS = 2_000_000
