@@ -8,31 +8,12 @@ the driver can see (the cluster names it in ``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Configuration the library relies on at any scale: adaptive execution
-# (runtime broadcast of small join sides, coalescing, skew-join splitting).
-SCALE_CONF: dict[str, str] = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast only on measured sizes: no static guess (estimates through
-    # explode/window are unreliable), AQE converts a join to broadcast once
-    # the build side's shuffle output is known to be small.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
-    # Keep a cached DataFrame's partitioning visible to later plans, so that
-    # joins on the key it is partitioned by do not shuffle it again.
-    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "false",
-    # A short line in an edge file must fail, not come back padded with nulls.
-    "spark.sql.csv.parser.columnPruning.enabled": "false",
-}
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tessera") -> SparkSession:
     """Session for tests and the local bench (``local[cores]``)."""
@@ -49,28 +30,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         # a context-level setting, so clusters set it in their defaults.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
-    for key, value in SCALE_CONF.items():
-        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    apply_scale_conf(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
-def apply_scale_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL options the operators assume (idempotent)."""
-    for key, value in SCALE_CONF.items():
-        spark.conf.set(key, value)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting one only if unset.
 
     Order: the SparkContext's directory, else the session's
-    ``spark.checkpoint.dir``. Only when neither is set do we choose one: a
-    private temp folder in local mode (tests, local bench), or a folder under
-    the shared warehouse directory on a cluster -- never a machine-local path.
+    ``spark.checkpoint.dir``. With neither, a local session (tests, local
+    bench) gets a private temp folder; on a cluster this is an error, because
+    no folder can be guessed that the driver and all executors share.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -79,11 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if sc.master.startswith("local"):
-            configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        else:
-            warehouse = spark.conf.get("spark.sql.warehouse.dir")
-            configured = os.path.join(warehouse, "_tessera_checkpoints", uuid.uuid4().hex)
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and "
+                               "all executors share (HDFS or an object store)")
+        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -93,12 +64,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint directory and return it.
+def write_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet below the checkpoint directory; return the
+    re-read table and its path (for :func:`drop_table`).
 
-    Used where a result is read by several branches of a plan or by the next
-    round of an iteration: the work runs once, lineage is cut, and a lost
-    executor only costs re-reading the written files.
+    Cuts lineage like ``checkpoint()``, with compressed files, column pruning
+    and exact sizes for the planner: a small table is broadcast only because
+    its files are known to be small, a large one is joined by a shuffle.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a table of :func:`write_table`, on whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+    """:func:`write_table` for a table that lives as long as its result."""
+    return write_table(df, label)[0]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import E2
 from tessera.operators import paths as P
-from tessera.session import apply_scale_conf
+
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,7 +55,7 @@ def test_tokenizer_stays_codegen_friendly(spark):
 
 
 def test_graph_round_does_not_reshuffle_state(spark, edges):
-    apply_scale_conf(spark)
+
     adj = P._expansion_edges(edges(E2), reverse=False, weighted=True)
     state = P._initial_state(adj, 0, {"dist": F.lit(0.0)}).persist()
     state.count()
@@ -75,7 +75,7 @@ def test_graph_round_does_not_reshuffle_state(spark, edges):
 
 
 def test_verification_join_does_not_move_records(spark):
-    apply_scale_conf(spark)
+
     recs = spark.createDataFrame([(i, [str(i)]) for i in range(20)], "rid long, toks array<string>")
     recs = recs.repartition(8, "rid").persist()
     recs.count()
