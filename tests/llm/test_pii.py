@@ -1,0 +1,94 @@
+import hashlib
+import re
+
+import pytest
+
+from llm.conftest import SF
+from tessera.llm import pii
+from tessera.llm.common import table
+
+
+def brute(text):
+    """The base rules, written out anew."""
+    def digits(s):
+        return [int(c) for c in s if c in "0123456789"]
+
+    def luhn(ds):
+        return sum(d if i % 2 == 0 else (2 * d if d < 5 else 2 * d - 9)
+                   for i, d in enumerate(reversed(ds))) % 10 == 0
+    rules = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+             ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: max(map(int, m.split("."))) <= 255),
+             ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 12 <= len(digits(m)) <= 19 and luhn(digits(m))),
+             ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(digits(m)) <= 15)]
+    out = []
+    for k, (kind, pattern, ok) in enumerate(rules):
+        out += [(m.start(), k, m.end(), kind) for m in re.finditer(pattern, text or "") if ok(m.group())]
+    return [(kind, s, e) for s, _, e, kind in sorted(out)]
+
+
+def test_whole_table_against_brute_force(spark):
+    d = table(spark, SF.replace("0.001", "0.01"), "documents")
+    texts = {r.doc_id: r.text for r in d.collect()}
+    found = 0
+    for r in pii.report(d).collect():
+        base = brute(texts[r.doc_id])
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x[0] == k for x in base) for k in pii.KINDS]
+        assert r.spans == joined
+        found += len(base)
+    assert found > 20
+
+
+@pytest.mark.parametrize("text, kind, source", [
+    ("write to john.doe [at] example [dot] com now", "email", "john.doe [at] example [dot] com"),
+    ("jane at mail dot example dot org, thanks", "email", "jane at mail dot example dot org"),
+    ("jane(at)example.org", "email", "jane(at)example.org"),
+    ("bob@example dot net", "email", "bob@example dot net"),
+    ("аdmin@exаmple.cоm", "email", "аdmin@exаmple.cоm"),
+    ("mail me: x＠ｅxample．com!", "email", "x＠ｅxample．com"),
+    ("call plus one five five five one two three four five six seven today", "phone",
+     "plus one five five five one two three four five six seven"),
+    ("call +1 five five five 123 4567 now", "phone", "+1 five five five 123 4567"),
+    ("host one nine two dot one six eight dot zero dot one up", "ip",
+     "one nine two dot one six eight dot zero dot one"),
+    ("card ４５３９ １４８８ ０３４３ ６４６７.", "card", "４５３９ １４８８ ０３４３ ６４６７"),
+    ("pay 4539​1488​0343​6467 now", "card", "4539​1488​0343​6467"),
+    ("tel +1–555–123–4567 x", "phone", "+1–555–123–4567"),
+])
+def test_disguises_map_to_the_source(text, kind, source):
+    base, more = pii.find_spans(text)
+    at = text.index(source)
+    assert (kind, at, at + len(source)) in more
+    assert all(source in text[s:e] or text[s:e] in source for _, s, e in more)
+
+
+@pytest.mark.parametrize("text", [
+    "We met at the dot of noon.", "look at example.com for more", "one two three go",
+    "In one of two cases, at least three are at home.", "a dot b dot c", "f(at) [dot] <at>",
+    "Größe und Länge – über drei Meter", "", None, "at", "dot", "🙂 at 🙂 dot 🙂"])
+def test_clean_texts_have_no_spans(text):
+    assert pii.find_spans(text) == ([], [])
+
+
+def test_base_spans_stay_and_added_ones_do_not_touch_them():
+    text = "a@b.co at example dot com and c [at] d.org, 1.2.3.4"
+    base, more = pii.find_spans(text)
+    assert [x for x in base] == brute(text)
+    assert ("email", text.index("c [at]"), text.index(", 1.2")) in more
+    for _, s, e in more:
+        assert all(e <= x or y <= s for _, x, y in base)
+
+
+def test_mask(docs):
+    rows = [(1, "mail a@b.co now"), (2, None), (3, ""), (4, "clean"), (None, "x at y dot com"), (5, "1.2.3.4" * 1),
+            (6, "word " * 40000 + "a@b.co"), (6, "word " * 40000 + "a@b.co")]
+    out = pii.mask(docs(rows))
+    assert out.columns == docs(rows).columns
+    got = sorted(((r.doc_id, r.text, r.n_chars) for r in out.collect()), key=repr)
+    tail = "word " * 40000 + "[EMAIL]"
+    assert got == sorted([(1, "mail [EMAIL] now", 16), (2, None, None), (3, "", None), (4, "clean", None),
+                          (None, "[EMAIL]", 7), (5, "[IP]", 4), (6, tail, len(tail)), (6, tail, len(tail))], key=repr)
+    assert pii.report(docs([])).count() == 0
+    spans = {r.doc_id: r.spans for r in pii.with_spans(docs(rows)).collect()}
+    assert spans[1][0].kind == "email" and spans[1][0].start == 5 and spans[1][0].base and not spans[None][0].base
