@@ -7,14 +7,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, host_rules, mixing, pii, simhash
+from tessera.llm import (
+    chaining,
+    chat,
+    decontaminate,
+    host_rules,
+    html_extract,
+    mixing,
+    nbsvm,
+    pii,
+    pitman_yor,
+    simhash,
+)
 from tessera.llm.common import table
 
 
+def op1_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.apply_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbsvm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -28,15 +47,38 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -1, whose texts hold the marks."""
+    marked = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", marked), (-1, 1, "assistant", marked)],
+        "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(rows.unionByName(extra))
+
+
+def op9_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_site_templates": op1_site_templates,
     "op2_host_rules": op2_host_rules,
+    "op3_nbsvm": op3_nbsvm,
     "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
     "op6_pii": op6_pii,
+    "op7_pitman_yor": op7_pitman_yor,
+    "op8_prefix_targets": op8_prefix_targets,
+    "op9_collinear_chains": op9_collinear_chains,
     "op10_mixing": op10_mixing,
 }
 
@@ -108,7 +150,29 @@ SELECT doc_id, item_id, n_shingles, n_matched,
 FROM c JOIN n USING (item_id) WHERE CAST(n_matched AS DOUBLE) / CAST(n_shingles AS DOUBLE) >= 0.8
 """
 
+_OP8 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, t, r, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+o AS (
+  SELECT *, row_number() OVER (
+      PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+    23 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n'))
+       + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 1 AS n FROM c),
+s AS (
+  SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY k) AS upto,
+    max(k) OVER (PARTITION BY conv_id) AS last FROM o)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY k), '')) AS loss_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' OR k = last THEN upto ELSE 0 END) AS BIGINT) AS formatted_chars
+FROM s GROUP BY conv_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_host_rules": _OP2,
     "op4_decontaminate": _OP4,
+    "op8_prefix_targets": _OP8,
 }

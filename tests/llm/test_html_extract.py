@@ -1,0 +1,81 @@
+import html
+import re
+
+import pytest
+
+from llm.conftest import SF
+from tessera.llm import html_extract as H
+from tessera.llm.common import table
+
+
+def brute(source):
+    """The pages of the test tables: one article of p, b and br under an h1."""
+    article = re.search(r"<article>(.*?)(?:</article>|\Z)", source, re.S)[1]
+    blocks = (re.sub(r"</?b>", "", re.sub("<br>", " ", x)) for x in re.split(r"</?(?:p|h1)>", article))
+    return "\n\n".join(t for t in (" ".join(html.unescape(b).split()) for b in blocks) if t)
+
+
+def test_whole_table_against_brute_force(spark):
+    pages = table(spark, SF.replace("0.001", "0.01"), "pages")
+    source = {r.page_id: r for r in pages.collect()}
+    out = H.extract_text(pages).collect()
+    assert len(out) == len(source)
+    for r in out:
+        assert r.url == source[r.page_id].url
+        assert r.text == brute(source[r.page_id].html)
+        assert r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize("source, text", [
+    (None, ""), ("", ""), ("plain &lt;text", "plain <text"), ("a<br>b  c\n d", "a b c d"),
+    ("<p>one<p>two<div>three</div>four", "one\n\ntwo\n\nthree\n\nfour"),
+    ("<article><h1>T</h1><p>x<b>y</b>z &eacute;&#x41;&nbsp;&am</p><footer>f</footer></article>after", "T\n\nxyz éA &am"),
+    ("<body><nav>menu</nav><main><p>m</p><aside>s</aside><form>f<input></form></main><footer>z</footer>", "m"),
+    ("<main><div class='post-comments'>no</div><p>yes</p><div id=cookie-notice>no</div></main>", "yes"),
+    ("<article><header><h1>Head</h1></header><p>p</p></article>", "Head\n\np"),
+    ("<header><h1>Site</h1></header><article><p>p</p></article>", "p"),
+    ("<p>a<!-- <p>no</p> -->b</p><script>var t='</p><p>no';</script><style>p{}</style>c", "ab\n\nc"),
+    ("<div role=navigation>n</div><div hidden>h</div><p>t</p><div class=address>kept</div>", "t\n\nkept"),
+    ("<ul><li>one<li>two</ul><table><tr><td>a<td>b<tr><td>c</table>", "one\n\ntwo\n\na b\n\nc"),
+    ("<article class=comment><p>c</p></article><article><p>a</p></article><article><p>b</p></article>", "a\n\nb"),
+    ("5 < 6 <p>and 7 > 3</p", "5 < 6\n\nand 7 > 3"), ("<a href='x>y'>l</a><p title=\"a>b\">q", "l\n\nq"),
+    ("<script>never closed", ""), ("<p>cut &amp", "cut &"), ("<p>cut <b", "cut"),
+])
+def test_pages(source, text):
+    assert H.extract(source) == text
+
+
+def test_deep_and_long_pages():
+    assert H.extract("<div>" * 20000 + "x" + "</div>" * 20000 + "<p>y") == "x\n\ny"
+    assert H.extract("<p>" + "word " * 200000) == " ".join(["word"] * 200000)
+    assert H.extract("<p \"" * 20000 + "'<p>" * 2000 is None or "<b>ok") == "ok"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "mine") for r in rows],
+                                 "page_id long, url string, html string, text string").repartition(3)
+
+
+def test_templates_of_a_host(spark):
+    def page(i, body):
+        return (f"<body><div>Daily News of Nowhere</div><div><p>{body}</p><p>unique {i}</p></div>"
+                f"<div><span>Subscribe today</span></div>")
+    rows = [(i, f"http://a.example/{i}?q#f", page(i, f"text {i}")) for i in range(20)]
+    # copies of one page are one page: their text is no template
+    rows += [(100 + i, "http://b.example/x", page(1, "copied text")) for i in range(20)]
+    # a recurring paragraph inside an article stays, a recurring box does not
+    rows += [(200 + i, f"https://u@c.example:80/{i}", f"<article><p>story {i}</p><p>licence</p><div>Read more</div></article>")
+             for i in range(20)]
+    rows += [(300, None, "<p>no host"), (301, "odd", "<p>x"), (None, "http://a.example/z", page(77, "last")), (302, "http://a.example", None)]
+    out = {r.page_id: r for r in H.extract_text(pages(spark, rows)).collect()}
+    assert all(out[i].text == f"text {i}\n\nunique {i}" for i in range(20))
+    assert all(out[100 + i].text == "Daily News of Nowhere\n\ncopied text\n\nunique 1\n\nSubscribe today" for i in range(20))
+    assert all(out[200 + i].text == f"story {i}\n\nlicence" for i in range(20))
+    assert out[None].text == "last\n\nunique 77" and out[300].text == "no host" and out[302].text == ""
+    assert out[302].n_chars == 0 and out[301].text == "x"
+    found = {(r.host, r.n_pages) for r in H.host_templates(H.with_host(pages(spark, rows))).collect()}
+    assert found == {("a.example", 21), ("c.example", 20)}
+
+
+def test_empty_table(spark):
+    assert H.extract_text(pages(spark, [(1, "u", "h")]).where("false")).count() == 0
