@@ -13,7 +13,6 @@ from tessera.functions.text import (  # noqa: F401
     WORD_DELIMITER_REGEX,
     WORD_DELIMITERS,
     delimited_pieces,
-    normalized_words,
     split_on_space,
     text_lines,
     whitespace_words,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,10 +11,11 @@ from pyspark.sql import functions as F
 # Delimiter characters of the normalising word count, in the reference's
 # order: space * $ & # / TAB NEWLINE FORMFEED " ' \ , . : ; ? ! [ ] ( ) { } < > ~ - _
 WORD_DELIMITERS = " *$&#/\t\n\f\"'\\,.:;?![](){}<>~-_"
-# The same set as one regular-expression character class (Java and RE2 agree).
-WORD_DELIMITER_REGEX = r"""[ *$&#/\t\n\f"'\\,.:;?!\[\](){}<>~\-_]+"""
 # ---------------------------------------------------------------------------
 
+# The same set as one regular-expression character class.
+WORD_DELIMITER_REGEX = "[" + re.escape(WORD_DELIMITERS) + "]+"
+
 
 def split_on_space(line: Column) -> Column:
     """Java ``String.split(" ")``: trailing empty strings dropped, inner and
@@ -35,16 +38,6 @@ def delimited_pieces(line: Column) -> Column:
     return F.split(line, WORD_DELIMITER_REGEX)
 
 
-def normalized_words(line: Column) -> Column:
-    """Split on the fixed delimiter set, drop empty pieces, lower-case.
-
-    Array form (for callers that need a per-line list); the word counts use
-    :func:`delimited_pieces` + explode so the filter and ``lower`` run as
-    plain row expressions inside whole-stage codegen.
-    """
-    return F.transform(F.array_remove(delimited_pieces(line), ""), F.lower)
-
-
 def whitespace_words(text: Column) -> Column:
     """Words separated by runs of space, tab, CR or LF; no empty words."""
     return F.array_remove(F.split(text, r"[ \t\r\n]+"), "")

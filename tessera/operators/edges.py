@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.grouping import MAX_LIST_ITEMS, collect_bounded
+from tessera.operators.grouping import SEGMENT_IDS, collect_segments, segment_of
 
 
 def avg_in_length(edges: DataFrame) -> DataFrame:
@@ -37,32 +37,35 @@ def graph_nodes(edges: DataFrame) -> DataFrame:
     )
 
 
-def reverse_adjacency(edges: DataFrame, max_items: int = MAX_LIST_ITEMS) -> DataFrame:
-    """In-neighbours of every node: ``node, part, neighbors`` where
-    ``neighbors`` is a sorted ``array<struct<from_node, length>>``.
+def reverse_adjacency(edges: DataFrame, segment_ids: int = SEGMENT_IDS) -> DataFrame:
+    """In-neighbours of every node: ``node, segment, neighbors`` where
+    ``neighbors`` is a sorted ``array<struct<from_node, length>>`` of the
+    neighbours with ``from_node div segment_ids = segment``.
 
     Exact duplicate edges appear once; parallel edges of another length are
-    kept. A node with no incoming edge has an empty list. A node with more
-    than ``max_items`` distinct in-edges comes in several parts (rows).
+    kept. Every node has a row for segment 0, which may be empty (a node
+    without incoming edges has just that one), and one for each other segment
+    with a neighbour. The edges are read once and shuffled once.
     """
-    incoming = edges.select(
-        F.col("to_node").alias("node"), F.col("from_node"), F.col("length"))
-    # One placeholder per source node so that nodes without incoming edges
-    # keep a row (with an empty list).
-    sources = (edges.select(F.col("from_node").alias("node")).distinct()
-               .select("node", F.lit(None).cast("long").alias("from_node"),
-                       F.lit(None).cast("double").alias("length")))
-    rows = incoming.unionByName(sources)
-    item = F.when(F.col("from_node").isNotNull(),
-                  F.struct(F.col("from_node"), F.col("length")))
-    return collect_bounded(rows, "node", item, ["from_node", "length"], "neighbors",
-                           max_items=max_items, distinct=True)
+    node, item = "node", F.struct(F.col("from_node"), F.col("length"))
+    empty = F.lit(None).cast(edges.select(item.alias("i")).schema["i"].dataType)
+
+    def row(of: str, segment: Column, value: Column) -> Column:
+        return F.struct(F.col(of).alias(node), segment.alias("segment"), value.alias("item"))
+
+    zero = F.lit(0).cast("long")
+    rows = edges.select(F.explode(F.array(
+        row("to_node", segment_of(F.col("from_node"), segment_ids), item),
+        row("to_node", zero, empty),
+        row("from_node", zero, empty))).alias("r")).select("r.*")
+    return collect_segments(rows, node, "item", "neighbors")
 
 
 def adjacency_text(adjacency: DataFrame) -> DataFrame:
-    """Render ``neighbors`` as ``from:len,from:len`` (lengths as integers)."""
+    """``node, segment, neighbors`` with the list as ``from:length,from:length``;
+    lengths are printed in full."""
     rendered = F.array_join(
         F.transform("neighbors", lambda x: F.concat(
-            x["from_node"].cast("string"), F.lit(":"), x["length"].cast("bigint").cast("string"))),
+            x["from_node"].cast("string"), F.lit(":"), x["length"].cast("string"))),
         ",")
-    return adjacency.select("node", rendered.alias("neighbors"))
+    return adjacency.select("node", "segment", rendered.alias("neighbors"))

@@ -1,41 +1,25 @@
-"""Bounded list aggregation: collect values per key without ever building one
-unbounded array, even when a single key holds a large share of all rows."""
+"""Segmented lists: values collected per key without ever building one
+unbounded array, by one rule at every size."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest list a single output row may hold; a key with more values is split
-# into ceil(n / MAX_LIST_ITEMS) rows ("parts") by hashing the values.
-MAX_LIST_ITEMS = 100_000
-
-
-def collect_bounded(df: DataFrame, key: str, item: Column, hash_cols: list[str],
-                    out: str, max_items: int = MAX_LIST_ITEMS,
-                    distinct: bool = False) -> DataFrame:
-    """``key, part, out`` with ``out`` the sorted list of ``item`` per key.
-
-    Keys with at most ``max_items`` values get one row (part 0) and are
-    aggregated directly (one shuffle on ``key``). Larger keys get
-    ``ceil(n / max_items)`` parts, assigned by a hash of ``hash_cols``; only
-    their rows are re-partitioned on ``(key, part)``, so the parts of a hot
-    key are built by different tasks. Per-key counts are a partial (map-side)
-    aggregate; the join that attaches them is broadcast by AQE when the count
-    table is small. ``item`` may be null for a placeholder row: the key is
-    then kept with an empty list.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    n = F.col("_n")
-    gather = F.collect_set if distinct else F.collect_list
-    tagged = df.join(counts, key).select(F.col(key), n, item.alias("_item"), *hash_cols)
-    small = (tagged.where(n <= F.lit(max_items))
-             .groupBy(key).agg(F.array_sort(gather("_item")).alias(out))
-             .select(F.col(key), F.lit(0).alias("part"), F.col(out)))
-    part = F.when(F.col("_item").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*hash_cols), F.ceil(n / F.lit(max_items))))
-    hot = (tagged.where(n > F.lit(max_items))
-           .select(F.col(key), part.cast("int").alias("part"), F.col("_item"))
-           .repartition(key, "part")
-           .groupBy(key, "part").agg(F.array_sort(gather("_item")).alias(out)))
-    return small.unionByName(hot)
+# Ids per segment: a list holds the values whose id falls into one range of
+# this many ids, so its length is bounded whatever the data.
+SEGMENT_IDS = 100_000
+
+
+def segment_of(value: Column, width: int) -> Column:
+    """``floor(value / width)``, also for negative ids."""
+    return F.floor(value / F.lit(width)).cast("long")
+
+
+def collect_segments(rows: DataFrame, key: str, item: str, out: str) -> DataFrame:
+    """``key, segment, out`` with ``out`` the sorted distinct ``item`` values of
+    each ``(key, segment)``; null items leave an empty list.
+
+    One shuffle on ``(key, segment)``, after a partial collection in the map
+    tasks: a hot key's segments are built by different tasks."""
+    return rows.groupBy(key, "segment").agg(F.array_sort(F.collect_set(item)).alias(out))

@@ -1,162 +1,164 @@
 """Iterative graph jobs as DataFrame fixpoints: reachability (BFS), shortest
 distances from a source, and shortest distances with routes to a target.
 
-Execution model, the same for all three:
+Execution model, the same for all three and at every size:
 
+* Edges are cleaned once (parallel edges reduced to the shortest), written, and
+  cached partitioned and sorted on ``(src, salt)``. A *hub*, a node with more
+  than E / 4P of the E edges (P partitions; so there are fewer than 4P hubs), has
+  its edges dealt to several salts, and no partition owns more than a few
+  shares of E / 4P edges of one node.
 * The node state has one row per graph node and is hash-partitioned on
-  ``node`` at the session's shuffle width. Every round updates it with a
-  *left* join on ``node``, which keeps that partitioning, so the state is
-  not re-shuffled (except once after each periodic checkpoint, whose files
-  carry no partitioning); only the frontier and its candidates move.
+  ``node``. Every round updates it with a *left* join on ``node``, which keeps
+  that partitioning.
 * Semi-naive evaluation: a round expands only the nodes that changed in the
-  previous round (column ``round``), not the whole state.
-* Candidates are reduced map-side (``min`` per node) before their shuffle.
+  previous round. Per round the frontier moves (a hub's row once per salt) and
+  the candidates, reduced with ``min`` per node in the map tasks; edges and
+  state stay where they are.
 * One job per round computes the new state into the cache and counts the
   nodes that changed (the only value the driver sees). Every
-  ``CHECKPOINT_EVERY`` rounds, and at the end, the state is written with
-  ``checkpoint()`` to the reliable checkpoint directory, so lineage stays
-  short and a lost executor costs at most a few rounds of recomputation.
-* Edges are cleaned once (self-loops dropped, parallel edges reduced to the
-  shortest) and cached, spread by ``(src, dst)`` so a hub's edges do not
-  sit in one task. The frontier's exact size is known from the previous
-  round's count: a frontier under ``BROADCAST_FRONTIER_ROWS`` is broadcast
-  and the edges do not move; a larger one takes a shuffle join that AQE
-  splits on skew. The candidates are reduced per node map-side, and their
-  shuffle is keyed like the state, so the state is not moved either.
+  ``CHECKPOINT_EVERY`` rounds, and at the end, the state is written below the
+  shared checkpoint folder and the copy before it is deleted: lineage stays
+  short, and a lost executor costs at most a few rounds.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.edges import graph_nodes
-from tessera.session import materialize as _materialize
-from tessera.session import shuffle_partitions
-
-DEFAULT_MAX_ROUNDS = 100_000
-# Rounds between reliable checkpoints of the iteration state. A round reads
-# the state twice (frontier and merge), so the logical plan doubles each
-# round until a checkpoint cuts it: 3 rounds keep it within 8x the base plan
-# (8 rounds, 256x, makes planning explode).
-CHECKPOINT_EVERY = 3
-# Largest frontier (rows of node id + a few numbers, well under 100 MB) that
-# is broadcast to the edge partitions; the count is exact, not estimated.
-BROADCAST_FRONTIER_ROWS = 2_000_000
-
-
-def _checked_length(length: Column) -> Column:
-    """Lengths must be non-negative; a negative one fails the job when read."""
-    return F.when(length < F.lit(0.0), F.raise_error(
-        F.lit("negative edge length: shortest paths need lengths >= 0"))).otherwise(length)
+from tessera.session import drop_table, shuffle_partitions, write_table
 
-
-def _expansion_edges(edges: DataFrame, reverse: bool, weighted: bool) -> DataFrame:
-    """``src, dst[, length]`` to expand along, cached; the only scan of the
-    edge input (the node set is derived from this cache too).
-
-    The cache is hash-partitioned on ``(src, dst)`` (the output of the
-    de-duplicating aggregate), not on ``src``: a hub's out-edges are spread
-    over all partitions instead of landing in one task. Self-loops stay in
-    the cache (they carry nodes that have no other edge) and are skipped when
-    expanding.
-    """
-    src, dst = ("to_node", "from_node") if reverse else ("from_node", "to_node")
-    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"),
-                     _checked_length(F.col("length")).alias("length"))
-    if weighted:
-        e = e.groupBy("src", "dst").agg(F.min("length").alias("length"))
-    else:
-        e = e.select("src", "dst").distinct()
-    return e.persist()
-
-
-def _expand(frontier: DataFrame, adj: DataFrame, frontier_rows: int) -> DataFrame:
-    """Join the frontier (``src`` + state columns) to its out-edges.
-
-    The driver knows the frontier's exact row count (it counted the changed
-    nodes); below ``BROADCAST_FRONTIER_ROWS`` the frontier is broadcast and
-    the cached edges are streamed where they are, so no edge moves. A larger
-    frontier takes a shuffle join on ``src``, where AQE splits a hub's
-    partition across tasks.
-    """
-    moves = adj.where(F.col("src") != F.col("dst"))
-    if frontier_rows <= BROADCAST_FRONTIER_ROWS:
-        return moves.join(F.broadcast(frontier), "src")
-    return frontier.join(moves, "src")
+# Rounds between written copies of the iteration state. A round reads the
+# state twice (frontier and merge), so the logical plan doubles each round
+# until a written copy cuts it: 3 rounds keep it within 8x the base plan.
+CHECKPOINT_EVERY = 3
 
 
-def _initial_state(adj: DataFrame, origin: int, columns: dict[str, Column]) -> DataFrame:
-    """All graph nodes (both ends of the cached edges), partitioned on
-    ``node``; only ``origin`` is seeded."""
-    n = shuffle_partitions(adj.sparkSession)
+def _checked_edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
+    """``src, dst, length``; a null, NaN or negative length fails the job, also
+    where only the ends are used: the check is part of the column ``src``."""
+    length = F.col("length")
+    bad = length.isNull() | F.isnan(length.cast("double")) | (length < F.lit(0.0))
+    failure = F.raise_error(F.lit("edge lengths must be numbers >= 0 (negative edge length, NaN or null found)"))
+    return edges.select(F.when(bad, failure).otherwise(F.col(src)).alias("src"),
+                        F.col(dst).alias("dst"), length.alias("length"))
+
+
+class _Adjacency:
+    """The edges to expand along, and the salts of their hubs.
+
+    Self-loops stay (they carry nodes that have no other edge) and are skipped
+    when expanding."""
+
+    def __init__(self, edges: DataFrame, reverse: bool, weighted: bool):
+        src, dst = ("to_node", "from_node") if reverse else ("from_node", "to_node")
+        e = _checked_edges(edges, src, dst)
+        e = (e.groupBy("src", "dst").agg(F.min("length").alias("length")) if weighted
+             else e.select("src", "dst").distinct())
+        self.spark, self.width = edges.sparkSession, shuffle_partitions(edges.sparkSession)
+        self.edges, self._edge_path = write_table(e, "edges")
+        share = F.lit(max(1.0, self.edges.count() / (4.0 * self.width)))
+        degree = self.edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
+        # fewer than 4 * width rows by counting: each has over a 4P-th of the edges
+        self.hubs, self._hub_path = write_table(
+            degree.where(F.col("degree") > share)
+            .select("src", F.ceil(F.col("degree") / share).cast("int").alias("salts")), "hubs")
+        salt = F.pmod(F.xxhash64("dst"), F.coalesce("salts", F.lit(1))).cast("int")
+        self.salted = (
+            self.edges.where(F.col("src") != F.col("dst"))
+            .join(F.broadcast(self.hubs), "src", "left").withColumn("salt", salt).drop("salts")
+            .repartition(self.width, "src", "salt").sortWithinPartitions("src", "salt").persist())
+
+    def nodes(self) -> DataFrame:
+        return graph_nodes(self.edges.select(
+            F.col("src").alias("from_node"), F.col("dst").alias("to_node")))
+
+    def expand(self, frontier: DataFrame) -> DataFrame:
+        """``frontier`` (``src`` and state columns) joined to its out-edges."""
+        salts = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - F.lit(1))
+        spread = (frontier.join(F.broadcast(self.hubs), "src", "left")
+                  .withColumn("salt", F.explode(salts)).drop("salts")
+                  .repartition(self.width, "src", "salt"))
+        # both sides are dealt alike; the merge join streams the cached side
+        return spread.join(self.salted.hint("merge"), ["src", "salt"]).drop("salt")
+
+    def close(self) -> None:
+        self.salted.unpersist()
+        drop_table(self.spark, self._edge_path)
+        drop_table(self.spark, self._hub_path)
+
+
+def _initial_state(adj: _Adjacency, origin: int, columns: dict[str, Column]) -> DataFrame:
+    """All graph nodes, partitioned on ``node``; only ``origin`` is seeded."""
     is_origin = F.col("node") == F.lit(origin)
     cols = [F.col("node")]
     cols += [F.when(is_origin, value).alias(name) for name, value in columns.items()]
     cols.append(F.when(is_origin, F.lit(0)).alias("round"))
-    nodes = graph_nodes(adj.select(F.col("src").alias("from_node"), F.col("dst").alias("to_node")))
-    return nodes.repartition(n, "node").select(*cols)
+    return adj.nodes().repartition(adj.width, "node").select(*cols)
 
 
-def _fixpoint(state: DataFrame, step, max_rounds: int) -> DataFrame:
-    """Run ``state = step(state, k, frontier_rows)`` until no node changed in
-    round ``k+1``.
+def _fixpoint(adj: _Adjacency, state: DataFrame, step, max_rounds: int | None) -> DataFrame:
+    """Run ``state = step(state, k)`` until no node changed in round ``k + 1``;
+    return the written final state. Lengths are at least 0, so every graph
+    ends; ``max_rounds`` is an optional guard."""
+    spark, held, path = adj.spark, state.persist(), None
+    try:
+        for k in count():
+            if max_rounds is not None and k >= max_rounds:
+                raise RuntimeError(f"graph iteration did not converge in {max_rounds} rounds")
+            nxt = step(held, k).persist()
+            changed = nxt.where(F.col("round") == F.lit(k + 1)).count()   # fills the cache
+            held.unpersist()
+            held = nxt
+            if not changed or (k + 1) % CHECKPOINT_EVERY == 0:
+                written, new_path = write_table(held, "state")
+                if path is not None:
+                    drop_table(spark, path)
+                path = new_path
+                if not changed:
+                    return written
+                held.unpersist()
+                # a written copy has no known partitioning: deal it out once
+                held = written.repartition(adj.width, "node").persist()
+    finally:
+        held.unpersist()
 
-    One job per round computes the next state into the cache (keeping its
-    partitioning on ``node``) and counts the changed rows, which is the next
-    frontier's exact size. Every ``CHECKPOINT_EVERY`` rounds, and at the end,
-    the state is written to the reliable checkpoint directory: lineage never
-    spans more than that many rounds, and the result handed back reads the
-    written files.
-    """
-    state = state.persist()
-    frontier_rows = 1  # round 0 holds at most the origin (node ids are distinct)
+
+def _run(edges: DataFrame, origin: int, reverse: bool, weighted: bool, columns: dict[str, Column],
+         make_step, max_rounds: int | None) -> DataFrame:
+    adj = _Adjacency(edges, reverse, weighted)
     try:
-        for k in range(max_rounds):
-            nxt = step(state, k, frontier_rows).persist()
-            frontier_rows = nxt.where(F.col("round") == F.lit(k + 1)).count()
-            state.unpersist()
-            state = nxt
-            if frontier_rows == 0:
-                return _materialize(state)
-            if (k + 1) % CHECKPOINT_EVERY == 0:
-                # The written copy comes back without a known partitioning:
-                # the next round's join re-shuffles it once and caches it.
-                written = _materialize(state)
-                state.unpersist()
-                state = written
+        return _fixpoint(adj, _initial_state(adj, origin, columns), make_step(adj), max_rounds)
     finally:
-        state.unpersist()
-    raise RuntimeError(f"graph iteration did not converge in {max_rounds} rounds")
+        adj.close()
 
 
-def reachable_nodes(edges: DataFrame, source: int,
-                    max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
+def reachable_nodes(edges: DataFrame, source: int, max_rounds: int | None = None) -> DataFrame:
     """``node, level``: nodes reachable from ``source`` (itself at level 0)
     with their BFS depth. Each node is expanded exactly once."""
-    adj = _expansion_edges(edges, reverse=False, weighted=False)
-    state = _initial_state(adj, source, {"level": F.lit(0)})
-
-    def step(state: DataFrame, k: int, rows: int) -> DataFrame:
-        frontier = state.where(F.col("round") == F.lit(k)).select(F.col("node").alias("src"))
-        reached = (_expand(frontier, adj, rows).select(F.col("dst").alias("node")).distinct()
-                   .withColumn("hit", F.lit(True)))
-        new = F.col("level").isNull() & F.col("hit").isNotNull()
-        return state.join(reached, "node", "left").select(
-            "node",
-            F.when(new, F.lit(k + 1)).otherwise(F.col("level")).alias("level"),
-            F.when(new, F.lit(k + 1)).otherwise(F.col("round")).alias("round"),
-        )
-
-    try:
-        final = _fixpoint(state, step, max_rounds)
-    finally:
-        adj.unpersist()
+    def make_step(adj: _Adjacency):
+        def step(state: DataFrame, k: int) -> DataFrame:
+            frontier = state.where(F.col("round") == F.lit(k)).select(F.col("node").alias("src"))
+            reached = (adj.expand(frontier).select(F.col("dst").alias("node")).distinct()
+                       .withColumn("hit", F.lit(True)))
+            new = F.col("level").isNull() & F.col("hit").isNotNull()
+            return state.join(reached, "node", "left").select(
+                "node",
+                F.when(new, F.lit(k + 1)).otherwise(F.col("level")).alias("level"),
+                F.when(new, F.lit(k + 1)).otherwise(F.col("round")).alias("round"),
+            )
+        return step
+
+    final = _run(edges, source, False, False, {"level": F.lit(0)}, make_step, max_rounds)
     return final.where(F.col("level").isNotNull()).select("node", "level")
 
 
 def reachable_count(edges: DataFrame, source: int,
-                    max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
+                    max_rounds: int | None = None) -> DataFrame:
     """One row, ``reachable``: nodes reachable from ``source``, not counting
     the source itself; 0 for a source that is not in the graph."""
     reached = reachable_nodes(edges, source, max_rounds)
@@ -164,41 +166,33 @@ def reachable_count(edges: DataFrame, source: int,
         F.greatest(F.count(F.lit(1)) - F.lit(1), F.lit(0)).cast("bigint").alias("reachable"))
 
 
-def _distances(edges: DataFrame, origin: int, reverse: bool, max_rounds: int) -> DataFrame:
+def _distances(edges: DataFrame, origin: int, reverse: bool, max_rounds: int | None) -> DataFrame:
     """``node, distance`` from ``origin`` along the edges (or against them)."""
-    adj = _expansion_edges(edges, reverse=reverse, weighted=True)
-    state = _initial_state(adj, origin, {"dist": F.lit(0.0)})
-
-    def step(state: DataFrame, k: int, rows: int) -> DataFrame:
-        frontier = state.where(F.col("round") == F.lit(k)).select(
-            F.col("node").alias("src"), "dist")
-        cand = (_expand(frontier, adj, rows)
-                .groupBy(F.col("dst").alias("node"))
-                .agg(F.min(F.col("dist") + F.col("length")).alias("cand")))
-        better = F.col("cand").isNotNull() & (
-            F.col("dist").isNull() | (F.col("cand") < F.col("dist")))
-        return state.join(cand, "node", "left").select(
-            "node",
-            F.when(better, F.col("cand")).otherwise(F.col("dist")).alias("dist"),
-            F.when(better, F.lit(k + 1)).otherwise(F.col("round")).alias("round"),
-        )
-
-    try:
-        final = _fixpoint(state, step, max_rounds)
-    finally:
-        adj.unpersist()
-    return final.where(F.col("dist").isNotNull()).select(
-        "node", F.col("dist").alias("distance"))
-
-
-def shortest_from_source(edges: DataFrame, source: int,
-                         max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
+    def make_step(adj: _Adjacency):
+        def step(state: DataFrame, k: int) -> DataFrame:
+            frontier = state.where(F.col("round") == F.lit(k)).select(F.col("node").alias("src"), "dist")
+            cand = (adj.expand(frontier).groupBy(F.col("dst").alias("node"))
+                    .agg(F.min(F.col("dist") + F.col("length")).alias("cand")))
+            better = F.col("cand").isNotNull() & (
+                F.col("dist").isNull() | (F.col("cand") < F.col("dist")))
+            return state.join(cand, "node", "left").select(
+                "node",
+                F.when(better, F.col("cand")).otherwise(F.col("dist")).alias("dist"),
+                F.when(better, F.lit(k + 1)).otherwise(F.col("round")).alias("round"),
+            )
+        return step
+
+    final = _run(edges, origin, reverse, True, {"dist": F.lit(0.0)}, make_step, max_rounds)
+    return final.where(F.col("dist").isNotNull()).select("node", F.col("dist").alias("distance"))
+
+
+def shortest_from_source(edges: DataFrame, source: int, max_rounds: int | None = None) -> DataFrame:
     """``node, distance``: shortest distance from ``source`` to every node it
     reaches (itself 0.0). Unreached nodes and an absent source give no row."""
     return _distances(edges, source, reverse=False, max_rounds=max_rounds)
 
 
-def _to_target_state(edges: DataFrame, target: int, max_rounds: int) -> DataFrame:
+def _to_target_state(edges: DataFrame, target: int, max_rounds: int | None) -> DataFrame:
     """``node, dist, hops, next_hop`` for every node that reaches ``target``.
 
     Order of paths: distance, then number of edges, then next hop id (so a
@@ -207,43 +201,38 @@ def _to_target_state(edges: DataFrame, target: int, max_rounds: int) -> DataFram
     where only the next hop improves does not (its predecessors' candidates
     are unchanged).
     """
-    adj = _expansion_edges(edges, reverse=True, weighted=True)
-    state = _initial_state(adj, target, {
-        "dist": F.lit(0.0), "hops": F.lit(0), "next_hop": F.lit(None).cast("long")})
-
-    def step(state: DataFrame, k: int, rows: int) -> DataFrame:
-        frontier = state.where(F.col("round") == F.lit(k)).select(
-            F.col("node").alias("src"), "dist", "hops")
-        cand = (_expand(frontier, adj, rows)
-                .groupBy(F.col("dst").alias("node"))
-                .agg(F.min(F.struct(
-                    (F.col("dist") + F.col("length")).alias("d"),
-                    (F.col("hops") + F.lit(1)).alias("h"),
-                    F.col("src").alias("nh"))).alias("c")))
-        c = F.col("c")
-        better = c.isNotNull() & (
-            F.col("dist").isNull()
-            | (F.struct(c["d"], c["h"], c["nh"])
-               < F.struct(F.col("dist"), F.col("hops"), F.col("next_hop"))))
-        moved = better & (F.col("dist").isNull() | (c["d"] != F.col("dist"))
-                          | (c["h"] != F.col("hops")))
-        return state.join(cand, "node", "left").select(
-            "node",
-            F.when(better, c["d"]).otherwise(F.col("dist")).alias("dist"),
-            F.when(better, c["h"]).otherwise(F.col("hops")).alias("hops"),
-            F.when(better, c["nh"]).otherwise(F.col("next_hop")).alias("next_hop"),
-            F.when(moved, F.lit(k + 1)).otherwise(F.col("round")).alias("round"),
-        )
-
-    try:
-        final = _fixpoint(state, step, max_rounds)
-    finally:
-        adj.unpersist()
+    def make_step(adj: _Adjacency):
+        def step(state: DataFrame, k: int) -> DataFrame:
+            frontier = state.where(F.col("round") == F.lit(k)).select(
+                F.col("node").alias("src"), "dist", "hops")
+            cand = (adj.expand(frontier)
+                    .groupBy(F.col("dst").alias("node"))
+                    .agg(F.min(F.struct(
+                        (F.col("dist") + F.col("length")).alias("d"),
+                        (F.col("hops") + F.lit(1)).alias("h"),
+                        F.col("src").alias("nh"))).alias("c")))
+            c = F.col("c")
+            better = c.isNotNull() & (
+                F.col("dist").isNull()
+                | (F.struct(c["d"], c["h"], c["nh"])
+                   < F.struct(F.col("dist"), F.col("hops"), F.col("next_hop"))))
+            moved = better & (F.col("dist").isNull() | (c["d"] != F.col("dist"))
+                              | (c["h"] != F.col("hops")))
+            return state.join(cand, "node", "left").select(
+                "node",
+                F.when(better, c["d"]).otherwise(F.col("dist")).alias("dist"),
+                F.when(better, c["h"]).otherwise(F.col("hops")).alias("hops"),
+                F.when(better, c["nh"]).otherwise(F.col("next_hop")).alias("next_hop"),
+                F.when(moved, F.lit(k + 1)).otherwise(F.col("round")).alias("round"),
+            )
+        return step
+
+    start = {"dist": F.lit(0.0), "hops": F.lit(0), "next_hop": F.lit(None).cast("long")}
+    final = _run(edges, target, True, True, start, make_step, max_rounds)
     return final.where(F.col("dist").isNotNull()).select("node", "dist", "hops", "next_hop")
 
 
-def shortest_to_target(edges: DataFrame, target: int,
-                       max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
+def shortest_to_target(edges: DataFrame, target: int, max_rounds: int | None = None) -> DataFrame:
     """``node, distance``: shortest distance from every node to ``target``
     (target itself 0.0). Nodes that cannot reach it, and an absent target,
     give no row. Distances only, so the iteration runs against the edge
@@ -251,39 +240,35 @@ def shortest_to_target(edges: DataFrame, target: int,
     return _distances(edges, target, reverse=True, max_rounds=max_rounds)
 
 
-def shortest_routes_to_target(edges: DataFrame, target: int,
-                              max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
+def _double(links: DataFrame) -> DataFrame:
+    """One round of pointer doubling over ``node, distance, path, ptr``: rows
+    with a pointer append the path of the row they point to and take over its
+    pointer. Finished rows (no pointer) do not enter the join as such; they
+    are only looked up, and kept beside it."""
+    ahead = links.select(F.col("node").alias("ptr"), F.col("path").alias("p2"),
+                         F.col("ptr").alias("ptr2"))
+    moved = links.where(F.col("ptr").isNotNull()).join(ahead, "ptr").select(
+        "node", "distance", F.concat("path", "p2").alias("path"), F.col("ptr2").alias("ptr"))
+    return links.where(F.col("ptr").isNull()).unionByName(moved)
+
+
+def shortest_routes_to_target(edges: DataFrame, target: int, max_rounds: int | None = None) -> DataFrame:
     """``node, distance, route`` with ``route`` the node ids ``a->b->...->target``
     of the chosen shortest path (ties: fewest edges, then smallest next hop).
 
     Routes are assembled by pointer doubling over the ``next_hop`` links:
     after round r every row holds the first 2^r nodes of its route, so
-    ceil(log2(longest route)) rounds suffice; each is one join on ``node``.
+    ceil(log2(longest route)) rounds suffice; each is one join on ``node`` of
+    the unfinished rows, both sides read from written tables.
     """
     state = _to_target_state(edges, target, max_rounds)
-    links = state.select(
+    spark = state.sparkSession
+    links, path = write_table(state.select(
         "node", F.col("dist").alias("distance"), F.array(F.col("node")).alias("path"),
-        F.col("next_hop").alias("ptr")).persist()
-    try:
-        pending = links.where(F.col("ptr").isNotNull()).count()
-        rounds = 0
-        while pending:
-            ahead = links.select(F.col("node").alias("ptr"), F.col("path").alias("p2"),
-                                 F.col("ptr").alias("ptr2"))
-            joined = links.join(ahead, "ptr", "left")
-            nxt = joined.select(
-                "node", "distance",
-                F.when(F.col("ptr").isNull(), F.col("path"))
-                .otherwise(F.concat(F.col("path"), F.col("p2"))).alias("path"),
-                F.when(F.col("ptr").isNull(), F.lit(None).cast("long"))
-                .otherwise(F.col("ptr2")).alias("ptr")).persist()
-            pending = nxt.where(F.col("ptr").isNotNull()).count()
-            links.unpersist()
-            links = nxt
-            rounds += 1
-            if rounds > 64:  # 2^64 hops bound any route; a cycle of links would be a bug
-                raise RuntimeError("route assembly did not terminate")
-        route = F.array_join(F.transform("path", lambda x: x.cast("string")), "->")
-        return _materialize(links.select("node", "distance", route.alias("route")))
-    finally:
-        links.unpersist()
+        F.col("next_hop").alias("ptr")), "links")
+    while links.where(F.col("ptr").isNotNull()).limit(1).count():
+        nxt, nxt_path = write_table(_double(links), "links")
+        drop_table(spark, path)
+        links, path = nxt, nxt_path
+    route = F.array_join(F.transform("path", lambda x: x.cast("string")), "->")
+    return links.select("node", "distance", route.alias("route"))

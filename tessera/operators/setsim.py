@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.similarity import (
-    CEIL_EPS,
     check_threshold,
     jaccard,
     length_compatible,
@@ -22,8 +21,8 @@ from tessera.functions.similarity import (
     prefix_length,
     size_band,
 )
-from tessera.operators.grouping import MAX_LIST_ITEMS, collect_bounded
-from tessera.session import materialize, shuffle_partitions
+from tessera.operators.grouping import SEGMENT_IDS, collect_segments, segment_of
+from tessera.session import drop_table, materialize, write_table
 
 # k of the k-prefix filter in the self-join (shared prefix tokens required).
 SHARED_IN_PREFIX = 2
@@ -42,10 +41,31 @@ def token_frequency(sets: DataFrame) -> DataFrame:
     )
 
 
+def _one_per_rid(sets: DataFrame) -> DataFrame:
+    """``rid, tokens``, checked: a ``rid`` that occurs twice fails the job (its
+    records would be taken for one). The check is part of the expression that
+    gives the tokens, so no plan can drop it; an aggregate keeps one record
+    and a count per ``rid``, nothing more."""
+    one = sets.groupBy("rid").agg(F.any_value("tokens").alias("tokens"), F.count(F.lit(1)).alias("times"))
+    repeated = F.raise_error(F.concat(F.lit("repeated rid in set records: "), F.col("rid").cast("string")))
+    return one.select("rid", F.when(F.col("times") > 1, repeated).otherwise(F.col("tokens")).alias("tokens"))
+
+
 def _distinct_tokens(sets: DataFrame) -> DataFrame:
     """``rid, toks, n``: the distinct tokens of each record and their number."""
     toks = F.array_distinct(F.col("tokens"))
-    return sets.select(F.col("rid"), toks.alias("toks")).withColumn("n", F.size("toks"))
+    return _one_per_rid(sets).select(F.col("rid"), toks.alias("toks")).withColumn("n", F.size("toks"))
+
+
+def _frequency_join(pairs: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``pairs`` with ``freq``, the number of rows that have its ``key``.
+
+    The frequencies are written first: both sides of the join are then plain
+    shuffles (or the small one a broadcast, by its file size), so adaptive
+    execution splits the partition of a token that every record has."""
+    freq = materialize(pairs.where(F.col(key).isNotNull()).groupBy(key)
+                       .agg(F.count(F.lit(1)).alias("freq")), "freq")
+    return pairs.join(freq, key, how)
 
 
 def _ranked_tokens(records: DataFrame, by_hash: bool = False) -> DataFrame:
@@ -62,12 +82,10 @@ def _ranked_tokens(records: DataFrame, by_hash: bool = False) -> DataFrame:
     pairs = records.select("rid", "n", F.explode("toks").alias("token"))
     if by_hash:
         pairs = pairs.withColumn("th", F.xxhash64("token"))
-        freq = pairs.groupBy("th").agg(F.count(F.lit(1)).alias("freq"))
         order = Window.partitionBy("rid").orderBy("freq", "th", "token")
-        return pairs.join(freq, "th").withColumn("pos", F.row_number().over(order))
-    freq = pairs.groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+        return _frequency_join(pairs, "th").withColumn("pos", F.row_number().over(order))
     order = Window.partitionBy("rid").orderBy("freq", "token")
-    return pairs.join(freq, "token").withColumn("pos", F.row_number().over(order))
+    return _frequency_join(pairs, "token").withColumn("pos", F.row_number().over(order))
 
 
 def order_tokens(sets: DataFrame) -> DataFrame:
@@ -82,27 +100,27 @@ def order_tokens(sets: DataFrame) -> DataFrame:
         pairs = sets.select("rid", "token").distinct()
     else:
         pairs = _distinct_tokens(sets).select("rid", F.explode_outer("toks").alias("token"))
-    freq = pairs.where(F.col("token").isNotNull()).groupBy("token").agg(
-        F.count(F.lit(1)).alias("freq"))
     keyed = F.when(F.col("token").isNotNull(), F.struct("freq", "token"))
     return (
-        pairs.join(freq, "token", "left")
+        _frequency_join(pairs, "token", "left")
         .groupBy("rid").agg(F.array_sort(F.collect_list(keyed)).alias("_s"))
         .select("rid", F.transform("_s", lambda x: x["token"]).alias("tokens"))
     )
 
 
-def prefix_index(sets: DataFrame, t: float, max_items: int = MAX_LIST_ITEMS) -> DataFrame:
-    """Inverted index of prefix tokens: ``token, part, rids`` (sorted).
+def prefix_index(sets: DataFrame, t: float, segment_ids: int = SEGMENT_IDS) -> DataFrame:
+    """Inverted index of prefix tokens: ``token, segment, rids`` (sorted), a row
+    for each ``rid div segment_ids`` that has the token.
 
     A record of ``n`` distinct tokens contributes its first
-    ``n - ceil(n*t) + 1`` tokens in the global order. Tokens indexed by more
-    than ``max_items`` records come in several parts.
+    ``n - ceil(n*t) + 1`` tokens in the global order.
     """
     t = check_threshold(t)
     prefix = _ranked_tokens(_distinct_tokens(sets)).where(
         F.col("pos") <= prefix_length(F.col("n"), t))
-    return collect_bounded(prefix, "token", F.col("rid"), ["rid"], "rids", max_items=max_items)
+    return collect_segments(
+        prefix.select("token", segment_of(F.col("rid"), segment_ids).alias("segment"), "rid"),
+        "token", "rid", "rids")
 
 
 def similarity_candidates(sets: DataFrame, t: float) -> DataFrame:
@@ -221,9 +239,10 @@ def set_similarity_join(sets: DataFrame, t: float, ordered: bool = True) -> Data
     Plan:
 
     1. The records (sorted distinct tokens, their number, a signature of the
-       set and the 64-bit token hashes) are computed once and cached
-       hash-partitioned on ``rid``. Later joins on ``rid`` find them already
-       partitioned: only candidate pairs move, never the records.
+       set and the 64-bit token hashes) are computed and written once. Later
+       joins on ``rid`` shuffle both the written records and the pairs, so a
+       record with very many candidates is split over tasks by adaptive
+       execution instead of sitting in the one task that owns its ``rid``.
     2. Exact copies are collapsed to one representative
        (:func:`_exact_copies`), so a large group of copies costs its output
        pairs only, not a quadratic blow-up per prefix token.
@@ -237,19 +256,17 @@ def set_similarity_join(sets: DataFrame, t: float, ordered: bool = True) -> Data
     5. Exact: the surviving pairs are verified on the token strings, then
        expanded back to all copies (:func:`_expand_copies`).
 
-    The result is written to the reliable checkpoint directory before the
-    cached records are released, so the returned DataFrame reads those files.
+    The result is written before the records are deleted, so the returned
+    DataFrame reads those files.
     """
     t = check_threshold(t)
-    n_parts = shuffle_partitions(sets.sparkSession)
     toks = F.array_sort(F.array_distinct(F.col("tokens")))
-    records = (
-        sets.select("rid", toks.alias("toks"))
+    records, path = write_table(
+        _one_per_rid(sets).select("rid", toks.alias("toks"))
         .where(F.size("toks") > F.lit(0))
         .select("rid", "toks", F.size("toks").alias("n"), F.xxhash64("toks").alias("sig"),
-                F.array_distinct(F.transform("toks", lambda x: F.xxhash64(x))).alias("h"))
-        .repartition(n_parts, "rid").persist()
-    )
+                F.array_distinct(F.transform("toks", lambda x: F.xxhash64(x))).alias("h")),
+        "records")
     try:
         copies = _exact_copies(records)
         singles = records.join(copies, "rid", "left_anti")
@@ -275,5 +292,5 @@ def set_similarity_join(sets: DataFrame, t: float, ordered: bool = True) -> Data
                     .where(F.col("sim") >= F.lit(t)))
         out = materialize(_expand_copies(verified, copies))
     finally:
-        records.unpersist()
+        drop_table(sets.sparkSession, path)
     return out.orderBy("rid_a", "rid_b") if ordered else out

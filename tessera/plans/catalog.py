@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import WORD_DELIMITER_REGEX
 from tessera.operators import edges as E
 from tessera.operators import paths as P
 from tessera.operators import setsim as J
@@ -24,11 +23,9 @@ SOURCE = 0            # start node of sssp_from_source / reachable_count
 TARGET = 0            # target node of the shortest-path-to-target jobs
 T_ORDERS = 0.5        # Jaccard threshold on order part sets
 T_DOCS = 0.5          # Jaccard threshold on document word sets
-ORACLE_MAX_STEPS = 64  # recursion bound of the path oracles (>> longest route)
-
-
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
+SEGMENT = 1000        # ids per list segment in reverse_adjacency and prefix_index
+# Steps of the path oracles; they fail if the last step still changes a row.
+ORACLE_MAX_STEPS = 64
 
 
 # ---- Spark side -------------------------------------------------------------
@@ -46,7 +43,7 @@ def _graph_nodes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _reverse_adjacency(spark: SparkSession, sf: str) -> DataFrame:
-    return E.adjacency_text(E.reverse_adjacency(V.edges_path(spark, sf)))
+    return E.adjacency_text(E.reverse_adjacency(V.edges_path(spark, sf), SEGMENT))
 
 
 def _word_count_raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,9 +64,9 @@ def _global_order_sets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _prefix_index(spark: SparkSession, sf: str) -> DataFrame:
-    index = J.prefix_index(V.sets_orders(spark, sf), T_ORDERS)
+    index = J.prefix_index(V.sets_orders(spark, sf), T_ORDERS, SEGMENT)
     return index.select(
-        "token", F.array_join(F.transform("rids", lambda r: r.cast("string")), ",").alias("rids"))
+        "token", "segment", F.array_join(F.transform("rids", lambda r: r.cast("string")), ",").alias("rids"))
 
 
 def _set_similarity_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,6 +119,13 @@ _EDGES_SUPPLY = ("es AS (SELECT l_suppkey AS from_node, l_partkey AS to_node, "
 _EDGES_PATH = ("ep AS (SELECT l_partkey AS f, l_orderkey % (SELECT count(*) FROM part) AS t, "
                "l_quantity AS w FROM lineitem)")
 _LINES = "ld AS (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)"
+# The delimiters of the normalising word count, written out for SQL on its own.
+_DELIMITERS = """'*$&#/,.:;?![](){}<>~-_"\\' || chr(39) || chr(9) || chr(10) || chr(12)"""
+# The node, or an error if the last step still changed something.
+_SETTLED = f"""CASE WHEN (SELECT count(*) FROM (
+    SELECT v, d FROM r WHERE step = {ORACLE_MAX_STEPS}
+    EXCEPT SELECT v, d FROM r WHERE step = {ORACLE_MAX_STEPS - 1})) > 0
+  THEN CAST(error('the path oracle needs more steps') AS BIGINT) ELSE v END"""
 _ORDER_TOKENS = ("p AS (SELECT DISTINCT l_orderkey AS rid, CAST(l_partkey AS VARCHAR) AS token "
                  "FROM lineitem)")
 _DOC_TOKENS = ("p AS (SELECT DISTINCT rid, token FROM (SELECT doc_id AS rid, "
@@ -172,11 +176,13 @@ SELECT f AS node FROM ep UNION SELECT t FROM ep""",
     "reverse_adjacency": f"""
 WITH {_EDGES_PATH},
 d AS (SELECT DISTINCT t AS node, f, w FROM ep),
-n AS (SELECT f AS node FROM ep UNION SELECT t FROM ep)
-SELECT n.node,
-       coalesce(string_agg(CAST(d.f AS VARCHAR) || ':' || CAST(CAST(d.w AS BIGINT) AS VARCHAR),
+n AS (SELECT f AS node, CAST(0 AS BIGINT) AS segment FROM ep UNION SELECT t, 0 FROM ep
+      UNION SELECT t, CAST(floor(f / {SEGMENT}) AS BIGINT) FROM ep)
+SELECT n.node, n.segment,
+       coalesce(string_agg(CAST(d.f AS VARCHAR) || ':' || CAST(d.w AS VARCHAR),
                            ',' ORDER BY d.f, d.w), '') AS neighbors
-FROM n LEFT JOIN d ON d.node = n.node GROUP BY n.node""",
+FROM n LEFT JOIN d ON d.node = n.node AND floor(d.f / {SEGMENT}) = n.segment
+GROUP BY n.node, n.segment""",
     "word_count_raw": f"""
 WITH {_LINES},
 w AS (SELECT CASE WHEN value = '' THEN ['']
@@ -186,7 +192,7 @@ SELECT word, count(*) AS cnt FROM (SELECT unnest(ws) AS word FROM w) GROUP BY wo
     "word_count_normalized": f"""
 WITH {_LINES}
 SELECT word, count(*) AS cnt FROM (
-  SELECT lower(unnest(list_filter(regexp_split_to_array(value, {_sql_str(WORD_DELIMITER_REGEX)}),
+  SELECT lower(unnest(list_filter(string_split(translate(value, {_DELIMITERS}, repeat(' ', 31)), ' '),
                                   lambda x: x <> ''))) AS word FROM ld)
 GROUP BY word""",
     "token_frequency": """
@@ -204,15 +210,16 @@ n AS (SELECT rid, count(*) AS n FROM p GROUP BY rid),
 r AS (SELECT p.rid, p.token, n.n,
              row_number() OVER (PARTITION BY p.rid ORDER BY f.freq, p.token) AS pos
       FROM p JOIN f USING (token) JOIN n USING (rid))
-SELECT token, string_agg(CAST(rid AS VARCHAR), ',' ORDER BY rid) AS rids FROM r
+SELECT token, CAST(floor(rid / {SEGMENT}) AS BIGINT) AS segment,
+       string_agg(CAST(rid AS VARCHAR), ',' ORDER BY rid) AS rids FROM r
 WHERE pos <= n - ceil(CAST(n AS DOUBLE) * {T_ORDERS!r} - 1e-9) + 1
-GROUP BY token""",
+GROUP BY 1, 2""",
     "set_similarity_join": _jaccard_sql(_ORDER_TOKENS, T_ORDERS),
     "set_similarity_join_docs": _jaccard_sql(_DOC_TOKENS, T_DOCS),
     "sp_to_target": _TO_TARGET_SQL + f"""
-SELECT v AS node, d AS distance FROM r WHERE step = {ORACLE_MAX_STEPS}""",
+SELECT {_SETTLED} AS node, d AS distance FROM r WHERE step = {ORACLE_MAX_STEPS}""",
     "sp_routes_to_target": _TO_TARGET_SQL + f"""
-SELECT v AS node, d AS distance, array_to_string(p, '->') AS route
+SELECT {_SETTLED} AS node, d AS distance, array_to_string(p, '->') AS route
 FROM r WHERE step = {ORACLE_MAX_STEPS}""",
     "sssp_from_source": f"""
 WITH RECURSIVE {_EDGES_PATH},
@@ -224,7 +231,7 @@ r(step, v, d) AS (
   UNION ALL
   SELECT step + 1, s.t, min(r.d + s.w) FROM r JOIN s ON s.f = r.v
   WHERE r.step < {ORACLE_MAX_STEPS} GROUP BY r.step, s.t)
-SELECT v AS node, d AS distance FROM r WHERE step = {ORACLE_MAX_STEPS}""",
+SELECT {_SETTLED} AS node, d AS distance FROM r WHERE step = {ORACLE_MAX_STEPS}""",
     "reachable_count": f"""
 WITH RECURSIVE {_EDGES_PATH},
 e AS (SELECT DISTINCT f, t FROM ep),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,18 +21,24 @@ def read_edges(spark: SparkSession, path: str) -> DataFrame:
     """``edge_id from to length`` lines, one space apart.
 
     Blank lines are skipped by the CSV source; a short or non-numeric line
-    fails the job (FAILFAST, with CSV column pruning off so every field is
-    parsed). Parallel file splits, schema on read, nothing inferred.
+    fails the job (FAILFAST, with this reader's column pruning off so that
+    every field is parsed). So does an empty field, which the CSV source reads
+    as null: the check is part of the expressions that give the columns.
+    Parallel file splits, schema on read, nothing inferred.
     """
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    return (
+    lines = (
         spark.read.schema(EDGE_SCHEMA)
         .option("sep", " ")
         .option("mode", "FAILFAST")
+        .option("columnPruning", "false")
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "true")
         .csv(path)
     )
+    gap = reduce(or_, (F.col(f.name).isNull() for f in EDGE_SCHEMA.fields))
+    return lines.select(*(
+        F.when(gap, F.raise_error(F.lit("empty field in an edge line"))).otherwise(F.col(f.name))
+        .alias(f.name) for f in EDGE_SCHEMA.fields))
 
 
 def read_sets(spark: SparkSession, path: str) -> DataFrame:

@@ -36,23 +36,30 @@ def test_graph_nodes(edges, rows):
     assert sorted(r.node for r in graph_nodes(edges(rows)).collect()) == [0, 1, 2, 3, 4]
 
 
+def lists(df):
+    return {(r.node, r.segment): r.neighbors for r in df.collect()}
+
+
 def test_reverse_adjacency_e3(edges):
-    got = {r.node: r.neighbors for r in adjacency_text(reverse_adjacency(edges(E3))).collect()}
-    assert got == {0: "", 1: "0:10,2:3", 2: "1:3", 3: "1:1,2:9,4:6", 4: "2:2,3:4"}
+    got = lists(adjacency_text(reverse_adjacency(edges(E3))))
+    assert got == {(0, 0): "", (1, 0): "0:10.0,2:3.0", (2, 0): "1:3.0",
+                   (3, 0): "1:1.0,2:9.0,4:6.0", (4, 0): "2:2.0,3:4.0"}
 
 
 def test_reverse_adjacency_duplicates(edges):
     # exact duplicates once; a parallel edge of another length is kept;
-    # "1:1.0" must not be taken for part of "11:1.0"
-    rows = [(0, 1, 5, 1.0), (1, 1, 5, 1.0), (2, 1, 5, 2.0), (3, 11, 5, 1.0)]
-    got = {r.node: r.neighbors for r in adjacency_text(reverse_adjacency(edges(rows))).collect()}
-    assert got == {5: "1:1,1:2,11:1", 1: "", 11: ""}
-
-
-def test_reverse_adjacency_splits_hot_node(edges):
-    rows = [(i, i, 99, float(i % 3)) for i in range(50)]
-    adj = reverse_adjacency(edges(rows), max_items=8).where("node = 99").collect()
-    assert len(adj) >= 2
-    assert all(len(r.neighbors) <= 20 for r in adj)
-    merged = sorted((x.from_node, x.length) for r in adj for x in r.neighbors)
-    assert merged == sorted((i, float(i % 3)) for i in range(50))
+    # "1:1.0" must not be taken for part of "11:1.0"; lengths are not rounded
+    rows = [(0, 1, 5, 1.2), (1, 1, 5, 1.2), (2, 1, 5, 1.7), (3, 11, 5, 1.0)]
+    got = lists(adjacency_text(reverse_adjacency(edges(rows))))
+    assert got == {(5, 0): "1:1.2,1:1.7,11:1.0", (1, 0): "", (11, 0): ""}
+
+
+def test_reverse_adjacency_segments(edges):
+    rows = [(i, i, 99, float(i % 3)) for i in range(50)] + [(50, -3, 99, 1.0), (51, 30, 7, 2.0)]
+    got = lists(reverse_adjacency(edges(rows), segment_ids=8))
+    for segment in range(-1, 7):
+        want = [(f, w) for _, f, t, w in rows if t == 99 and f // 8 == segment]
+        assert [tuple(x) for x in got[99, segment]] == sorted(want)
+    assert got[7, 0] == [] and [tuple(x) for x in got[7, 3]] == [(30, 2.0)]
+    assert {k for k in got if k[0] == 99} == {(99, s) for s in range(-1, 7)}
+    assert all(got[i, 0] == [] for i in range(50) if i != 7)

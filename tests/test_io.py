@@ -40,6 +40,15 @@ def test_read_edges_short_line_fails(spark):
         read_edges(spark, p).collect()
 
 
+@pytest.mark.parametrize("line", ["1  2 3.0", "0 0  10.0", " 0 1 2.0", "0 1 2 "])
+def test_read_edges_empty_field_fails(spark, line):
+    p = write(os.path.join(scratch(), "g.txt"), f"0 0 1 10.0\n{line}\n")
+    before = spark.conf.getAll
+    with pytest.raises(Exception):
+        read_edges(spark, p).select("edge_id").collect()
+    assert spark.conf.getAll == before
+
+
 def test_read_sets_trailing_space(spark):
     d = scratch()
     p = write(os.path.join(d, "s.txt"), "0 1 4 5 6 \n1 2 3 6\n\n2 \n")

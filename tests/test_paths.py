@@ -84,9 +84,13 @@ def test_parallel_edges_and_self_loops(edges):
     assert routes(shortest_routes_to_target(edges(rows), 0)) == {0: (0.0, "0"), 1: (2.0, "1->0")}
 
 
-def test_negative_length_fails(edges):
-    with pytest.raises(Exception, match="negative edge length"):
-        shortest_from_source(edges(parse_edges("0-1:-1")), 0).collect()
+@pytest.mark.parametrize("length", [-1.0, float("nan"), None])
+def test_bad_length_fails(spark, length):
+    from conftest import EDGE_DDL
+    rows = spark.createDataFrame([(0, 0, 1, 1.0), (1, 1, 2, length)], EDGE_DDL.replace("double", "double"))
+    for job in (shortest_from_source, shortest_routes_to_target, reachable_count):
+        with pytest.raises(Exception, match="edge lengths must be"):
+            job(rows, 0).collect()
 
 
 def dijkstra(adj, source):

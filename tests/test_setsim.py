@@ -73,7 +73,7 @@ def test_order_tokens_long_form(spark, sets):
 
 
 def test_prefix_index(sets):
-    got = {r.token: r.rids for r in prefix_index(sets(T), 0.5).collect()}
+    got = {r.token: r.rids for r in prefix_index(sets(T), 0.5).where("segment = 0").collect()}
     assert got == {"1": [0, 3], "2": [1, 4], "3": [1, 5], "4": [0, 2, 3], "5": [0, 2, 4, 5]}
 
 
@@ -174,12 +174,16 @@ def test_groups_of_copies(sets, t):
     assert pairs(set_similarity_join(sets(records), t)) == expected
 
 
-def test_prefix_index_splits_hot_token(sets):
-    # token "0" is in the prefix of all 30 records: with max_items=4 its
-    # record list comes in several parts that together hold every record
+def test_prefix_index_segments(sets):
     records = [(rid, [0, 100 + rid]) for rid in range(30)]
-    rows = prefix_index(sets(records), 1.0, max_items=4).where("token = '100'").collect()
-    assert len(rows) == 1 and rows[0].rids == [0]
-    hot = prefix_index(sets(records), 0.5, max_items=4).where("token = '0'").collect()
-    assert len(hot) >= 4
-    assert sorted(r for row in hot for r in row.rids) == list(range(30))
+    rows = prefix_index(sets(records), 0.5, segment_ids=4).where("token = '0'").collect()
+    assert {r.segment: r.rids for r in rows} == {
+        s: [rid for rid in range(30) if rid // 4 == s] for s in range(8)}
+
+
+@pytest.mark.parametrize("job", [
+    lambda d: set_similarity_join(d, 0.8), lambda d: prefix_index(d, 0.8), order_tokens])
+def test_repeated_rid_fails(sets, job):
+    x, y = [f"x{i}" for i in range(10)], [f"y{i}" for i in range(10)]
+    with pytest.raises(Exception, match="repeated rid"):
+        job(sets([(1, x), (1, y), (2, y[:9] + ["z"])])).collect()
