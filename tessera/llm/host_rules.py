@@ -117,18 +117,16 @@ def host_verdicts(measured: DataFrame) -> DataFrame:
     hosts = materialize(hosts, "hosts")
     n, f = F.col("n_docs").cast("double"), F.col("n_failed").cast("double")
     m = hosts.select(F.sum(f) / F.sum(n)).scalar()
-    prior = hosts.select(m.alias("m"), n.alias("n"), (f / n - m).alias("d"))
-    prior = prior.agg(F.max("m").alias("m"),
-                      (F.sum(F.col("n") * F.col("d") * F.col("d")) / F.sum("n")).alias("v"))
     spread = F.col("m") * (F.lit(1.0) - F.col("m"))
     k = F.when(F.col("v") * MAX_CONCENTRATION <= spread, F.lit(MAX_CONCENTRATION)).otherwise(
         F.greatest(F.lit(1.0), spread / F.col("v") - F.lit(1.0)))
-    prior = prior.select("m", k.alias("k"))
-    rate = (f + F.col("m") * F.col("k")) / (n + F.col("k"))
+    k = (hosts.select(m.alias("m"), n.alias("n"), (f / n - m).alias("d"))
+         .agg(F.max("m").alias("m"), (F.sum(F.col("n") * F.col("d") * F.col("d")) / F.sum("n")).alias("v"))
+         .select(k.alias("k")).scalar())
+    rate = (f + m * k) / (n + k)
     verdict = (F.when(F.col("rate") >= BLOCK_RATE, "blocked")
                .when(F.col("rate") >= STRICT_RATE, "strict").otherwise("open"))
-    # the prior is one row: no product of tables
-    return (hosts.crossJoin(F.broadcast(prior)).withColumn("rate", rate)
+    return (hosts.withColumn("rate", rate)
             .select("host", "n_docs", "n_failed", "rate", verdict.alias("verdict")))
 
 
