@@ -4,10 +4,12 @@ The base patterns are searched in the text as it is. Then a chain of
 transducers normalises disguises; each maps a text to a text and keeps, for
 every character it puts out, the source span it came from:
 
-1. homoglyphs (Cyrillic, Greek, full-width forms, typographic dashes and
-   spaces) become ASCII, zero-width characters vanish;
-2. runs of spelled digits become digits ("plus one five five five");
-3. "[at]", "(dot)", " at ... dot ..." become "@" and ".".
+1. homoglyphs (Cyrillic, Greek, full-width forms, digits of other scripts,
+   typographic dashes and spaces) become ASCII, zero-width characters vanish;
+2. the letters O, o, I and l in runs that are mostly digits become digits;
+3. runs of spelled digits become digits ("plus one five five five");
+4. "[at]", "(dot)", "&#64;", " at ... dot ..." become "@" and ".", also between
+   numbers ("10[.]0[.]0[.]1").
 
 The same patterns are searched in the result, and a match that touches a
 changed character and no span found before is mapped back to the source. Base
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -97,7 +100,11 @@ _SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four"
 # ---------------------------------------------------------------------------
 _FULL_WIDTH = {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)}
 HOMOGLYPHS = _LOOKALIKE | _FULL_WIDTH
-_HOMOGLYPH = re.compile("[" + re.escape("".join(HOMOGLYPHS)) + "]")
+_HOMOGLYPH = re.compile("[" + re.escape("".join(HOMOGLYPHS)) + r"]|(?![0-9])\d")
+_DIGIT_LETTERS = {"O": "0", "o": "0", "I": "1", "l": "1"}
+_DIGIT_LETTER = re.compile("[OoIl]")
+_MIXED_HINT = re.compile(r"[0-9][ ().-]{0,2}[OoIl]|[OoIl][ ().-]{0,2}[0-9]")
+_MIXED_RUN = re.compile(r"(?<![A-Za-z0-9])\+?[0-9OoIl]+(?:[ ().-]{1,2}[0-9OoIl]+)*(?![A-Za-z0-9])")
 _WORD = "|".join(_SPELLED)
 # two or more spelled digits in a row; "plus" and "dot" between or before them
 _SPELLED_RUN = re.compile(
@@ -106,7 +113,7 @@ _SPELLED_RUN = re.compile(
 _SPELLED_ONE = re.compile(rf"\b(?:{_WORD})\b", re.IGNORECASE)
 _SPELLED_PART = re.compile(r"[0-9]+|[A-Za-z]+")
 _LABEL = r"[A-Za-z0-9][A-Za-z0-9-]*"
-_AT = r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*"
+_AT = r"(?:\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|&#0*64;|&#x0*40;|&commat;|%40)"
 _DOT = r"\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*"
 # bracketed, or both bare words before a usual top-level name: "name at host dot org"
 _TOP = "com|org|net|edu|gov|mil|int|info|biz|io|co|eu|us|uk|de|fr|es|it|nl|ch|at|ca|au"
@@ -114,9 +121,11 @@ _DISGUISED = re.compile(
     rf"[A-Za-z0-9._%+-]+(?:{_DOT}[A-Za-z0-9_%+-]+)*{_AT}{_LABEL}(?:(?:{_DOT}|\s+dot\s+|\.){_LABEL})+"
     rf"|[A-Za-z0-9._%+-]+(?:\s+dot\s+[A-Za-z0-9_%+-]+)*\s+at\s+{_LABEL}(?:(?:{_DOT}|\s+dot\s+){_LABEL})*"
     rf"(?:{_DOT}|\s+dot\s+)(?:{_TOP})\b"
-    rf"|[A-Za-z0-9._%+-]+@{_LABEL}(?:(?:{_DOT}|\s+dot\s+|\.){_LABEL})+",
+    rf"|[A-Za-z0-9._%+-]+@{_LABEL}(?:(?:{_DOT}|\s+dot\s+|\.){_LABEL})+"
+    rf"|[0-9]+(?:(?:{_DOT}|\s+dot\s+|\.)[0-9]+){{3}}",
     re.IGNORECASE)
-_HINT = re.compile(r"\bdot\b|[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]", re.IGNORECASE)
+_GAP = re.compile(rf"{_AT}|{_DOT}|\s+(?:at|dot)\s+", re.IGNORECASE)
+_HINT = re.compile(rf"\bdot\b|{_AT}|{_DOT}", re.IGNORECASE)
 
 
 class Mapped:
@@ -150,7 +159,19 @@ class Mapped:
 
 
 def _homoglyphs(m: Mapped) -> Mapped:
-    return m.rewrite([(x.start(), x.end(), HOMOGLYPHS[x.group()]) for x in _HOMOGLYPH.finditer(m.text)])
+    return m.rewrite([
+        (x.start(), x.end(), HOMOGLYPHS[x[0]] if x[0] in HOMOGLYPHS else str(unicodedata.decimal(x[0])))
+        for x in _HOMOGLYPH.finditer(m.text)])
+
+
+def _digit_letters(m: Mapped) -> Mapped:
+    edits = []
+    for run in _MIXED_RUN.finditer(m.text):
+        digits = len(_DIGITS.findall(run[0]))
+        letters = [x for x in _DIGIT_LETTER.finditer(m.text, run.start(), run.end())]
+        if letters and digits >= 2 * len(letters):
+            edits += [(x.start(), x.end(), _DIGIT_LETTERS[x[0]]) for x in letters]
+    return m.rewrite(edits)
 
 
 def _spelled_digits(m: Mapped) -> Mapped:
@@ -175,10 +196,9 @@ def _at_and_dot(m: Mapped) -> Mapped:
     edits = []
     for x in _DISGUISED.finditer(m.text):
         # split the match into its labels; what lies between is "@" or "."
-        for gap in re.finditer(rf"{_AT}|{_DOT}|\s+(?:at|dot)\s+", x.group(), re.IGNORECASE):
-            word = re.search(r"at|@|dot|\.", gap.group(), re.IGNORECASE).group().lower()
-            edits.append((x.start() + gap.start(), x.start() + gap.end(),
-                          "@" if word in ("at", "@") else "."))
+        for gap in _GAP.finditer(m.text, x.start(), x.end()):
+            is_dot = "dot" in gap[0].lower() or "." in gap[0]
+            edits.append((gap.start(), gap.end(), "." if is_dot else "@"))
     return m.rewrite(edits)
 
 
@@ -189,13 +209,15 @@ def find_disguised(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[s
     if not text.isascii() and _HOMOGLYPH.search(text):
         m = _homoglyphs(Mapped.plain(text))
     flat = text if m is None else m.text
+    if _MIXED_HINT.search(flat):
+        m = _digit_letters(m or Mapped.plain(text))
+        flat = m.text
     low = flat.lower()
     if any(w in low for w in ("zero", "two", "three", "four", "five", "six", "seven", "eight", "nine")):
         if _SPELLED_RUN.search(flat):
             m = _spelled_digits(m or Mapped.plain(text))
             flat = m.text
-    if ("dot" in low or ("@" in flat or "at" in low) and any(c in flat for c in "[({<")) \
-            and _HINT.search(flat):
+    if ("dot" in low or any(c in flat for c in "[({<&%")) and _HINT.search(flat):
         m = _at_and_dot(m or Mapped.plain(text))
     if m is None:
         return []
