@@ -217,7 +217,10 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, bits: int = BITS
     sample = (table.where(F.col("h").isNotNull()).orderBy("h", F.xxhash64("found"))
               .limit(fit_rows).select("pos", "found").toArrow())
     drop_table(spark, path)
-    rows_in = [np.asarray(x, dtype=np.int32) for x in sample.column("found").to_pylist()]
+    rows_in = []
+    for chunk in sample.column("found").chunks:
+        values, edge = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        rows_in += [values[s:e] for s, e in zip(edge[:-1], edge[1:])]
     marks = np.array(sample.column("pos").to_pylist(), dtype=np.int64)
     q, p = counts + 1.0
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
