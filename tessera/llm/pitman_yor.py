@@ -57,7 +57,7 @@ from tessera.session import ensure_checkpoint_dir, shuffle_partitions
 CONTEXTS = 1 << 16        # context restaurants
 THETA = 1.0
 PARENT_DISCOUNT = 0.5
-PACK_TOKENS = 1_000_000
+PACK_TOKENS = 600_000
 BURN_IN = 2
 SAMPLES = 4
 BLOCK = 0.02
