@@ -37,7 +37,7 @@ from tessera.llm.common import append_columns, id_remainder, raw_texts
 from tessera.session import write_table, drop_table
 
 BITS = 18
-FIT_ROWS = 8000           # bound of the sample that the descent sees
+FIT_ROWS = 4000           # bound of the sample that the descent sees
 EPOCHS = 12
 COST = 1.0
 HELD_OUT = 5              # ids with crc32 mod 5 = 0 are never learnt from
@@ -114,7 +114,7 @@ def descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, cost: floa
     for found in rows:
         x = ratio[found]
         norm = np.sqrt(x @ x)
-        values.append(x / norm if norm else x)
+        values.append((x / norm if norm else x).astype(np.float32))
     square = np.array([v @ v + 1.0 for v in values])
     alpha = np.zeros(len(rows))
     for _ in range(epochs):
