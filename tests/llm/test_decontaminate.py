@@ -69,3 +69,10 @@ def test_empty_tables(docs, items):
     assert run(docs([(1, "a b c d e f")]), items([])) == []
     assert D.drop_contaminated(docs([(1, "x")]), items([])).count() == 1
     assert D.drop_contaminated(docs([]), items([(1, "x")])).count() == 0
+
+
+def test_main_path_is_native(spark, docs, items):
+    d = docs([(1, "a b c d e f g"), (2, "x")])
+    for df in (D.contamination_report(d, items([(1, "a b c d e f")])), D.drop_contaminated(d, items([(1, "a b c d e f")]))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
