@@ -74,14 +74,17 @@ class _Adjacency:
             .repartition(self.width, "src", "salt").sortWithinPartitions("src", "salt").persist())
 
     def nodes(self) -> DataFrame:
-        return graph_nodes(self.edges.select(
+        """``node, salts``: every end of an edge and the salts of its out-edges."""
+        nodes = graph_nodes(self.edges.select(
             F.col("src").alias("from_node"), F.col("dst").alias("to_node")))
+        hubs = F.broadcast(self.hubs.withColumnRenamed("src", "node"))
+        return nodes.join(hubs, "node", "left").select(
+            "node", F.coalesce("salts", F.lit(1)).alias("salts"))
 
     def expand(self, frontier: DataFrame) -> DataFrame:
-        """``frontier`` (``src`` and state columns) joined to its out-edges."""
-        salts = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - F.lit(1))
-        spread = (frontier.join(F.broadcast(self.hubs), "src", "left")
-                  .withColumn("salt", F.explode(salts)).drop("salts")
+        """``frontier`` (``src, salts`` and state columns) joined to its out-edges."""
+        salts = F.sequence(F.lit(0), F.col("salts") - F.lit(1))
+        spread = (frontier.withColumn("salt", F.explode(salts)).drop("salts")
                   .repartition(self.width, "src", "salt"))
         # both sides are dealt alike; the merge join streams the cached side
         return spread.join(self.salted.hint("merge"), ["src", "salt"]).drop("salt")
@@ -95,7 +98,7 @@ class _Adjacency:
 def _initial_state(adj: _Adjacency, origin: int, columns: dict[str, Column]) -> DataFrame:
     """All graph nodes, partitioned on ``node``; only ``origin`` is seeded."""
     is_origin = F.col("node") == F.lit(origin)
-    cols = [F.col("node")]
+    cols = [F.col("node"), F.col("salts")]
     cols += [F.when(is_origin, value).alias(name) for name, value in columns.items()]
     cols.append(F.when(is_origin, F.lit(0)).alias("round"))
     return adj.nodes().repartition(adj.width, "node").select(*cols)
@@ -142,12 +145,12 @@ def reachable_nodes(edges: DataFrame, source: int, max_rounds: int | None = None
     with their BFS depth. Each node is expanded exactly once."""
     def make_step(adj: _Adjacency):
         def step(state: DataFrame, k: int) -> DataFrame:
-            frontier = state.where(F.col("round") == F.lit(k)).select(F.col("node").alias("src"))
+            frontier = state.where(F.col("round") == F.lit(k)).select(F.col("node").alias("src"), "salts")
             reached = (adj.expand(frontier).select(F.col("dst").alias("node")).distinct()
                        .withColumn("hit", F.lit(True)))
             new = F.col("level").isNull() & F.col("hit").isNotNull()
             return state.join(reached, "node", "left").select(
-                "node",
+                "node", "salts",
                 F.when(new, F.lit(k + 1)).otherwise(F.col("level")).alias("level"),
                 F.when(new, F.lit(k + 1)).otherwise(F.col("round")).alias("round"),
             )
@@ -170,13 +173,14 @@ def _distances(edges: DataFrame, origin: int, reverse: bool, max_rounds: int | N
     """``node, distance`` from ``origin`` along the edges (or against them)."""
     def make_step(adj: _Adjacency):
         def step(state: DataFrame, k: int) -> DataFrame:
-            frontier = state.where(F.col("round") == F.lit(k)).select(F.col("node").alias("src"), "dist")
+            frontier = state.where(F.col("round") == F.lit(k)).select(
+                F.col("node").alias("src"), "salts", "dist")
             cand = (adj.expand(frontier).groupBy(F.col("dst").alias("node"))
                     .agg(F.min(F.col("dist") + F.col("length")).alias("cand")))
             better = F.col("cand").isNotNull() & (
                 F.col("dist").isNull() | (F.col("cand") < F.col("dist")))
             return state.join(cand, "node", "left").select(
-                "node",
+                "node", "salts",
                 F.when(better, F.col("cand")).otherwise(F.col("dist")).alias("dist"),
                 F.when(better, F.lit(k + 1)).otherwise(F.col("round")).alias("round"),
             )
@@ -204,7 +208,7 @@ def _to_target_state(edges: DataFrame, target: int, max_rounds: int | None) -> D
     def make_step(adj: _Adjacency):
         def step(state: DataFrame, k: int) -> DataFrame:
             frontier = state.where(F.col("round") == F.lit(k)).select(
-                F.col("node").alias("src"), "dist", "hops")
+                F.col("node").alias("src"), "salts", "dist", "hops")
             cand = (adj.expand(frontier)
                     .groupBy(F.col("dst").alias("node"))
                     .agg(F.min(F.struct(
@@ -219,7 +223,7 @@ def _to_target_state(edges: DataFrame, target: int, max_rounds: int | None) -> D
             moved = better & (F.col("dist").isNull() | (c["d"] != F.col("dist"))
                               | (c["h"] != F.col("hops")))
             return state.join(cand, "node", "left").select(
-                "node",
+                "node", "salts",
                 F.when(better, c["d"]).otherwise(F.col("dist")).alias("dist"),
                 F.when(better, c["h"]).otherwise(F.col("hops")).alias("hops"),
                 F.when(better, c["nh"]).otherwise(F.col("next_hop")).alias("next_hop"),

@@ -101,7 +101,8 @@ def test_hub_is_split_in_every_round(spark):
         assert [r.src for r in adj.hubs.collect()] == [0]
         tasks = rows_per_task(adj.salted)
         assert sum(tasks) == 40_005 and max(tasks) < 4 * 40_005 / width
-        frontier = materialize(spark.range(2).select(F.col("id").alias("src"), F.lit(0.0).alias("dist")))
+        frontier = materialize(adj.nodes().where("node < 2").select(
+            F.col("node").alias("src"), "salts", F.lit(0.0).alias("dist")))
         grown = adj.expand(frontier)
         tasks = rows_per_task(grown)
         assert sum(tasks) == 40_001 and max(tasks) < 4 * 40_001 / width
