@@ -204,7 +204,8 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, bits: int = BITS
              .groupBy("doc_id").agg(F.max("quality").cast("int").alias("label")))
     n = max(1, known.count())
     h = (F.pmod(F.xxhash64(F.col("doc_id"), F.lit(SEED)), F.lit(1 << 30)) + 0.5) / float(1 << 30)
-    rows = (docs.where(training).select("doc_id", "text").join(known, "doc_id")
+    # labels grow with the documents: a shuffle join at every size
+    rows = (docs.where(training).select("doc_id", "text").join(known.hint("merge"), "doc_id")
             .select("text", "label", h.alias("h")))
     # twice the bound in expectation, then exactly the smallest
     table, path = write_table(_evidence(rows, 2.0 * fit_rows / n, bits), "evidence")
