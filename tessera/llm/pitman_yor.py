@@ -42,7 +42,6 @@ import struct
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
