@@ -212,11 +212,10 @@ def find_disguised(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[s
     if _MIXED_HINT.search(flat):
         m = _digit_letters(m or Mapped.plain(text))
         flat = m.text
+    if _SPELLED_ONE.search(flat) and _SPELLED_RUN.search(flat):
+        m = _spelled_digits(m or Mapped.plain(text))
+        flat = m.text
     low = flat.lower()
-    if any(w in low for w in ("zero", "two", "three", "four", "five", "six", "seven", "eight", "nine")):
-        if _SPELLED_RUN.search(flat):
-            m = _spelled_digits(m or Mapped.plain(text))
-            flat = m.text
     if ("dot" in low or any(c in flat for c in "[({<&%")) and _HINT.search(flat):
         m = _at_and_dot(m or Mapped.plain(text))
     if m is None:

@@ -101,3 +101,23 @@ def test_mask(docs):
     assert pii.report(docs([])).count() == 0
     spans = {r.doc_id: r.spans for r in pii.with_spans(docs(rows)).collect()}
     assert spans[1][0].kind == "email" and spans[1][0].start == 5 and spans[1][0].base and not spans[None][0].base
+
+
+@pytest.mark.parametrize("text, kind, source, masked", [
+    ("call plus one 555 123 4567 now", "phone", "plus one 555 123 4567", "call [PHONE] now"),
+    ("call +1 555 oh one oh 1234", "phone", "+1 555 oh one oh 1234", "call [PHONE]"),
+    ("plus 44 20 7946 oh one 23", "phone", "plus 44 20 7946 oh one 23", "[PHONE]"),
+    ("server one dot one dot one dot one up", "ip", "one dot one dot one dot one", "server [IP] up"),
+])
+def test_numbers_whose_only_spelled_digits_are_one_and_oh(text, kind, source, masked):
+    at = text.index(source)
+    assert pii.find_spans(text) == ([], [(kind, at, at + len(source))])
+    assert pii.mask_text(text) == masked
+    # whatever else is spelled in the text
+    assert pii.find_spans(text + "; two, nine")[1][0] == (kind, at, at + len(source))
+
+
+@pytest.mark.parametrize("word", sorted(pii._SPELLED))
+def test_every_spelled_digit_alone_reaches_its_transducer(word):
+    text = f"tel +1 555 {word} 23 4567 x"
+    assert pii.find_spans(text) == ([], [("phone", 4, len(text) - 2)])
