@@ -15,10 +15,12 @@ A passage of an article may recur on purpose (a licence, a quotation). Inside
 templates; paragraphs and headings always stay. In pages without such a
 region any block can be one.
 
-A host's template list is bounded: each needs a share of ``MIN_SHARE`` of its
-pages. It is joined to the pages by host from a written table, which is
-broadcast only if its files are small; the html is parsed twice and never
-written.
+Many pages are ``MIN_SHARE`` of a host's different pages, or ``MANY_PAGES`` of them
+however large the host is, and never under ``MIN_PAGES``. The templates of a host
+with up to ``LIST_HASHES`` are joined to its pages as one list by host. Those of a
+larger list are joined to the (host, hash) rows of its pages, so a page gets only
+the templates it has. Both come from written tables, broadcast only if their
+files are small; the html is parsed twice and never written.
 
 Defined results: a null or empty html, or one without text, gives an empty
 text; a null or odd url is a host of its own (''); repeated rows are treated
@@ -41,6 +43,8 @@ from tessera.session import materialize
 
 MIN_PAGES = 5
 MIN_SHARE = 0.1
+MANY_PAGES = 50           # many on a host of any size
+LIST_HASHES = 1000        # templates that a host's pages get as one list
 MAX_DEPTH = 400           # deeper elements become siblings; their text stays
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -321,19 +325,25 @@ def with_host(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html", host.alias("host"))
 
 
-def host_templates(hosted: DataFrame, min_pages: int = MIN_PAGES,
-                   min_share: float = MIN_SHARE) -> DataFrame:
-    """``host, hash, n_pages``: subtrees on at least ``min_pages`` different
-    pages and ``min_share`` of the host's different pages."""
+def host_subtrees(hosted: DataFrame) -> DataFrame:
+    """``host, source, page, hashes`` of every page, written: the hashes of its
+    html, of its whole tree and of the subtrees that may be templates."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [page_subtrees(x) for x in batch.column(1).to_pylist()]
+        rows = [page_subtrees(x) for x in batch.column(2).to_pylist()]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([r[0] for r in rows], pa.int64()),
-             pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["host", "page", "hashes"])
+            [batch.column(0), batch.column(1), pa.array([r[0] for r in rows], pa.int64()),
+             pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["host", "source", "page", "hashes"])
+
+    return materialize(map_batches(hosted.select("host", F.xxhash64("html").alias("source"), "html"), run, T.StructType([
+        T.StructField("host", T.StringType()), T.StructField("source", T.LongType()),
+        T.StructField("page", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])), "trees")
 
-    pages = map_batches(hosted.select("host", "html"), run, T.StructType([
-        T.StructField("host", T.StringType()), T.StructField("page", T.LongType()),
-        T.StructField("hashes", T.ArrayType(T.LongType()))]))
+
+def host_templates(hosted: DataFrame, min_pages: int = MIN_PAGES,
+                   min_share: float = MIN_SHARE, trees: DataFrame | None = None) -> DataFrame:
+    """``host, hash, n_pages``: subtrees on at least ``min_pages`` different
+    pages and ``min_share`` of the host's different pages, or ``MANY_PAGES`` of them."""
+    pages = host_subtrees(hosted) if trees is None else trees
     # the page itself is counted along, as hash null
     rows = pages.select("host", "page", F.explode(F.concat(
         F.array(F.lit(None).cast("long")), "hashes")).alias("hash")).distinct()
@@ -341,18 +351,29 @@ def host_templates(hosted: DataFrame, min_pages: int = MIN_PAGES,
                          .where(F.col("hash").isNull() | (F.col("n_pages") >= min_pages)), "subtrees")
     total = counts.where(F.col("hash").isNull()).select("host", F.col("n_pages").alias("total"))
     return (counts.where(F.col("hash").isNotNull()).join(total, "host")
-            .where(F.col("n_pages") >= F.col("total") * min_share).select("host", "hash", "n_pages"))
+            .where(F.col("n_pages") >= F.least(F.col("total") * min_share, F.lit(float(MANY_PAGES))))
+            .select("host", "hash", "n_pages"))
 
 
 def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES,
                  min_share: float = MIN_SHARE) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
     hosted = with_host(pages)
-    templates = (host_templates(hosted, min_pages, min_share)
-                 .groupBy(F.col("host").alias("of")).agg(F.collect_list("hash").alias("templates")))
-    templates = materialize(templates, "templates")
-    joined = hosted.join(templates, F.col("host") == F.col("of"), "left").select(
-        "page_id", "url", "html", "templates")
+    trees = host_subtrees(hosted)
+    found = materialize(host_templates(hosted, min_pages, min_share, trees), "found")
+    sizes = found.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.where(F.col("n") > LIST_HASHES).select("host")
+    templates = materialize(
+        found.join(large, "host", "left_anti").groupBy(F.col("host").alias("of"))
+        .agg(F.collect_list("hash").alias("templates")), "templates")
+    own = materialize(
+        trees.join(large, "host", "left_semi").select("host", "source", F.explode("hashes").alias("hash"))
+        .join(found.select("host", "hash"), ["host", "hash"])
+        .groupBy(F.col("host").alias("own_host"), F.col("source").alias("own_source"))
+        .agg(F.collect_set("hash").alias("own")), "own")
+    joined = hosted.join(templates, F.col("host") == F.col("of"), "left").join(
+        own, (F.col("host") == F.col("own_host")) & (F.xxhash64("html") == F.col("own_source")), "left").select(
+        "page_id", "url", "html", F.coalesce("templates", "own").alias("templates"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets: dict[tuple, frozenset[int]] = {}

@@ -79,3 +79,17 @@ def test_templates_of_a_host(spark):
 
 def test_empty_table(spark):
     assert H.extract_text(pages(spark, [(1, "u", "h")]).where("false")).count() == 0
+
+
+@pytest.mark.parametrize("list_hashes", [1000, 0])
+def test_templates_of_a_large_host_are_no_share_of_it(spark, monkeypatch, list_hashes):
+    monkeypatch.setattr(H, "LIST_HASHES", list_hashes, raising=False)
+    box = "<section><p>Wir verwenden Kekse</p></section>"
+    rows = [(i, f"http://big.example/{i}", f"<body>{box * (i < 60)}<p>page {i}</p></body>", None) for i in range(900)]
+    rows += [(1000 + i, f"http://small.example/{i}", f"<body>{box * (i < 10)}<p>small {i}</p></body>", None)
+             for i in range(100)]
+    rows += [(2000, None, None, None), (2001, "http://big.example/0", rows[0][2], None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, other string").repartition(3)
+    out = {r.page_id: r.text for r in H.extract_text(pages).collect()}
+    assert out == {i: f"page {i}" for i in range(900)} | {1000 + i: f"small {i}" for i in range(100)} | {
+        2000: "", 2001: "page 0"}
