@@ -9,9 +9,10 @@ hinge-loss model is fitted by dual coordinate descent. Margins are turned into
 probabilities by a logistic fit on margins of documents left out of a first fit.
 
 The counts cover all labelled training rows: every task sums its own, and one
-aggregate adds them up. Only the descent runs on a bounded sample, the
-``FIT_ROWS`` training rows of smallest id hash (its features, about 5 kB a row,
-go to the driver). The model is 2**BITS weights. Scoring reads every text
+aggregate adds them up. Only the descent runs on a bounded sample, of each class
+the ``FIT_ROWS`` / 2 training rows of smallest id hash, more if the other class has
+fewer (its features, about 5 kB a row, go to the driver); the scores are
+corrected for the shares that the classes have among all training rows. The model is 2**BITS weights. Scoring reads every text
 where it lies.
 
 Defined results: a null text is empty; an empty text has the score of the
@@ -169,9 +170,9 @@ def fit(ratio: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, share: fl
     return Model(ratio, w, b, slope, shift)
 
 
-def _evidence(rows: DataFrame, keep_below: float, bits: int) -> DataFrame:
+def _evidence(rows: DataFrame, keep_below: tuple[float, float], bits: int) -> DataFrame:
     """From ``text, label, h`` (h uniform in 0..1): each task's feature counts,
-    and the features of the rows with h below the sample's limit."""
+    and the features of the rows with h below their class's limit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 1 << bits), dtype=np.int64)
         schema = pa.schema([("feature", pa.int32()), ("neg", pa.int64()), ("pos", pa.int64()),
@@ -182,7 +183,7 @@ def _evidence(rows: DataFrame, keep_below: float, bits: int) -> DataFrame:
                                      batch.column(2).to_pylist(), strict=True):
                 found = indicators(raw, bits)
                 counts[label, found] += 1
-                if h < keep_below:
+                if h < keep_below[label]:
                     sample.append({"neg": 1 - label, "pos": label, "h": h, "found": found})
             if sample:
                 yield pa.RecordBatch.from_pylist(sample, schema=schema)
@@ -202,31 +203,46 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, bits: int = BITS
     spark = docs.sparkSession
     known = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max("quality").cast("int").alias("label")))
-    n = max(1, known.count())
     h = (F.pmod(F.xxhash64(F.col("doc_id"), F.lit(SEED)), F.lit(1 << 30)) + 0.5) / float(1 << 30)
     # labels grow with the documents: a shuffle join at every size
     rows = (docs.where(training).select("doc_id", "text").join(known.hint("merge"), "doc_id")
             .select("text", "label", h.alias("h")))
+    joined = (docs.where(training).select("doc_id").join(known.hint("merge"), "doc_id")
+              .groupBy("label").count().collect())
+    total = [0, 0]
+    for r in joined:
+        total[r["label"]] = r["count"]
+    bound = [min(n, max(fit_rows // 2, fit_rows - rest)) for n, rest in zip(total, total[::-1])]
     # twice the bound in expectation, then exactly the smallest
-    table, path = write_table(_evidence(rows, 2.0 * fit_rows / n, bits), "evidence")
+    table, path = write_table(_evidence(rows, tuple(2.0 * b / max(1, n) for b, n in zip(bound, total)), bits),
+                              "evidence")
     sums = (table.where(F.col("feature").isNotNull()).groupBy("feature")
             .agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")))
     counts = np.zeros((2, 1 << bits))
     for batch in sums.toArrow().to_batches():       # at most 2**bits rows
         at = batch.column("feature").to_numpy()
         counts[0, at], counts[1, at] = batch.column("neg").to_numpy(), batch.column("pos").to_numpy()
-    sample = (table.where(F.col("h").isNotNull()).orderBy("h", F.xxhash64("found"))
-              .limit(fit_rows).select("pos", "found").toArrow())
+    drawn = table.where(F.col("h").isNotNull()).select("h", "pos", "found")
+    drawn = [drawn.where(F.col("pos") == label).orderBy("h", F.xxhash64("found")).limit(bound[label]).toArrow()
+             for label in (0, 1)]
+    sample = pa.concat_tables(drawn)
     drop_table(spark, path)
     rows_in = []
     for chunk in sample.column("found").chunks:
         values, edge = chunk.values.to_numpy(), chunk.offsets.to_numpy()
         rows_in += [values[s:e] for s, e in zip(edge[:-1], edge[1:])]
     marks = np.array(sample.column("pos").to_pylist(), dtype=np.int64)
+    order = np.argsort(sample.column("h").to_numpy(), kind="stable")     # classes mixed
+    rows_in, marks = [rows_in[i] for i in order], marks[order]
     q, p = counts + 1.0
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
     ratio[counts.sum(axis=0) == 0] = 0.0            # never seen: no evidence
-    return fit(ratio, rows_in, marks, float(marks.mean()) if len(marks) else 0.5)
+    model = fit(ratio, rows_in, marks, float(marks.mean()) if len(marks) else 0.5)
+    if not 0 < marks.sum() < len(marks):
+        return model
+    # the sample's odds of label 1 against those of all training rows
+    odds = np.log(total[1] / total[0]) - np.log(marks.sum() / (len(marks) - marks.sum()))
+    return model._replace(shift=model.shift + float(odds))
 
 
 def score_documents(docs: DataFrame, model: Model, bits: int = BITS) -> DataFrame:

@@ -68,3 +68,14 @@ def test_edge_cases(spark, docs):
     assert all(r.score > 0.99 for r in nbsvm.classify(docs(rows), one).collect())
     assert nbsvm.classify(docs([]), one).count() == 0
     assert nbsvm.indicators(b"").size == 1
+
+
+def test_sample_holds_a_rare_class(spark, docs):
+    rows = [(i, f"bad $$$ stuff {i}" if i % 100 else f"good words here {i}") for i in range(1000)]
+    # most labelled ids are not among the documents
+    labels = spark.createDataFrame([(i, int(i % 100 == 0)) for i in range(1000)] + [(i, 0) for i in range(10 ** 6, 10 ** 6 + 3000)],
+                                   "doc_id long, quality int")
+    d = docs(rows)
+    model = nbsvm.train(d, labels, d.doc_id >= 0, fit_rows=12)
+    good, bad = (model.score(nbsvm.indicators(x)) for x in (b"good words here 5", b"bad $$$ stuff 5"))
+    assert good > 10 * bad and bad < 0.1 and model.weight.any()
