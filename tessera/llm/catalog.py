@@ -11,6 +11,7 @@ from tessera.llm import (
     chaining,
     chat,
     decontaminate,
+    fim,
     host_rules,
     html_extract,
     mixing,
@@ -69,6 +70,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_fim_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_templates": op1_site_templates,
     "op2_host_rules": op2_host_rules,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_prefix_targets": op8_prefix_targets,
     "op9_collinear_chains": op9_collinear_chains,
     "op10_mixing": op10_mixing,
+    "op11_fim_sort": op11_fim_sort,
 }
 
 _OP2 = r"""
@@ -171,8 +177,37 @@ SELECT conv_id, count(*) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
+_OP11 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (
+  SELECT doc_id, text, u, CAST(len(u) AS BIGINT) AS n,
+         CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2,
+         CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM d),
+f AS (
+  SELECT doc_id, text, n, u, least(h1 % (n + 1), h2 % (n + 1)) AS a,
+         greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR h3 % 100 >= 100 THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+  SELECT doc_id, text, n, form, array_to_string(u[1:a], '') AS p,
+         array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM f)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+              WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_host_rules": _OP2,
     "op4_decontaminate": _OP4,
     "op8_prefix_targets": _OP8,
+    "op11_fim_sort": _OP11,
 }
