@@ -11,6 +11,7 @@ from tessera.llm import (
     chaining,
     chat,
     decontaminate,
+    filter_audit,
     fim,
     host_rules,
     html_extract,
@@ -74,6 +75,10 @@ def op11_fim_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_filter_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_templates": op1_site_templates,
     "op2_host_rules": op2_host_rules,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_collinear_chains": op9_collinear_chains,
     "op10_mixing": op10_mixing,
     "op11_fim_sort": op11_fim_sort,
+    "op12_filter_diagrams": op12_filter_diagrams,
 }
 
 _OP2 = r"""
@@ -205,9 +211,52 @@ SELECT doc_id, n, form,
 FROM p
 """
 
+_OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, max(CAST(coalesce(quality = 1, false) AS INT)) AS good,
+             max(CAST(coalesce(toxic = 1, false) AS INT)) AS toxic FROM labels GROUP BY doc_id),
+s AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    len(w) < 50 AS fa, 100 * len(list_distinct(w)) < 65 * len(w) AS fb,
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS fc,
+    regexp_matches(text, '[#$%&*|]') AS fd, coalesce(d.doc_id > first, false) AS fe
+  FROM d JOIN s USING (text) LEFT JOIN g ON g.doc_id = d.doc_id),
+c AS (
+  SELECT part, (CASE WHEN fa THEN 'A' ELSE '' END) || (CASE WHEN fb THEN 'B' ELSE '' END)
+      || (CASE WHEN fc THEN 'C' ELSE '' END) || (CASE WHEN fd THEN 'D' ELSE '' END)
+      || (CASE WHEN fe THEN 'E' ELSE '' END) AS fails,
+    count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+t AS (
+  SELECT filter_order, i AS step, filter_order[i] AS f, filter_order[1:i - 1] AS before
+  FROM o, unnest(range(1, 6)) AS r(i)),
+r AS (
+  SELECT part, filter_order, step, f,
+    sum(CASE WHEN translate(fails, before || f, '') = fails THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN contains(fails, f) AND translate(fails, before, '') = fails THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN contains(fails, f) AND translate(fails, before, '') <> fails THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN contains(fails, f) AND translate(fails, before, '') = fails THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN contains(fails, f) AND translate(fails, before, '') = fails THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, t GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_host_rules": _OP2,
     "op4_decontaminate": _OP4,
     "op8_prefix_targets": _OP8,
     "op11_fim_sort": _OP11,
+    "op12_filter_diagrams": _OP12,
 }
