@@ -15,6 +15,7 @@ from tessera.llm import (
     fim,
     host_rules,
     html_extract,
+    langid,
     mixing,
     nbsvm,
     pii,
@@ -79,6 +80,10 @@ def op12_filter_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_word_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.classify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_templates": op1_site_templates,
     "op2_host_rules": op2_host_rules,
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_fim_sort": op11_fim_sort,
     "op12_filter_diagrams": op12_filter_diagrams,
+    "op13_word_backoff": op13_word_backoff,
 }
 
 _OP2 = r"""
