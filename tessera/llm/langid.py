@@ -76,7 +76,7 @@ def words(text: str) -> Counter:
         found.update(_WORD.findall(text[start:end].lower()))
         start = end
     # \w knows a few numeric signs that are no letters
-    for odd in [w for w in found if not w.isalpha()]:
+    for odd in [] if "".join(found).isalpha() else [w for w in found if not w.isalpha()]:
         times = found.pop(odd)
         for word in "".join(c if c.isalpha() else " " for c in odd).split():
             found[word] += times
@@ -154,50 +154,45 @@ def train(docs: DataFrame, training: Column, fit_rows: int = FIT_ROWS,
 
 
 class Scorer:
-    """Scores texts by a model; vectors of unseen words are kept for a while."""
+    """Scores texts by a model; the grams of unseen words are kept for a while."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.unseen: dict[str, np.ndarray | None] = {}
-
-    def word(self, word: str) -> np.ndarray | None:
-        """Scores of a word in all languages; None if not even a letter is known."""
-        model = self.model
-        at = model.words.get(word)
-        if at is not None:
-            return model.rows[at]
-        if word not in self.unseen:
-            if len(self.unseen) >= _CACHE:
-                self.unseen.clear()
-            self.unseen[word] = self.back_off(word)
-        return self.unseen[word]
-
-    def back_off(self, word: str) -> np.ndarray | None:
-        model = self.model
+        self.unseen: dict[str, list[int]] = {}
+
+    def back_off(self, word: str) -> list[int]:
+        """Rows of the longest known n-grams of a word; none if not even a
+        letter is known."""
+        grams = self.model.grams
         for n in range(min(MAX_GRAM, len(word) + 2), 0, -1):
-            found = [model.grams[g] for g in grams_of(word, n) if g in model.grams and not g.isspace()]
+            found = [grams[g] for g in grams_of(word, n) if g in grams and not g.isspace()]
             if found:
-                return model.rows[found].mean(axis=0)
-        return None
+                return found
+        return []
 
     def text(self, text: str) -> tuple[str, float]:
         """``lang_pred, score`` of a text."""
         found = words(text)
-        languages = self.model.languages
+        languages, known, unseen = self.model.languages, self.model.words, self.unseen
         if not found or not languages:
             return UNKNOWN, 0.0
-        sums = np.zeros(len(languages))
-        vectors, times = [], []
-        for word, n in sorted(found.items()):
-            vector = self.word(word)
-            if vector is not None:
-                vectors.append(vector)
-                times.append(n)
-            if len(vectors) == 1 << 16:
-                sums += np.array(times, dtype=np.float64) @ np.array(vectors, dtype=np.float64)
-                vectors, times = [], []
-        if vectors:
-            sums += np.array(times, dtype=np.float64) @ np.array(vectors, dtype=np.float64)
+        # the row and weight of each known word, and of each gram of the others
+        rows, weights = [], []
+        for word, n in found.items():
+            at = known.get(word)
+            if at is not None:
+                rows.append(at)
+                weights.append(n)
+                continue
+            grams = unseen.get(word)
+            if grams is None:
+                if len(unseen) >= _CACHE:
+                    unseen.clear()
+                grams = unseen[word] = self.back_off(word)
+            if grams:
+                rows += grams
+                weights += [n / len(grams)] * len(grams)
+        sums = np.array(weights, dtype=np.float64) @ self.model.rows[rows] if rows else np.zeros(len(languages))
         best = int(np.argmax(sums))
         return languages[best], float(1.0 / np.power(10.0, np.maximum(sums - sums[best], -300)).sum())
 
