@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.grouping import SEGMENT_IDS, collect_segments, segment_of
+from tessera.operators.grouping import SEGMENT_ITEMS, collect_segments
 
 
 def avg_in_length(edges: DataFrame) -> DataFrame:
@@ -37,28 +37,21 @@ def graph_nodes(edges: DataFrame) -> DataFrame:
     )
 
 
-def reverse_adjacency(edges: DataFrame, segment_ids: int = SEGMENT_IDS) -> DataFrame:
+def reverse_adjacency(edges: DataFrame, segment_items: int = SEGMENT_ITEMS) -> DataFrame:
     """In-neighbours of every node: ``node, segment, neighbors`` where
-    ``neighbors`` is a sorted ``array<struct<from_node, length>>`` of the
-    neighbours with ``from_node div segment_ids = segment``.
+    ``neighbors`` is a sorted ``array<struct<from_node, length>>`` of at most
+    ``segment_items`` neighbours; a node's next ones are in its next segment.
 
     Exact duplicate edges appear once; parallel edges of another length are
-    kept. Every node has a row for segment 0, which may be empty (a node
-    without incoming edges has just that one), and one for each other segment
-    with a neighbour. The edges are read once and shuffled once.
+    kept. Every node has a row for segment 0, which is empty if it has no
+    incoming edges. One shuffle of the edges on the node; the nodes without
+    incoming edges come from a distinct, a row per node and task.
     """
-    node, item = "node", F.struct(F.col("from_node"), F.col("length"))
-    empty = F.lit(None).cast(edges.select(item.alias("i")).schema["i"].dataType)
-
-    def row(of: str, segment: Column, value: Column) -> Column:
-        return F.struct(F.col(of).alias(node), segment.alias("segment"), value.alias("item"))
-
-    zero = F.lit(0).cast("long")
-    rows = edges.select(F.explode(F.array(
-        row("to_node", segment_of(F.col("from_node"), segment_ids), item),
-        row("to_node", zero, empty),
-        row("from_node", zero, empty))).alias("r")).select("r.*")
-    return collect_segments(rows, node, "item", "neighbors")
+    into = edges.select(F.col("to_node").alias("node"),
+                        F.struct(F.col("from_node"), F.col("length")).alias("item"))
+    empty = F.lit(None).cast(into.schema["item"].dataType)
+    sources = edges.select(F.col("from_node").alias("node")).distinct().withColumn("item", empty)
+    return collect_segments(into.unionByName(sources), "node", "item", "neighbors", segment_items)
 
 
 def adjacency_text(adjacency: DataFrame) -> DataFrame:

@@ -21,11 +21,13 @@ from tessera.functions.similarity import (
     prefix_length,
     size_band,
 )
-from tessera.operators.grouping import SEGMENT_IDS, collect_segments, segment_of
-from tessera.session import drop_table, materialize, write_table
+from tessera.operators.grouping import SEGMENT_ITEMS, collect_segments
+from tessera.session import materialize, owned_tables
 
 # k of the k-prefix filter in the self-join (shared prefix tokens required).
 SHARED_IN_PREFIX = 2
+# Longs of the token bitmap of a record (a power of two).
+BITMAP_LONGS = 2
 
 
 def token_frequency(sets: DataFrame) -> DataFrame:
@@ -60,16 +62,18 @@ def _distinct_tokens(sets: DataFrame) -> DataFrame:
 def _frequency_join(pairs: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``pairs`` with ``freq``, the number of rows that have its ``key``.
 
-    The frequencies are written first: both sides of the join are then plain
-    shuffles (or the small one a broadcast, by its file size), so adaptive
-    execution splits the partition of a token that every record has."""
+    Pairs and frequencies are written first: the pairs are made once, and
+    both sides of the join are plain shuffles (or the small one a broadcast, by
+    its file size), so adaptive execution splits the partition of a token that
+    every record has."""
+    pairs = materialize(pairs, "pairs")
     freq = materialize(pairs.where(F.col(key).isNotNull()).groupBy(key)
                        .agg(F.count(F.lit(1)).alias("freq")), "freq")
     return pairs.join(freq, key, how)
 
 
-def _ranked_tokens(records: DataFrame, by_hash: bool = False) -> DataFrame:
-    """``rid, n, token, freq, pos``: each distinct token of each record with its
+def _ranked_tokens(records: DataFrame, by_hash: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``rid, n, token, freq, pos`` and the columns of ``carry``: each distinct token of each record with its
     document frequency and 1-based position in the global order (frequency
     ascending, then token), which is the same for all records.
 
@@ -79,7 +83,7 @@ def _ranked_tokens(records: DataFrame, by_hash: bool = False) -> DataFrame:
     which is all the prefix filter needs; the join and most sort comparisons
     are then on longs instead of strings.
     """
-    pairs = records.select("rid", "n", F.explode("toks").alias("token"))
+    pairs = records.select("rid", "n", *carry, F.explode("toks").alias("token"))
     if by_hash:
         pairs = pairs.withColumn("th", F.xxhash64("token"))
         order = Window.partitionBy("rid").orderBy("freq", "th", "token")
@@ -108,29 +112,41 @@ def order_tokens(sets: DataFrame) -> DataFrame:
     )
 
 
-def prefix_index(sets: DataFrame, t: float, segment_ids: int = SEGMENT_IDS) -> DataFrame:
-    """Inverted index of prefix tokens: ``token, segment, rids`` (sorted), a row
-    for each ``rid div segment_ids`` that has the token.
+def prefix_index(sets: DataFrame, t: float, segment_items: int = SEGMENT_ITEMS) -> DataFrame:
+    """Inverted index of prefix tokens: ``token, segment, rids`` (sorted, at most
+    ``segment_items`` a row; a token's next rids are in its next segment).
 
     A record of ``n`` distinct tokens contributes its first
     ``n - ceil(n*t) + 1`` tokens in the global order.
     """
     t = check_threshold(t)
-    prefix = _ranked_tokens(_distinct_tokens(sets)).where(
-        F.col("pos") <= prefix_length(F.col("n"), t))
-    return collect_segments(
-        prefix.select("token", segment_of(F.col("rid"), segment_ids).alias("segment"), "rid"),
-        "token", "rid", "rids")
+    with owned_tables(sets.sparkSession) as keep:
+        prefix = keep(_ranked_tokens(_distinct_tokens(sets)).where(
+            F.col("pos") <= prefix_length(F.col("n"), t)).select("token", "rid"), "prefix")
+    return collect_segments(prefix, "token", "rid", "rids", segment_items)
 
 
 def similarity_candidates(sets: DataFrame, t: float) -> DataFrame:
     """Distinct ``rid_a < rid_b`` pairs that share a prefix token and pass the
     length and positional filters -- a superset of all pairs with Jaccard >= t."""
-    return similarity_candidates_of(_distinct_tokens(sets), check_threshold(t))
+    records = with_bitmap(_distinct_tokens(sets), F.transform("toks", lambda x: F.xxhash64(x)))
+    return similarity_candidates_of(records, check_threshold(t))
+
+
+def with_bitmap(records: DataFrame, hashes: Column) -> DataFrame:
+    """``records`` plus ``bits``, :data:`BITMAP_LONGS` longs: each bit is the parity
+    of the tokens hashed to it."""
+    def word(j: int) -> Column:
+        bit = F.expr(f"aggregate(_h, 0L, (acc, x) -> acc ^ if((x >> 6) & {BITMAP_LONGS - 1} = {j}, "
+                     "shiftleft(1L, cast(x & 63 as int)), 0L))")
+        return bit.alias(f"bits{j}")
+
+    return records.withColumn("_h", hashes).select(*records.columns, *(word(j) for j in range(BITMAP_LONGS)))
 
 
 def similarity_candidates_of(records: DataFrame, t: float) -> DataFrame:
-    """:func:`similarity_candidates` over ``rid, toks, n`` records.
+    """:func:`similarity_candidates` over ``rid, toks, n`` records with the
+    bitmaps of :func:`with_bitmap`.
 
     k-prefix filter (k = ``SHARED_IN_PREFIX``): let a pair need an overlap of
     alpha (alpha >= t*n for both records when their sizes pass the length
@@ -146,24 +162,32 @@ def similarity_candidates_of(records: DataFrame, t: float) -> DataFrame:
     own band and the one below, and a frequent token's group is split by
     record size instead of being paired all against all. The prefix rows are
     checkpointed once and read by both sides of the join.
+
+    Bitmap filter: the prefix rows carry their record's token parities. Two
+    records differ in at least as many tokens as their bitmaps in bits, so a pair
+    whose bitmaps differ in more than ``na + nb - 2 * alpha`` bits leaves in the
+    join, whatever tokens it shares; no similar pair does.
     """
     k = SHARED_IN_PREFIX
+    bits = tuple(f"bits{j}" for j in range(BITMAP_LONGS))
     prefix = materialize(
-        _ranked_tokens(records, by_hash=True)
+        _ranked_tokens(records, by_hash=True, carry=bits)
         .where(F.col("pos") <= prefix_length(F.col("n"), t) + F.lit(k - 1))
-        .select("token", "rid", "n", "pos", size_band(F.col("n"), t).alias("band"))
-    )
+        .select("token", "rid", "n", "pos", *bits, size_band(F.col("n"), t).alias("band")),
+        "prefix")
     probe = prefix.select(
-        "token", "rid", "n", "pos", "band",
+        "token", "rid", "n", "pos", "band", *bits,
         F.explode(F.array(F.col("band"), F.col("band") - F.lit(1))).alias("key"))
     a, b = probe.alias("a"), prefix.alias("b")
     same = F.col("a.key") == F.col("a.band")
+    differing = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in bits), F.lit(0))
     cond = (
         (F.col("a.token") == F.col("b.token"))
         & (F.col("a.key") == F.col("b.band"))
         & (~same | (F.col("a.rid") < F.col("b.rid")))
         & (F.col("a.rid") != F.col("b.rid"))
         & length_compatible(F.col("a.n"), F.col("b.n"), t)
+        & (differing <= F.col("a.n") + F.col("b.n") - 2 * overlap_needed(F.col("a.n"), F.col("b.n"), t))
         & position_compatible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), t, k)
     )
     a_first = F.col("a.rid") < F.col("b.rid")
@@ -247,7 +271,7 @@ def set_similarity_join(sets: DataFrame, t: float, ordered: bool = True) -> Data
        (:func:`_exact_copies`), so a large group of copies costs its output
        pairs only, not a quadratic blow-up per prefix token.
     3. Candidates among the remaining records from the prefix, length,
-       positional and k-prefix filters (:func:`similarity_candidates`).
+       positional, bitmap and k-prefix filters (:func:`similarity_candidates`).
     4. Bound: the overlap of the hash arrays (fixed-width, cheap to ship and
        intersect). A hash clash between two records can only raise it, and
        clashes inside a record are added back, so it never falls below the
@@ -256,21 +280,22 @@ def set_similarity_join(sets: DataFrame, t: float, ordered: bool = True) -> Data
     5. Exact: the surviving pairs are verified on the token strings, then
        expanded back to all copies (:func:`_expand_copies`).
 
-    The result is written before the records are deleted, so the returned
-    DataFrame reads those files.
+    The result is written before the job's other tables are deleted, so the
+    returned DataFrame reads only its own files.
     """
     t = check_threshold(t)
     toks = F.array_sort(F.array_distinct(F.col("tokens")))
-    records, path = write_table(
-        _one_per_rid(sets).select("rid", toks.alias("toks"))
-        .where(F.size("toks") > F.lit(0))
-        .select("rid", "toks", F.size("toks").alias("n"), F.xxhash64("toks").alias("sig"),
-                F.array_distinct(F.transform("toks", lambda x: F.xxhash64(x))).alias("h")),
-        "records")
-    try:
+    with owned_tables(sets.sparkSession) as keep:
+        records = materialize(
+            with_bitmap(_one_per_rid(sets).select("rid", toks.alias("toks"))
+                        .where(F.size("toks") > F.lit(0))
+                        .select("rid", "toks", F.size("toks").alias("n"), F.xxhash64("toks").alias("sig"),
+                                F.array_distinct(F.transform("toks", lambda x: F.xxhash64(x))).alias("h")),
+                        F.transform("toks", lambda x: F.xxhash64(x))),
+            "records")
         copies = _exact_copies(records)
         singles = records.join(copies, "rid", "left_anti")
-        cand = similarity_candidates_of(singles.select("rid", "toks", "n"), t)
+        cand = similarity_candidates_of(singles.drop("sig", "h"), t)
 
         ha = records.select(F.col("rid").alias("rid_a"), F.col("n").alias("na"),
                             F.col("h").alias("ha"))
@@ -290,7 +315,5 @@ def set_similarity_join(sets: DataFrame, t: float, ordered: bool = True) -> Data
         verified = (survivors.join(ra, "rid_a").join(rb, "rid_b")
                     .select("rid_a", "rid_b", sim.alias("sim"))
                     .where(F.col("sim") >= F.lit(t)))
-        out = materialize(_expand_copies(verified, copies))
-    finally:
-        drop_table(sets.sparkSession, path)
+        out = keep(_expand_copies(verified, copies), "pairs-out")
     return out.orderBy("rid_a", "rid_b") if ordered else out

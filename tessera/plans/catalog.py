@@ -23,7 +23,7 @@ SOURCE = 0            # start node of sssp_from_source / reachable_count
 TARGET = 0            # target node of the shortest-path-to-target jobs
 T_ORDERS = 0.5        # Jaccard threshold on order part sets
 T_DOCS = 0.5          # Jaccard threshold on document word sets
-SEGMENT = 1000        # ids per list segment in reverse_adjacency and prefix_index
+SEGMENT = 40          # values per list segment in reverse_adjacency and prefix_index
 # Steps of the path oracles; they fail if the last step still changes a row.
 ORACLE_MAX_STEPS = 64
 
@@ -176,13 +176,12 @@ SELECT f AS node FROM ep UNION SELECT t FROM ep""",
     "reverse_adjacency": f"""
 WITH {_EDGES_PATH},
 d AS (SELECT DISTINCT t AS node, f, w FROM ep),
-n AS (SELECT f AS node, CAST(0 AS BIGINT) AS segment FROM ep UNION SELECT t, 0 FROM ep
-      UNION SELECT t, CAST(floor(f / {SEGMENT}) AS BIGINT) FROM ep)
-SELECT n.node, n.segment,
-       coalesce(string_agg(CAST(d.f AS VARCHAR) || ':' || CAST(d.w AS VARCHAR),
-                           ',' ORDER BY d.f, d.w), '') AS neighbors
-FROM n LEFT JOIN d ON d.node = n.node AND floor(d.f / {SEGMENT}) = n.segment
-GROUP BY n.node, n.segment""",
+r AS (SELECT *, (row_number() OVER (PARTITION BY node ORDER BY f, w) - 1) // {SEGMENT} AS segment FROM d)
+SELECT node, segment,
+       string_agg(CAST(f AS VARCHAR) || ':' || CAST(w AS VARCHAR), ',' ORDER BY f, w) AS neighbors
+FROM r GROUP BY node, segment
+UNION ALL
+SELECT DISTINCT f, 0, '' FROM ep WHERE f NOT IN (SELECT node FROM d)""",
     "word_count_raw": f"""
 WITH {_LINES},
 w AS (SELECT CASE WHEN value = '' THEN ['']
@@ -210,9 +209,9 @@ n AS (SELECT rid, count(*) AS n FROM p GROUP BY rid),
 r AS (SELECT p.rid, p.token, n.n,
              row_number() OVER (PARTITION BY p.rid ORDER BY f.freq, p.token) AS pos
       FROM p JOIN f USING (token) JOIN n USING (rid))
-SELECT token, CAST(floor(rid / {SEGMENT}) AS BIGINT) AS segment,
-       string_agg(CAST(rid AS VARCHAR), ',' ORDER BY rid) AS rids FROM r
-WHERE pos <= n - ceil(CAST(n AS DOUBLE) * {T_ORDERS!r} - 1e-9) + 1
+SELECT token, segment, string_agg(CAST(rid AS VARCHAR), ',' ORDER BY rid) AS rids
+FROM (SELECT token, rid, (row_number() OVER (PARTITION BY token ORDER BY rid) - 1) // {SEGMENT} AS segment
+      FROM r WHERE pos <= n - ceil(CAST(n AS DOUBLE) * {T_ORDERS!r} - 1e-9) + 1)
 GROUP BY 1, 2""",
     "set_similarity_join": _jaccard_sql(_ORDER_TOKENS, T_ORDERS),
     "set_similarity_join_docs": _jaccard_sql(_DOC_TOKENS, T_DOCS),

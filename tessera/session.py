@@ -11,9 +11,16 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Paths written inside the innermost owned_tables().
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tessera") -> SparkSession:
     """Session for tests and the local bench (``local[cores]``)."""
@@ -64,6 +71,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def table_path(spark: SparkSession, label: str) -> str:
+    """A new path below the checkpoint directory; owned_tables() sees to it."""
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
+    if (mine := _written.get()) is not None:
+        mine.append(path)
+    return path
+
+
 def write_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet below the checkpoint directory; return the
     re-read table and its path (for :func:`drop_table`).
@@ -73,7 +88,7 @@ def write_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     its files are known to be small, a large one is joined by a shuffle.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
+    path = table_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -82,8 +97,36 @@ def drop_table(spark: SparkSession, path: str) -> None:
     """Delete a table of :func:`write_table`, on whatever store it lies."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if (mine := _written.get()) is not None and path in mine:
+        mine.remove(path)
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
-    """:func:`write_table` for a table that lives as long as its result."""
+    """:func:`write_table` for a table that lives as long as its result, or
+    until the end of the surrounding :func:`owned_tables`."""
     return write_table(df, label)[0]
+
+
+@contextmanager
+def owned_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables written inside belong to the job and are deleted at its end; the
+    yielded function writes one that stays (its result, which must read no other).
+
+    Scopes nest: what an inner job keeps belongs to the outer one."""
+    outer, mine, kept = _written.get(), [], []
+    token = _written.set(mine)
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        out, path = write_table(df, label)
+        mine.remove(path)
+        kept.append(path)
+        return out
+
+    try:
+        yield keep
+    finally:
+        _written.reset(token)
+        for path in mine:
+            drop_table(spark, path)
+        if outer is not None:
+            outer.extend(kept)

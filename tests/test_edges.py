@@ -54,12 +54,30 @@ def test_reverse_adjacency_duplicates(edges):
     assert got == {(5, 0): "1:1.2,1:1.7,11:1.0", (1, 0): "", (11, 0): ""}
 
 
-def test_reverse_adjacency_segments(edges):
-    rows = [(i, i, 99, float(i % 3)) for i in range(50)] + [(50, -3, 99, 1.0), (51, 30, 7, 2.0)]
-    got = lists(reverse_adjacency(edges(rows), segment_ids=8))
-    for segment in range(-1, 7):
-        want = [(f, w) for _, f, t, w in rows if t == 99 and f // 8 == segment]
-        assert [tuple(x) for x in got[99, segment]] == sorted(want)
-    assert got[7, 0] == [] and [tuple(x) for x in got[7, 3]] == [(30, 2.0)]
-    assert {k for k in got if k[0] == 99} == {(99, s) for s in range(-1, 7)}
-    assert all(got[i, 0] == [] for i in range(50) if i != 7)
+@pytest.mark.parametrize("width", [1, 3, 8, 1000])
+def test_reverse_adjacency_segments(edges, width):
+    # sparse 64-bit ids, parallel edges and exact copies at one node
+    big = 2 ** 53
+    rows = [(i, i * big // 7, 99, float(i % 3)) for i in range(-20, 30)]
+    rows += [(i, 5, 99, float(i)) for i in range(12)] + [(0, big + 1, 99, 1.0), (0, big, 99, 1.0)] * 3
+    rows += [(51, 30, 7, 2.0), (52, -3, 7, 2.0)]
+    got = lists(reverse_adjacency(edges(rows), segment_items=width))
+    want = {}
+    for node in {r[1] for r in rows} | {r[2] for r in rows}:
+        items = sorted({(f, w) for _, f, t, w in rows if t == node})
+        want[node, 0] = []
+        for i in range(0, len(items), width):
+            want[node, i // width] = items[i:i + width]
+    assert {k: [tuple(x) for x in v] for k, v in got.items()} == want
+    assert max(map(len, got.values())) <= width
+
+
+def test_hot_key_is_numbered_by_ranges(spark):
+    from pyspark.sql import functions as F
+    from tessera.operators.grouping import collect_segments
+    rows = spark.range(30_000).select((F.col("id") % 3 % 2).alias("key"), (F.col("id") * 977 % 30_011).alias("item"))
+    out = collect_segments(rows, "key", "item", "items", 1000).collect()
+    for key in (0, 1):
+        items = sorted(i * 977 % 30_011 for i in range(30_000) if i % 3 % 2 == key)
+        mine = sorted((r.segment, r["items"]) for r in out if r.key == key)
+        assert [s for s, _ in mine] == list(range(len(items) // 1000)) and sum((x for _, x in mine), []) == items

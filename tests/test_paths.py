@@ -4,6 +4,7 @@ import random
 import pytest
 
 from conftest import E1, E2, E3, parse_edges
+from tessera.operators import paths as P
 from tessera import (
     reachable_count,
     shortest_from_source,
@@ -136,7 +137,125 @@ def test_against_dijkstra_and_each_other(edges, seed):
 
 
 def test_round_guard(edges):
-    chain = parse_edges("0-1:1 1-2:1 2-3:1 3-4:1")
+    # two ways at each step, so nothing is contracted
+    steps = parse_edges("0-10:1 0-20:1 10-11:1 10-21:1 20-21:1 20-11:1 11-12:1 11-22:1 21-22:1 21-12:1 12-13:1 22-13:1 13-12:9")
     with pytest.raises(RuntimeError, match="did not converge"):
-        shortest_from_source(edges(chain), 0, max_rounds=2)
-    assert len(shortest_from_source(edges(chain), 0, max_rounds=10).collect()) == 5
+        shortest_from_source(edges(steps), 0, max_rounds=2)
+    assert len(shortest_from_source(edges(steps), 0, max_rounds=10).collect()) == 8
+
+
+def graph(rnd, n, m, weight):
+    return [(i, rnd.randrange(n), rnd.randrange(n), float(weight(rnd))) for i in range(m)]
+
+
+def adjacency(rows):
+    fwd = {}
+    for _, a, b, w in rows:
+        fwd.setdefault(a, []).append((b, w))
+    return fwd
+
+
+@pytest.mark.parametrize("delta", [4.0])
+def test_delta_stepping_gives_the_same_distances_and_routes(edges, delta):
+    rnd = random.Random(int(delta * 10))
+    rows = graph(rnd, 40, 130, lambda r: r.choice([0, 0.25, 1, 3, 8, 20]))
+    df, src = edges(rows), rows[0][1]
+    got = {r.node: r.distance for r in shortest_from_source(df, src, delta=delta).collect()}
+    assert got == dijkstra(adjacency(rows), src)
+    assert routes(shortest_routes_to_target(df, src, delta=delta)) == routes(shortest_routes_to_target(df, src))
+
+
+def test_delta_stepping_expands_fewer_rows(edges):
+    # many hops of length 1 beside long edges: the plain loop sees each node at
+    # many distances, and expands its many edges each time
+    n = 6
+    rows = [(0, i, j, 1.0 if j == i + 1 else 3.0 * (j - i)) for i in range(n) for j in range(i + 1, n)]
+    expanded = {}
+    for delta in (float("inf"), 1.0):
+        counts = []
+        out = P._distances(edges(rows), 0, False, None, delta, lambda grown: counts.append(grown.count()))
+        assert {r.node: r.distance for r in out.collect()} == dijkstra(adjacency(rows), 0)
+        expanded[delta] = sum(counts)
+    # each edge once, against each edge as often as its source improves
+    assert expanded[1.0] == len(rows)
+    assert expanded[float("inf")] > 1.5 * expanded[1.0]
+
+
+def test_long_path_takes_few_rounds(edges):
+    rnd = random.Random(3)
+    n = 10_000
+    rows = [(i, i, i + 1, float(rnd.randint(1, 9))) for i in range(n)]
+    rows += [(0, 4000, 20_000, 1.0), (0, 20_000, 4100, 2.0), (0, 30_000, 30_001, 1.0), (0, 30_001, 30_002, 1.0),
+             (0, 30_002, 30_000, 1.0), (0, 7000, 6000, 1.0), (0, 50, 60_000, 1.0)]
+    df = edges(rows)
+    got = {r.node: r.distance for r in shortest_from_source(df, 0, max_rounds=12).collect()}
+    assert got == dijkstra(adjacency(rows), 0)
+    levels = {r.node: r.level for r in P.reachable_nodes(df, 0, max_rounds=12).collect()}
+    assert levels == dijkstra(adjacency([(i, a, b, 1.0) for i, a, b, _ in rows]), 0)
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_contracted_chains_against_dijkstra_and_routes(edges, seed):
+    # a few branching nodes, joined by chains of 0 to 12 nodes; cycles of their own
+    rnd = random.Random(seed)
+    rows, fresh = [], 1000
+    for _ in range(14):
+        at = rnd.randrange(6)
+        for _ in range(rnd.randint(0, 12)):
+            rows.append((0, at, fresh, float(rnd.randint(0, 4))))
+            at, fresh = fresh, fresh + 1
+        rows.append((0, at, rnd.randrange(6), float(rnd.randint(0, 4))))
+    rows += [(0, 500 + i, 500 + (i + 1) % 4, 1.0) for i in range(4)]
+    df = edges(rows)
+    back = adjacency([(i, b, a, w) for i, a, b, w in rows])
+    for origin in (1000, 501):
+        assert {r.node: r.distance for r in shortest_from_source(df, origin).collect()} == dijkstra(adjacency(rows), origin)
+    # the best route by (distance, hops, next hop) of each node, by plain relaxation
+    best = {0: (0.0, 0, -1)}
+    while True:
+        new = dict(best)
+        for b, out in back.items():
+            for a, w in out:
+                if b in new and a != b:
+                    cand = (new[b][0] + w, new[b][1] + 1, b)
+                    if a not in new or cand < new[a]:
+                        new[a] = cand
+        if new == best:
+            break
+        best = new
+    want = {}
+    for v in best:
+        route = [v]
+        while route[-1] != 0:
+            route.append(best[route[-1]][2])
+        want[v] = (best[v][0], "->".join(map(str, route)))
+    assert routes(shortest_routes_to_target(df, 0)) == want
+
+
+def test_state_is_written_as_deltas_and_nothing_of_it_is_cached(spark, edges, monkeypatch):
+    # a grid: some 10 rounds, so the deltas are merged into a base, twice
+    monkeypatch.setattr(P, "MAX_DELTAS", 2)
+    rows = [(0, 6 * y + x, 6 * y2 + x2, 1.0) for y in range(6) for x in range(6)
+            for x2, y2 in ((x + 1, y), (x, y + 1)) if x2 < 6 and y2 < 6]
+    written, bases, cached = [], [], []
+    add, merge = P._State.add, P._State._merge
+
+    def spy_add(self, changed, *counts):
+        out = add(self, changed, *counts)
+        written.append(out[0].count())
+        cached.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        return out
+
+    def spy_merge(self, whole):
+        merge(self, whole)
+        bases.append(whole)
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    monkeypatch.setattr(P._State, "add", spy_add)
+    monkeypatch.setattr(P._State, "_merge", spy_merge)
+    out = shortest_from_source(edges(rows), 0)
+    assert {r.node: r.distance for r in out.collect()} == dijkstra(adjacency(rows), 0)
+    assert sum(written) == 36 and max(written) == 6      # each node once, in its round
+    assert True in bases and False in bases
+    assert max(cached) <= before + 1                        # the edges alone
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tessera_state")]

@@ -4,6 +4,9 @@ from itertools import combinations
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from tessera.operators import setsim
 from tessera import order_tokens, prefix_index, set_similarity_join, token_frequency
 
 T = [(0, [1, 4, 5, 6]), (1, [2, 3, 6]), (2, [4, 5, 6]), (3, [1, 4, 6]), (4, [2, 5, 6]),
@@ -174,11 +177,33 @@ def test_groups_of_copies(sets, t):
     assert pairs(set_similarity_join(sets(records), t)) == expected
 
 
-def test_prefix_index_segments(sets):
-    records = [(rid, [0, 100 + rid]) for rid in range(30)]
-    rows = prefix_index(sets(records), 0.5, segment_ids=4).where("token = '0'").collect()
-    assert {r.segment: r.rids for r in rows} == {
-        s: [rid for rid in range(30) if rid // 4 == s] for s in range(8)}
+@pytest.mark.parametrize("width", [1, 4, 100])
+def test_prefix_index_segments(sets, width):
+    rids = [rid * 2 ** 40 - 7 for rid in range(30)]
+    records = [(rid, [0, 100 + i]) for i, rid in enumerate(rids)]
+    rows = prefix_index(sets(records), 0.5, segment_items=width).where("token = '0'").collect()
+    assert {r.segment: r.rids for r in rows} == {i // width: rids[i:i + width] for i in range(0, 30, width)}
+
+
+@pytest.mark.parametrize("t", [0.5, 0.8])
+def test_bitmaps_drop_pairs_but_no_similar_one(spark, sets, monkeypatch, t):
+    rnd = random.Random(9)
+    common = [f"c{i}" for i in range(12)]
+    records = [(i, rnd.sample(common, 8) + [f"t{rnd.randrange(3000)}" for _ in range(60)]) for i in range(80)]
+    records += [(100 + i, records[i][1][:-3] + [f"n{i}"]) for i in range(40)]
+    expected = brute(records, t)
+    assert len(expected) >= 40
+    with_bits = setsim.similarity_candidates(sets(records), t)
+    assert {(a, b) for a, b, _ in expected} <= {(r.rid_a, r.rid_b) for r in with_bits.collect()}
+    assert pairs(set_similarity_join(sets(records), t)) == expected
+    # the rows of the candidate join, with the bitmaps and with empty ones
+    joined = []
+    for blind in (False, True):
+        if blind:
+            monkeypatch.setattr(setsim, "with_bitmap", lambda r, h: r.withColumns(
+                {f"bits{j}": F.lit(0).cast("long") for j in range(setsim.BITMAP_LONGS)}))
+        joined.append(setsim.similarity_candidates(sets(records), t).count())
+    assert joined[0] <= joined[1]
 
 
 @pytest.mark.parametrize("job", [
