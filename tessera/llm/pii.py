@@ -25,6 +25,8 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,9 +36,12 @@ from pyspark.sql import types as T
 from tessera.llm.common import append_columns
 
 KINDS = ("email", "ip", "card", "phone")
+# An address starts where its run of local characters does (or the last match ended),
+# a number where its digits do: no run is entered twice.
+_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _PATTERN = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "ip": re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
@@ -53,13 +58,36 @@ def valid(kind: str, match: str) -> bool:
     if kind == "email":
         return True
     if kind == "ip":
-        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in match.split("."))
+        parts = [p.lstrip("0") or "0" for p in match.split(".")]
+        return all(len(p) <= 3 and int(p) <= 255 for p in parts)
     digits = [int(d) for d in _DIGITS.findall(match)]
     if kind == "card":
         return 12 <= len(digits) <= 19 and luhn(digits)
     return 9 <= len(digits) <= 15
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping matches of
+    ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+``, from each "@" outwards."""
+    done = 0
+    at = text.find("@")
+    while at >= 0:
+        start = done + len(text[done:at].rstrip(_LOCAL))
+        domain = _DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            yield start, domain.end()
+        done = domain.end() if domain else at + 1
+        at = text.find("@", done)
+
+
+def _matches(kind: str, text: str) -> Iterator[tuple[int, int]]:
+    if kind == "email":
+        yield from _addresses(text)
+    else:
+        for m in _PATTERN[kind].finditer(text):
+            yield m.span()
+
+
 def find_plain(text: str) -> list[tuple[str, int, int]]:
     """Base matches ``(kind, start, end)``, leftmost and non-overlapping per
     kind, by start, then kind as listed. The tests before a pattern only skip
@@ -70,8 +98,7 @@ def find_plain(text: str) -> list[tuple[str, int, int]]:
         kinds = KINDS if "@" in text else KINDS[1:]
         if "+" not in text:
             kinds = tuple(k for k in kinds if k != "phone")
-    found = [(m.start(), KINDS.index(k), m.end()) for k in kinds
-             for m in _PATTERN[k].finditer(text) if valid(k, m.group())]
+    found = [(s, KINDS.index(k), e) for k in kinds for s, e in _matches(k, text) if valid(k, text[s:e])]
     return [(KINDS[k], s, e) for s, k, e in sorted(found)]
 
 
@@ -117,15 +144,22 @@ _AT = r"(?:\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|&#0*64;|&#x0*40;|&commat;|%40)"
 _DOT = r"\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*"
 # bracketed, or both bare words before a usual top-level name: "name at host dot org"
 _TOP = "com|org|net|edu|gov|mil|int|info|biz|io|co|eu|us|uk|de|fr|es|it|nl|ch|at|ca|au"
-_DISGUISED = re.compile(
+_LETTERED = (
     rf"[A-Za-z0-9._%+-]+(?:{_DOT}[A-Za-z0-9_%+-]+)*{_AT}{_LABEL}(?:(?:{_DOT}|\s+dot\s+|\.){_LABEL})+"
     rf"|[A-Za-z0-9._%+-]+(?:\s+dot\s+[A-Za-z0-9_%+-]+)*\s+at\s+{_LABEL}(?:(?:{_DOT}|\s+dot\s+){_LABEL})*"
     rf"(?:{_DOT}|\s+dot\s+)(?:{_TOP})\b"
-    rf"|[A-Za-z0-9._%+-]+@{_LABEL}(?:(?:{_DOT}|\s+dot\s+|\.){_LABEL})+"
-    rf"|[0-9]+(?:(?:{_DOT}|\s+dot\s+|\.)[0-9]+){{3}}",
-    re.IGNORECASE)
+    rf"|[A-Za-z0-9._%+-]+@{_LABEL}(?:(?:{_DOT}|\s+dot\s+|\.){_LABEL})+")
+_NUMBERED = rf"[0-9]+(?:(?:{_DOT}|\s+dot\s+|\.)[0-9]+){{3}}"
+_LETTERED_HERE = re.compile(_LETTERED, re.IGNORECASE)
+_NUMBERED_HERE = re.compile(_NUMBERED, re.IGNORECASE)
+_NUMBERED_NEXT = re.compile(rf"(?<![0-9]){_NUMBERED}", re.IGNORECASE)
+_RUN = re.compile(r"[A-Za-z0-9._%+-]+", re.IGNORECASE)
+# a run and the parts that dots of one kind join to it
+_CHAIN = re.compile(rf"[A-Za-z0-9._%+-]+(?:(?:{_DOT}([A-Za-z0-9_%+-]+))+|(?:\s+dot\s+([A-Za-z0-9_%+-]+))+)",
+                    re.IGNORECASE)
 _GAP = re.compile(rf"{_AT}|{_DOT}|\s+(?:at|dot)\s+", re.IGNORECASE)
-_HINT = re.compile(rf"\bdot\b|{_AT}|{_DOT}", re.IGNORECASE)
+# as _AT and _DOT, without the blanks before them
+_HINT = re.compile(r"\bdot\b|[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]|&#0*64;|&#x0*40;|&commat;|%40", re.IGNORECASE)
 
 
 class Mapped:
@@ -192,9 +226,35 @@ def _spelled_digits(m: Mapped) -> Mapped:
     return m.rewrite(edits)
 
 
+def _lettered(text: str, at: int) -> re.Match[str] | None:
+    """The next disguised address. A run of local characters is tried at its start
+    only, and of a chain of runs the first and the last: what fails there fails at
+    those between, which lead on to the same end."""
+    while run := _RUN.search(text, at):
+        if found := _LETTERED_HERE.match(text, run.start()):
+            return found
+        chain = _CHAIN.match(text, run.start())
+        # ("%40" is an "at" inside a run)
+        at = max(chain.start(1), chain.start(2)) if chain and "%40" not in chain.group() else run.end()
+    return None
+
+
+def _disguises(text: str) -> Iterator[re.Match[str]]:
+    """Leftmost non-overlapping disguised addresses and numbers."""
+    name, number = _lettered(text, 0), _NUMBERED_NEXT.search(text)
+    while name or number:
+        found = name if name and (not number or name.start() <= number.start()) else number
+        yield found
+        at = found.end()
+        if name and name.start() < at:
+            name = _lettered(text, at)
+        if number and number.start() < at:
+            number = _NUMBERED_HERE.match(text, at) or _NUMBERED_NEXT.search(text, at)
+
+
 def _at_and_dot(m: Mapped) -> Mapped:
     edits = []
-    for x in _DISGUISED.finditer(m.text):
+    for x in _disguises(m.text):
         # split the match into its labels; what lies between is "@" or "."
         for gap in _GAP.finditer(m.text, x.start(), x.end()):
             is_dot = "dot" in gap[0].lower() or "." in gap[0]
@@ -220,13 +280,23 @@ def find_disguised(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[s
         m = _at_and_dot(m or Mapped.plain(text))
     if m is None:
         return []
-    out, busy = [], [(s, e) for _, s, e in taken]
+    out: list[tuple[str, int, int]] = []
+    starts: list[int] = []      # of the taken stretches, joined where they touch
+    ends: list[int] = []
+    for s, e in sorted((s, e) for _, s, e in taken):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
     for kind, s, e in find_plain(m.text):
         a, b = min(m.start[s:e]), max(m.end[s:e])
         if b - a != e - s or any(m.changed[s:e]):      # longer: something vanished inside
-            if all(b <= x or y <= a for x, y in busy):
+            i = bisect_right(ends, a)                  # the first stretch that ends behind a
+            if i == len(starts) or b <= starts[i]:
                 out.append((kind, a, b))
-                busy.append((a, b))
+                starts.insert(i, a)
+                ends.insert(i, b)
     return out
 
 

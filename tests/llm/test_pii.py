@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 
@@ -121,3 +123,35 @@ def test_numbers_whose_only_spelled_digits_are_one_and_oh(text, kind, source, ma
 def test_every_spelled_digit_alone_reaches_its_transducer(word):
     text = f"tel +1 555 {word} 23 4567 x"
     assert pii.find_spans(text) == ([], [("phone", 4, len(text) - 2)])
+
+
+def test_zeros_before_an_address_are_no_crash(docs):
+    text = "0" * 5000 + ".1.1.1 and " + "9" * 5000 + ".1.1.1"
+    assert pii.find_plain(text) == [("ip", 0, 5006)]
+    assert [r.n_ip for r in pii.report(docs([(1, text)])).collect()] == [1]
+
+
+@pytest.mark.parametrize("text", [
+    "a." * 100_000 + " dot ", "a." * 100_000 + "@ dot x", "x (" + " " * 200_000, "1" * 200_000, "1." * 100_000 + " dot ",
+    "a dot " * 30_000, "x@y.z (at) a " * 15_000, "+1" + " " * 200_000 + "(dot)", "@" * 200_000 + " dot "],
+    ids=["locals", "locals-at", "blanks", "digits", "dotted", "chain", "many", "phone", "ats"])
+def test_long_runs_take_linear_time(text):
+    started = time.process_time()
+    pii.find_spans(text)
+    assert time.process_time() - started < 5.0
+
+
+def test_addresses_equal_the_plain_pattern():
+    rng = random.Random(4)
+    plain = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    number = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    for _ in range(20_000):
+        text = "".join(rng.choice(["a", "b.c", "_", "@", "@x.y", ".", "-", " ", "1", "10.2", "é"]) for _ in range(12))
+        assert list(pii._matches("email", text)) == [m.span() for m in plain.finditer(text)]
+        assert list(pii._matches("ip", text)) == [m.span() for m in number.finditer(text)]
+
+
+def test_disguised_chains():
+    for text, spans in [("a dot b[.]c[at]d.e", [(6, 18)]), ("two dot Oorg%40plus dot 10", [(8, 26)]),
+                        ("x dot 1 dot 2 dot 3 dot 4", [(6, 25)]), ("a[at]b.c_x[at]d.e", [(0, 8), (8, 17)])]:
+        assert [m.span() for m in pii._disguises(text)] == spans, text
