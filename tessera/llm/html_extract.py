@@ -31,6 +31,8 @@ from __future__ import annotations
 
 import html
 import re
+import sys
+from collections import Counter
 
 import pyarrow as pa
 import xxhash
@@ -45,7 +47,6 @@ MIN_PAGES = 5
 MIN_SHARE = 0.1
 MANY_PAGES = 50           # many on a host of any size
 LIST_HASHES = 1000        # templates that a host's pages get as one list
-MAX_DEPTH = 400           # deeper elements become siblings; their text stays
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp noembed noframes".split())
@@ -62,6 +63,12 @@ _NAMES = frozenset("ad ads adv advert adverts advertisement advertising sponsor
                    "gdpr notice popup modal overlay newsletter subscribe subscription share sharing social "
                    "related recommended comment comments disqus replies respond toolbar pagination pager "
                    "masthead".split())
+# a class or id is a name of chrome by its last word, or by its first one before a word
+# for a part of the page; a word for a state makes it none ("has-sidebar")
+_PARTS = frozenset("box bar block widget list links buttons icons wrap wrapper container area section panel "
+                   "inner left right top bottom unit slot form header title item items content".split())
+_STATES = frozenset("has no not with without is are show hide hidden open opened closed enabled disabled".split())
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 _REGION = frozenset(("html", "body", "article", "main"))
 _TEXT_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre tr td th caption figcaption ul ol dl "
                         "table tbody thead tfoot article main body html".split())
@@ -82,43 +89,64 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "names", "hidden", "parent", "nodes", "depth")
+    __slots__ = ("tag", "names", "named", "hidden", "parent", "nodes", "most")
 
-    def __init__(self, tag: str, names: frozenset[str], hidden: bool, parent: Element | None):
-        self.tag, self.names, self.hidden, self.parent = tag, names, hidden, parent
-        self.depth: int = parent.depth + 1 if parent else 0
+    def __init__(self, tag: str, names: frozenset[str], named: bool, hidden: bool, parent: Element | None):
+        self.tag, self.names, self.named, self.hidden, self.parent = tag, names, named, hidden, parent
+        self.most = False           # holds more than half of the page's text
         self.nodes: list[Element | str] = []
 
 
 _NO_NAMES: frozenset[str] = frozenset()
 
 
-def _attributes(source: str) -> tuple[frozenset[str], bool]:
-    """Words of class, id and role; whether the element is hidden."""
+def chrome_name(token: str) -> bool:
+    """Whether a class or id names chrome, as ``sidebar``, ``cookie-notice`` or
+    ``nav-bar`` do, and ``has-sidebar``, ``nav-open`` or ``related-work`` do not."""
+    words = [x for x in _SPLIT.split(token) if x]
+    if not words or not _STATES.isdisjoint(words):
+        return False
+    return words[-1] in _NAMES or words[0] in _NAMES and words[-1] in _PARTS
+
+
+def _attributes(source: str) -> tuple[frozenset[str], bool, bool]:
+    """Words of class, id and role; whether one names chrome; whether the element is hidden."""
     if "=" not in source and "hidden" not in source:
-        return _NO_NAMES, False
-    names, hidden = [], False
+        return _NO_NAMES, False, False
+    names, named, hidden = [], False, False
     for m in _ATTR.finditer(source):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key == "role":
             names.append("role:" + value.strip())
         elif key in ("class", "id"):
             names += [x for x in _SPLIT.split(value) if x]
+            named = named or any(map(chrome_name, value.split()))
         elif key == "hidden" or value == "true":
             hidden = True
-    return frozenset(names), hidden
+    return frozenset(names), named, hidden
 
 
 def parse(source: str) -> Element:
-    root = Element("html", _NO_NAMES, False, None)
+    root = Element("html", _NO_NAMES, False, False, None)
     here, at, n = root, 0, len(source)
+    count: Counter[str] = Counter()         # open elements by tag
 
-    def close(tags: tuple[str, ...], barrier: tuple[str, ...]) -> None:
+    def leave(e: Element) -> None:
+        """``e`` and what is open in it end."""
         nonlocal here
+        while here is not e:
+            count[here.tag] -= 1
+            here = here.parent
+        count[e.tag] -= 1
+        here = e.parent
+
+    def close(tags: tuple[str, ...], barrier: tuple[str, ...]) -> None:
+        if not any(count[t] for t in tags):
+            return
         e = here
         while e.parent is not None and e.tag not in barrier:
             if e.tag in tags:
-                here = e.parent
+                leave(e)
                 return
             e = e.parent
 
@@ -143,12 +171,11 @@ def parse(source: str) -> Element:
         if m[1] or m[4]:
             if tag == "p":
                 close(("p",), ())
-            elif tag not in _VOID:
+            elif tag not in _VOID and count[tag]:
                 e = here
-                while e.parent is not None and e.tag != tag:
+                while e.tag != tag:
                     e = e.parent
-                if e.parent is not None:
-                    here = e.parent
+                leave(e)
             continue
         if tag == "html":
             continue
@@ -156,33 +183,58 @@ def parse(source: str) -> Element:
             close(("p",), ("td", "th", "button", "table"))
         if tag in _SIBLINGS:
             close(_SIBLINGS[tag], _BARRIER[tag])
-        names, hidden = _attributes(m[3] or m[6] or "")
-        element = Element(tag, names, hidden, here)
+        element = Element(tag, *_attributes(m[3] or m[6] or ""), here)
         here.nodes.append(element)
         if tag in _RAW:
             end = re.compile(rf"</{tag}[^>]*(?:>|\Z)", re.IGNORECASE).search(source, at)
             element.nodes.append(source[at:end.start() if end else n])
             at = end.end() if end else n
-        elif tag not in _VOID and element.depth < MAX_DEPTH:
+        elif tag not in _VOID:
             here = element
+            count[tag] += 1
+    _weigh(root)
     return root
 
 
+def _in_page_order(root: Element) -> list[Element]:
+    out, todo = [], [root]
+    while todo:
+        e = todo.pop()
+        out.append(e)
+        todo += [x for x in reversed(e.nodes) if not isinstance(x, str)]
+    return out
+
+
+def _weigh(root: Element) -> None:
+    """Mark the elements with more than half of the text that is not in dropped
+    or hidden ones; let functions that go down the tree go as deep as it is."""
+    order = _in_page_order(root)
+    mass: dict[int, int] = {}
+    for e in reversed(order):
+        mass[id(e)] = sum(len(x.strip()) if isinstance(x, str) else mass[id(x)] for x in e.nodes) if (
+            e.tag not in _DROPPED and not e.hidden) else 0
+    for e in order:
+        e.most = 2 * mass[id(e)] > mass[id(root)]
+    # a page has at most as many levels as elements
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 2 * len(order) + 1000))
+
+
 def is_chrome(e: Element) -> bool:
+    """By tag, role and name; names are hints, so never a heading's or that of an
+    element that holds most of the page's text."""
     if e.tag in ("html", "body", "main"):
         return False
     if e.tag in _DROPPED or e.hidden:
         return True
     if e.tag == "header":                  # an article's own header holds its heading
-        return not _has(e, ("h1", "h2")) or not _inside(e, ("article", "main"))
-    if not e.names:
-        return False
-    return not _NAMES.isdisjoint(e.names) or any(r in _ROLES for r in (
-        x[5:] for x in e.names if x.startswith("role:")))
+        return not _has(e, _HEADINGS) or not _inside(e, ("article", "main"))
+    if e.names and any(x[5:] in _ROLES for x in e.names if x.startswith("role:")):
+        return True
+    return e.named and not e.most and e.tag not in _HEADINGS
 
 
 def _has(e: Element, tags: tuple[str, ...]) -> bool:
-    return any(not isinstance(x, str) and (x.tag in tags or _has(x, tags)) for x in e.nodes)
+    return any(x.tag in tags for x in _in_page_order(e)[1:])
 
 
 def _inside(e: Element, tags: tuple[str, ...]) -> bool:
@@ -195,20 +247,33 @@ def _inside(e: Element, tags: tuple[str, ...]) -> bool:
 
 
 def content(root: Element) -> tuple[list[Element], bool]:
-    """The content elements in page order, and whether they are a marked region."""
-    for tag in ("article", "main"):
-        found: list[Element] = []
+    """The content elements in page order, and whether they are a marked region.
+
+    Chosen by their text outside links and chrome: the articles, if they have half
+    of what ``main`` has and an eighth of the page's; else ``main``, if it has an
+    eighth; else the page."""
+    order = _in_page_order(root)
+    mass: dict[int, int] = {}
+    chrome = {id(e) for e in order[1:] if is_chrome(e)}
+    for e in reversed(order):
+        mass[id(e)] = 0 if id(e) in chrome or e.tag == "a" else sum(
+            len(x.strip()) if isinstance(x, str) else mass[id(x)] for x in e.nodes)
+    marked: dict[str, list[Element]] = {"article": [], "main": []}
+    for tag, found in marked.items():
         todo = [root]
         while todo:
             e = todo.pop()
-            if e is not root and is_chrome(e):
+            if id(e) in chrome:
                 continue
             if e.tag == tag or tag == "main" and "role:main" in e.names:
                 found.append(e)
             else:
                 todo += [x for x in reversed(e.nodes) if not isinstance(x, str)]
-        if found:
-            return found, True
+    articles, mains = (sum(mass[id(e)] for e in found) for found in marked.values())
+    if marked["article"] and 2 * articles >= mains and 8 * articles >= mass[id(root)]:
+        return marked["article"], True
+    if marked["main"] and 8 * mains >= mass[id(root)]:
+        return marked["main"], True
     return [root], False
 
 
@@ -296,7 +361,7 @@ def extract(source: str | None, templates: frozenset[int] = frozenset()) -> str:
                 run.append(x)
             elif x.tag in _SPACED:
                 run.append(" ")
-                if x.nodes:
+                if x.nodes and not is_chrome(x):
                     visit(x)
                     run.append(" ")
             elif is_chrome(x):

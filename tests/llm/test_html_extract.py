@@ -45,6 +45,33 @@ def test_pages(source, text):
     assert H.extract(source) == text
 
 
+LONG = "the story of the page goes on for a while here. " * 4
+
+
+@pytest.mark.parametrize("source, text", [
+    (f"<article class='post has-sidebar no-comments'><p>{LONG}</p></article>", LONG),
+    (f"<div class=page-with-sidebar><h1>T</h1><p>{LONG}</p></div>", f"T\n\n{LONG}"),
+    (f"<div class='content nav-open'><article><p>{LONG}</p></article></div>", LONG),
+    (f"<div id=sidebar><article><p>{LONG}</p></article></div>", LONG),       # it holds the page
+    (f"<article><p>{LONG}</p><h2 id=related-work>Related work</h2><section id=related-work><p>cited</p></section></article>",
+     f"{LONG}\n\nRelated work\n\ncited"),
+    (f"<article><p>{LONG}</p><h2 class=sidebar>Heading</h2><div class=related><p>gone</p></div></article>", f"{LONG}\n\nHeading"),
+    (f"<p>{LONG}</p><table><tr><td class=sidebar>a<td hidden>b<td role=navigation>c<td>d</table>", f"{LONG}\n\nd"),
+    (f"<article><header><h3>Small head</h3></header><p>{LONG}</p></article>", f"Small head\n\n{LONG}"),
+    (f"<main><p>{LONG}</p><article><p>teaser</p></article></main>", f"{LONG}\n\nteaser"),
+    (f"<div><p>{LONG * 3}</p></div><article><p>teaser</p></article>", f"{LONG * 3}\n\nteaser"),
+    (f"<div class=nav-bar>n</div><p>{LONG}</p><div class='share-buttons x'>s</div><div class=adverts>v</div>", LONG),
+])
+def test_names_are_hints_and_regions_are_chosen_by_their_text(source, text):
+    assert H.extract(source) == "\n\n".join(" ".join(b.split()) for b in text.split("\n\n"))
+
+
+def test_chrome_below_any_depth_is_dropped():
+    deep = "<div>" * 30_000
+    assert H.extract(f"{deep}<nav>menu</nav><p>{LONG}</p>") == " ".join(LONG.split())
+    assert H.page_subtrees(f"{deep}<p>x</p>")[0] != 0
+
+
 def test_deep_and_long_pages():
     assert H.extract("<div>" * 20000 + "x" + "</div>" * 20000 + "<p>y") == "x\n\ny"
     assert H.extract("<p>" + "word " * 200000) == " ".join(["word"] * 200000)
