@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from tessera.llm.common import append_columns, raw_texts
 from tessera.llm.components import connected_components
-from tessera.session import materialize
+from tessera.session import materialize, owned_tables
 
 SHINGLE = 3
 RADIUS = 3
@@ -227,14 +227,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
                     shard_limit: int = SHARD_LIMIT) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row of ``docs``;
     ``component_id`` is the smallest ``doc_id`` that can be reached."""
-    prints = materialize(with_fingerprint(docs.select("doc_id", "text"), "fp", shingle)
-                         .select("doc_id", "fp"), "prints")
-    labels = fingerprint_components(prints, radius, shard_limit)
-    firsts = prints.groupBy("fp").agg(F.min("doc_id").alias("first")).join(labels, "fp")
-    firsts = materialize(firsts, "firsts")
-    names = firsts.groupBy("label").agg(F.min("first").alias("component_id"))
-    names = materialize(firsts.join(materialize(names, "names"), "label")
-                        .select("fp", "component_id"), "components")
+    with owned_tables(docs.sparkSession) as keep:
+        prints = keep(with_fingerprint(docs.select("doc_id", "text"), "fp", shingle)
+                      .select("doc_id", "fp"), "prints")
+        labels = fingerprint_components(prints, radius, shard_limit)
+        firsts = prints.groupBy("fp").agg(F.min("doc_id").alias("first")).join(labels, "fp")
+        firsts = materialize(firsts, "firsts")
+        names = firsts.groupBy("label").agg(F.min("first").alias("component_id"))
+        names = keep(firsts.join(materialize(names, "names"), "label")
+                     .select("fp", "component_id"), "components")
     return (prints.join(names, "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                     "component_id"))
@@ -250,13 +251,14 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int =
     row = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"),
                     F.col("h"))
-    prints = materialize(
-        with_fingerprint(docs.select("doc_id", "text"), "fp", shingle)
-        .select("doc_id", "fp", row.alias("h")), "prints")
-    labels = fingerprint_components(prints, radius, shard_limit)
-    firsts = materialize(prints.groupBy("fp").agg(F.min(rank).alias("first")), "firsts")
-    chosen = materialize(firsts.join(labels, "fp").groupBy("label")
-                         .agg(F.min("first").alias("first"))
-                         .select(F.col("first.h").alias("__sim_row")), "chosen")
+    with owned_tables(docs.sparkSession) as keep:
+        prints = materialize(
+            with_fingerprint(docs.select("doc_id", "text"), "fp", shingle)
+            .select("doc_id", "fp", row.alias("h")), "prints")
+        labels = fingerprint_components(prints, radius, shard_limit)
+        firsts = materialize(prints.groupBy("fp").agg(F.min(rank).alias("first")), "firsts")
+        chosen = keep(firsts.join(labels, "fp").groupBy("label")
+                      .agg(F.min("first").alias("first"))
+                      .select(F.col("first.h").alias("__sim_row")), "chosen")
     return (docs.withColumn("__sim_row", row).join(chosen, "__sim_row", "left_semi")
             .dropDuplicates(["__sim_row", "doc_id", "text"]).select(*docs.columns))

@@ -120,3 +120,25 @@ def test_components_of_a_star_and_a_path(spark):
     assert {got[i] for i in range(100, 141)} == {100}
     assert {got[i] for i in range(500, 600)} == {500}
     assert got[900] == 899 and 7 not in got and 3 not in got
+
+
+def test_components_take_few_rounds(spark, monkeypatch):
+    from tessera.llm import components
+    rng = random.Random(6)
+    n = 1024
+    zigzag = [0, *range(n - 1, 0, -1)]
+    mixed = list(range(n))
+    rng.shuffle(mixed)
+    edges, want = [], {}
+    for base, path in ((0, zigzag), (10_000, mixed)):
+        edges += [(base + a, base + b) for a, b in zip(path, path[1:])]
+        want.update({base + a: base for a in path})
+    edges += [(30_000, 30_000 + i) for i in range(1, 200)] + [(40_000 - i, 40_000) for i in range(1, 200)]
+    want.update({30_000 + i: 30_000 for i in range(200)} | {40_000 - i: 39_801 for i in range(200)})
+    edges += [(5, 5), (None, 3), (4, None)]
+    written = []
+    write = components.write_table
+    monkeypatch.setattr(components, "write_table", lambda df, label: (written.append(label), write(df, label))[1])
+    out = components.connected_components(spark.createDataFrame(edges, "a long, b long"))
+    assert {r.node: r.label for r in out.collect()} == want
+    assert written.count("cc-state") <= 8 and len(written) <= 60
