@@ -7,16 +7,28 @@ Two fractional probabilities meet; mass is moved from one to the other until
 one of them is 0 or 1, upwards or downwards at random with odds that keep both
 expectations. Mass is measured in *words* (``x_i += m / size_i``,
 ``x_j -= m / size_j``), so each meeting also keeps the words of the source
-exactly, and at the end one document per source is left, which is rounded by
-its own probability: the words taken differ from the target by less than the
-size of that one document, and larger documents meet first, so it is a small one.
+exactly.
 
 The meetings form a reduction tree: ``LEAVES`` leaves per source (documents
 dealt by their hash, so a hot source fills many tasks), each a chain in one
 streaming pass over sorted rows; the undecided document of every leaf goes on to
-the next level, ``FAN_IN`` to a group, up to one group per source. Random numbers
-are hashes of the seed and the document, and the tree does not depend on the
-number of partitions or tasks, so reruns agree.
+the next level, ``FAN_IN`` to a group, up to one group per source. Of two documents
+the one with less room is decided, so it may be a large one that is left there.
+
+Therefore a *reserve* stays out of the tree: of each source and size class (sizes
+from a power of two to the next) about ``RESERVE`` documents, by their hash.
+What the tree leaves is rounded by its own probability, and the reserve makes up
+for it: its classes are taken from the largest to the smallest, each time with the
+probability that the words still to be taken are of those still open, each
+class by the pivotal method, its last document by its own probability. The words
+that a class misses are a fair game, so the probabilities of the smaller ones keep
+their expectation, and a source ends within about the size of a document of its
+smallest class. (If the words still to be taken are below none or above all of
+the open ones, the probability is cut at 0 or 1: then a difference stays, and
+the few smallest documents do not keep their expectation quite.)
+
+Random numbers are hashes of the seed and the document, and neither tree nor
+reserve depends on the number of partitions or tasks, so reruns agree.
 
 Defined results: a null text has size 0; documents of size 0 take 0 words;
 null sources are one source, last in order; null ids and repeated rows are rows
@@ -34,12 +46,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import word_count
-from tessera.session import materialize
+from tessera.session import materialize, owned_tables
 
 WEIGHTS = (1, 2, 3)       # by code point order of the source, repeating
 MAX_COPIES = 3
 LEAVES = 4096             # leaves of a source's tree
 FAN_IN = 64               # undecided documents that meet in a group above
+RESERVE = 32              # documents of a source and size class that settle the rest
 SEED = 17
 
 
@@ -153,6 +166,63 @@ def _play(rows: DataFrame, level: int) -> DataFrame:
             .mapInArrow(run, rows.schema))
 
 
+def settle(size: np.ndarray, x: np.ndarray, spare: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """0 or 1 for every document of a source's end: those that the tree left, and the
+    reserve (``spare``), by size from the largest. ``u, v``: random numbers of each."""
+    out = x.copy()
+    for i in np.flatnonzero(~spare):
+        out[i] = float(u[i] < x[i]) if EPS <= x[i] <= 1.0 - EPS else round(x[i])
+    need = float(size @ x) - float(size[~spare] @ out[~spare])
+    rest = float(size[spare].sum())
+    classes = np.frexp(size.astype(np.float64))[1]
+    for c in sorted(set(classes[spare].tolist()), reverse=True):
+        members = np.flatnonzero(spare & (classes == c))
+        p = min(max(need / rest, 0.0), 1.0)
+        held, q = -1, 0.0               # the undecided one
+        for i in members:
+            if not EPS <= p <= 1.0 - EPS:
+                out[i] = round(p)
+            elif held < 0:
+                held, q = i, p
+            else:
+                a, b = meet(q, int(size[held]), p, int(size[i]), u[i])
+                out[held], out[i] = a, b
+                held, q = (held, a) if a not in (0.0, 1.0) else (i, b) if b not in (0.0, 1.0) else (-1, 0.0)
+        if held >= 0:
+            out[held] = float(v[held] < q)
+        need -= float(size[members] @ out[members])
+        rest -= float(size[members].sum())
+    return out
+
+
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by ``group``: every group settled. A group has one document of
+    the tree and the reserve, so a bounded number in expectation."""
+    held: list[pa.RecordBatch] = []
+
+    def done(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        batch = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+        h, size, x = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
+        spare = batch.column(4).to_numpy(zero_copy_only=False).astype(bool)
+        order = np.lexsort((h, -size))
+        out = np.empty(len(x))
+        out[order] = settle(size[order], x[order], spare[order], _uniform(h, 100)[order], _uniform(h, 101)[order])
+        return batch.set_column(3, "x", pa.array(out))
+
+    for batch in batches:
+        group = batch.column(0).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+        for s, e in zip(edges, edges[1:]):
+            if e == s:
+                continue
+            if held and held[-1].column(0)[0].as_py() != group[s]:
+                yield done(held)
+                held = []
+            held.append(batch.slice(s, e - s))
+    if held:
+        yield done(held)
+
+
 def _open() -> Column:
     return F.col("x").between(EPS, 1.0 - EPS)
 
@@ -164,39 +234,45 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = M
     Texts are only counted where they are read; what is shuffled are ids,
     sizes and hashes. A document that is undecided at a leaf appears again at
     the next level, so each level adds at most leaves / fan_in**level rows."""
-    sized = materialize(docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"),
-        F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), F.col("text")).alias("h")), "sizes")
-    targets = materialize(source_targets(sized, weights, max_copies), "targets")
-    share = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    whole = F.floor(share + EPS)
-    rows = (
-        sized.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-        .select(F.xxhash64(F.col("source").isNull(), F.col("source")).alias("key"),
-                "doc_id", "h", "size", "source_size", "target", whole.alias("whole"),
-                F.greatest(F.lit(0.0), share - whole).alias("x")))
-    leaf = F.xxhash64(F.col("key"), F.pmod(F.xxhash64("h", F.lit(1)), F.lit(leaves)))
-    columns = ["h", "size", "x", "key", "doc_id", "source_size", "target", "whole"]
-    done = []
-    live = rows
-    levels = ceil(log(leaves) / log(fan_in)) if leaves > 1 else 0
-    for level in range(levels + 1):
-        groups = max(1, ceil(leaves / fan_in ** level))
-        group = leaf if level == 0 else F.xxhash64(
-            F.col("key"), F.pmod(F.xxhash64("h", F.lit(level + 1)), F.lit(groups)))
-        if level == levels:
-            group = F.col("key")
-        played = materialize(_play(live.select(group.alias("group"), *columns), level), "level")
-        if level < levels:
+    with owned_tables(docs.sparkSession) as keep:
+        sized = materialize(docs.select(
+            "doc_id", "source", word_count(F.col("text")).alias("size"),
+            F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), F.col("text")).alias("h")), "sizes")
+        targets = materialize(source_targets(sized, weights, max_copies), "targets")
+        share = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+        whole = F.floor(share + EPS)
+        rows = (
+            sized.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+            .select(F.xxhash64(F.col("source").isNull(), F.col("source")).alias("key"),
+                    "doc_id", "h", "size", "source_size", "target", whole.alias("whole"),
+                    F.greatest(F.lit(0.0), share - whole).alias("x"),
+                    F.floor(F.log2(F.greatest("size", F.lit(1)))).cast("int").alias("class")))
+        classes = materialize(rows.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
+                              .select(F.col("key").alias("k"), F.col("class").alias("c"), "n"), "classes")
+        drawn = (F.pmod(F.xxhash64("h", F.lit(-2)), F.lit(1 << 30)) + 0.5) / float(1 << 30)
+        rows = materialize(
+            rows.join(classes, (F.col("key") == F.col("k")) & (F.col("class") == F.col("c")))
+            .withColumn("spare", _open() & (drawn * F.col("n") < F.lit(RESERVE))).drop("k", "c", "n", "class"), "rows")
+        leaf = F.xxhash64(F.col("key"), F.pmod(F.xxhash64("h", F.lit(1)), F.lit(leaves)))
+        columns = ["h", "size", "x", "spare", "key", "doc_id", "source_size", "target", "whole"]
+        done = []
+        live = rows.where(~F.col("spare"))
+        levels = ceil(log(leaves) / log(fan_in)) if leaves > 1 else 0
+        for level in range(levels + 1):
+            groups = max(1, ceil(leaves / fan_in ** level))
+            group = leaf if level == 0 else F.xxhash64(
+                F.col("key"), F.pmod(F.xxhash64("h", F.lit(level + 1)), F.lit(groups)))
+            if level == levels:
+                group = F.col("key")
+            played = materialize(_play(live.select(group.alias("group"), *columns), level), "level")
             done.append(played.where(~_open()))
             live = played.where(_open())
-        else:
-            done.append(played)     # one undecided document per source at most
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    u = (F.pmod(F.xxhash64("h", F.lit(-1)), F.lit(1 << 30)) + 0.5) / float(1 << 30)
-    last = F.when(_open(), (u < F.col("x")).cast("long")).otherwise(F.round("x").cast("long"))
-    copies = F.col("whole") + last
-    return out.select("doc_id", "size", "source_size", "target",
-                      (copies * F.col("size")).alias("taken"), copies.alias("copies"))
+        last = (live.drop("group").unionByName(rows.where("spare"))
+                .select(F.col("key").alias("group"), *columns).repartition("group").sortWithinPartitions("group"))
+        done.append(last.mapInArrow(_settled, last.schema))
+        out = done[0]
+        for d in done[1:]:
+            out = out.unionByName(d)
+        copies = F.col("whole") + F.round("x").cast("long")
+        return keep(out.select("doc_id", "size", "source_size", "target",
+                               (copies * F.col("size")).alias("taken"), copies.alias("copies")), "mixture")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from llm.conftest import SF
@@ -69,6 +70,45 @@ def test_many_small_leaves_and_batches(spark, docs):
     check(out, {i: len(t.split()) for i, t, _ in rows})
 
 
+def settle_once(size, x, tree, seed):
+    n = len(size)
+    rng = np.random.default_rng(seed)
+    spare = np.ones(n, dtype=bool)
+    spare[:tree] = False
+    order = np.argsort(-size, kind="stable")
+    out = np.empty(n)
+    out[order] = mixing.settle(size[order], x[order], spare[order], rng.random(n), rng.random(n))
+    return out
+
+
+def test_reserve_settles_what_a_large_document_leaves():
+    rng = np.random.default_rng(1)
+    size = np.concatenate([[20_000], rng.integers(1, 4000, 200)])
+    x = np.concatenate([[0.4], np.full(200, 0.3)])
+    runs = np.array([settle_once(size, x, 1, seed) for seed in range(3000)])
+    assert set(np.unique(runs)) <= {0.0, 1.0}
+    missed = np.abs(runs @ size - size @ x)
+    # within a thousandth of the target; the tree alone leaves thousands of words
+    assert np.quantile(missed, 0.99) <= 0.001 * (size @ x) and missed.max() <= 0.005 * (size @ x)
+    # (the few smallest documents take what is left, cut at 0 and 1)
+    off = abs(runs.mean(axis=0) - x)
+    assert off[size >= 256].max() < 0.05 and abs(runs[:, 1:].mean() - 0.3) < 0.01
+
+
+def test_targets_are_met(spark):
+    # sources with documents from 1 to 20,000 words
+    rng = random.Random(7)
+    rows = [(i, "w " * int(min(20_000, 10 ** rng.uniform(0, 4.3))), rng.choice(["a", "b", "c", "d"])) for i in range(900)]
+    frame = spark.createDataFrame([(*r, None) for r in rows], "doc_id long, text string, source string, size string")
+    for seed in (1, 2):
+        per = {}
+        for r in mixing.mix(frame, seed=seed, leaves=16, fan_in=4).collect():
+            t = per.setdefault((r.source_size, r.target), [0])
+            t[0] += r.taken
+            assert 0 <= r.taken <= 3 * r.size
+        assert len(per) == 4 and all(abs(t[0] - target) <= 0.01 * target for (_, target), t in per.items())
+
+
 def test_expectation_is_kept():
     rng = random.Random(0)
     total = [0.0, 0.0]
