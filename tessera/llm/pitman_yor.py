@@ -8,23 +8,33 @@ word, d the discount and theta the strength,
     P(w | u) = (c_uw - d t_uw) / (theta + c_u) + (theta + d t_u) / (theta + c_u) * P(w),
 
 and P(w) alike, with the tables of the context restaurants as its customers.
-The seating is sampled by blocked Gibbs steps: given all other dishes, the
-customers of one dish are seated one after another, a new table opening with
-odds ``(theta + d t_u) P(w)`` against ``n - d t``; then the parent's customers,
-the tables, are seated alike. Probabilities are averaged over ``SAMPLES``
-seatings after ``BURN_IN``. (Dishes of millions of customers are seated in
-blocks of ``BLOCK`` of those present, with the odds of the block's start.)
+The seating is sampled by Gibbs sweeps over the whole corpus: with the totals
+and P(w) of the sweep before, the customers of every dish are seated one after
+another, a new table opening with odds ``(theta + d t_u) P(w)`` against
+``n - d t``; then the parent's customers, the tables, are seated alike. The
+totals of a sweep are those of its own tables, so that its probabilities add up
+to 1 in every context. After ``BURN_IN`` sweeps, the first and the second term
+of P(w | u), its back-off weight and P(w) are averaged over ``SAMPLES`` sweeps:
+the mean over all pairings of a context seating with a parent seating, which
+adds up to 1 as well.
+
+A dish's random numbers are hashed from (word, context, sweep), so the seating
+does not depend on partitions. The first ``HEAD`` customers are drawn one by
+one; from there the place of the next new table is drawn at once, from the
+product of the chances that none opens. Both draw from the same distribution.
 
 How it runs:
 
 1. Each task packs its documents, about ``PACK_TOKENS`` tokens at a time: one
    packet per partition of the vocabulary, with the word hashes, and for every
    (word, document, context class) a count. Packets are shuffled by partition
-   and written as a table bucketed by it; both later passes read a partition's
-   packets in one task without another shuffle.
-2. A first pass counts, seats and returns the restaurant totals: CONTEXTS rows
-   at most, whatever the corpus, and a few sums over the vocabulary.
-3. A second pass seats again with these totals, and returns to every packet the
+   and written as a table bucketed by it, so the first and the last step read a
+   partition's packets in one task without another shuffle.
+2. A partition's training counts are written as one row, with its share of the
+   restaurant totals: CONTEXTS rows at most, whatever the corpus.
+3. A sweep reads these rows, seats and returns totals only. It repeats the
+   sweeps before it from their totals, so no seating is kept anywhere.
+4. The last step repeats all sweeps, averages, and returns to every packet the
    sums over its documents; these are added up per packet.
 
 All counts cover all training documents; a partition's words are counted there
@@ -40,7 +50,7 @@ from __future__ import annotations
 
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -51,7 +61,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import id_remainder, raw_texts
-from tessera.session import ensure_checkpoint_dir, shuffle_partitions
+from tessera.session import drop_table, owned_tables, shuffle_partitions, table_path, write_table
 
 CONTEXTS = 1 << 16        # context restaurants
 THETA = 1.0
@@ -59,7 +69,7 @@ PARENT_DISCOUNT = 0.5
 PACK_TOKENS = 600_000
 BURN_IN = 2
 SAMPLES = 4
-BLOCK = 0.02
+HEAD = 64                 # customers of a dish that are drawn one by one
 SEED = 29
 HELD_OUT, HELD_REMAINDER = 7, 2
 
@@ -199,24 +209,66 @@ def _open(raw: bytes) -> tuple[int, np.ndarray, Packet]:
 
 # ---- seating ----------------------------------------------------------------
 
-def seat(customers: np.ndarray, odds: np.ndarray, discount: float, rng: np.random.Generator,
-         block: float = BLOCK) -> np.ndarray:
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Finaliser of the splitmix64 generator."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def dish_keys(words: np.ndarray, contexts: np.ndarray, number: int) -> np.ndarray:
+    """What a dish's random numbers of sweep ``number`` are hashed from; the
+    parent restaurant is context ``CONTEXTS``."""
+    with np.errstate(over="ignore"):
+        place = _mix(contexts.astype(np.uint64) + np.uint64(SEED << 40 | number << 20))
+        return _mix(words.astype(np.uint64) + place)
+
+
+def uniform(keys: np.ndarray, draw: np.ndarray | int) -> np.ndarray:
+    """Number ``draw`` of each key's stream, in (0, 1)."""
+    with np.errstate(over="ignore"):
+        x = _mix(keys + (np.asarray(draw).astype(np.uint64) + np.uint64(1)) * _STEP)
+    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+
+
+def _gamma_ratio(y: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    """log gamma(y) - log gamma(y + odds), for y over about 3."""
+    def tail(x):
+        return 1 / (12 * x) - 1 / (360 * x ** 3) + 1 / (1260 * x ** 5)
+    z = y + odds
+    return -(y - 0.5) * np.log1p(odds / y) - odds * np.log(z) + odds + tail(y) - tail(z)
+
+
+def seat(customers: np.ndarray, odds: np.ndarray, discount: float, keys: np.ndarray) -> np.ndarray:
     """Tables after ``customers`` (>= 1) sat down one by one: a new table opens
     with weight ``odds`` against ``n - discount * tables`` for n present."""
     tables = np.ones(len(customers), dtype=np.int64)
     live = np.flatnonzero(customers > 1)
-    n = 1
+    for n in range(1, HEAD):
+        if not len(live):
+            return tables
+        chance = odds[live] / (odds[live] + n - discount * tables[live])
+        tables[live] += uniform(keys[live], n) < chance
+        live = live[customers[live] > n + 1]
+    present = np.full(len(live), HEAD, dtype=np.int64)
     while len(live):
-        step = max(1, int(n * block))
-        open_odds = odds[live]
-        chance = open_odds / (open_odds + n - discount * tables[live])
-        some = np.minimum(step, customers[live] - n)
-        if step == 1:
-            tables[live] += rng.random(len(live)) < chance
-        else:
-            tables[live] += rng.binomial(some, np.minimum(chance, 1.0))
-        n += step
-        live = live[customers[live] > n]
+        # no table opens up to m customers with chance exp(ratio(m) - ratio(present))
+        o, taken = odds[live], discount * tables[live]
+        level = np.log(uniform(keys[live], tables[live] + (1 << 40))) + _gamma_ratio(present - taken, o)
+        opens = _gamma_ratio(customers[live] - taken, o) < level
+        live, o, taken, level, low = live[opens], o[opens], taken[opens], level[opens], present[opens]
+        high = customers[live]
+        while (high - low > 1).any():
+            middle = (low + high) // 2
+            below = _gamma_ratio(middle - taken, o) < level
+            low, high = np.where(below, low, middle), np.where(below, middle, high)
+        tables[live] += 1
+        going = customers[live] > high
+        live, present = live[going], high[going]
     return tables
 
 
@@ -260,107 +312,156 @@ def parent_probability(customers: np.ndarray, tables: np.ndarray, totals: Totals
     return np.maximum(customers - d * tables, 0.0) / whole + back
 
 
-def sweep(part: Part, p_word: np.ndarray, totals: Totals, rng: np.random.Generator
+def sweep(part: Part, p_word: np.ndarray, totals: Totals, number: int
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One Gibbs step of a partition: tables of every (word, context), and
-    customers and tables of every word in the parent restaurant."""
+    """Gibbs sweep ``number`` of a partition: tables of every (word, context),
+    and customers and tables of every word in the parent restaurant."""
     odds = (THETA + totals.discount * totals.tables[part.context]) * p_word[part.word]
-    tables = seat(part.count, odds, totals.discount, rng)
+    tables = seat(part.count, odds, totals.discount,
+                  dish_keys(part.words[part.word], part.context, number))
     customers = np.bincount(part.word, weights=tables, minlength=len(part.words)).astype(np.int64)
     base = (THETA + PARENT_DISCOUNT * totals.parent_tables) / (totals.vocabulary + 1)
-    own = seat(customers, np.full(len(customers), base), PARENT_DISCOUNT, rng)
+    own = seat(customers, np.full(len(customers), base), PARENT_DISCOUNT,
+               dish_keys(part.words, np.full(len(part.words), CONTEXTS), number))
     return tables, customers, own
 
 
 def first_totals(n_tokens: int, vocabulary: int, ones: int, twos: int, customers: np.ndarray,
                  types: np.ndarray) -> Totals:
-    """Before any seating: one table for every (word, context), the discount
+    """Before any sweep: one table for every (word, context), the discount
     from the numbers of types seen once and twice."""
     discount = min(0.95, max(0.1, ones / max(1, ones + 2 * twos)))
     return Totals(n_tokens, vocabulary, discount, customers, types, int(types.sum()), vocabulary)
 
 
-def _seed(part: int) -> np.random.Generator:
-    return np.random.default_rng([SEED, part])
+def replay(part: Part, history: Sequence[Totals]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """What :func:`sweep` returns, before the first sweep and after each whose
+    totals before it are in ``history``."""
+    state = (np.ones(len(part.count), dtype=np.int64),
+             np.bincount(part.word, minlength=len(part.words)).astype(np.int64),
+             np.ones(len(part.words), dtype=np.int64))
+    yield state
+    for i, totals in enumerate(history):
+        _, customers, own = state
+        state = sweep(part, parent_probability(customers, own, totals), totals, i + 1)
+        yield state
+
+
+class Model:
+    """A partition's averaged probabilities; ``history`` has the totals before
+    the first and after every sweep."""
+
+    def __init__(self, part: Part, history: Sequence[Totals]):
+        totals = history[0]
+        whole = THETA + totals.customers
+        self.part = part
+        self.word, self.own = np.zeros(len(part.words)), np.zeros(len(part.count))
+        self.back, self.unknown = np.zeros(CONTEXTS), 0.0
+        for i, (state, after) in enumerate(zip(replay(part, history[:-1]), history, strict=True)):
+            if i > BURN_IN:
+                tables, customers, own = state
+                self.word += parent_probability(customers, own, after) / SAMPLES
+                self.own += (part.count - after.discount * tables) / whole[part.context] / SAMPLES
+                self.back += (THETA + after.discount * after.tables) / whole / SAMPLES
+                self.unknown += float(parent_probability(np.zeros(1), np.zeros(1), after)[0]) / SAMPLES
+        self.code = part.word * CONTEXTS + part.context
+        size = totals.tokens + totals.vocabulary + 1.0
+        self.base, self.base_unknown = np.log10((part.unigram + 1.0) / size), -np.log10(size)
+
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each word hash in the partition, and whether it is known."""
+        if not len(self.part.words):
+            return np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=bool)
+        place = np.minimum(np.searchsorted(self.part.words, words), len(self.part.words) - 1)
+        return place, self.part.words[place] == words
+
+    def probability(self, place: np.ndarray, known: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+        """P(w | u) of words as :func:`find` gave them after context classes."""
+        if not len(self.code):
+            return self.back[contexts] * self.unknown
+        share = np.where(known, self.word[place], self.unknown)
+        want = place * CONTEXTS + contexts
+        at = np.minimum(np.searchsorted(self.code, want), len(self.code) - 1)
+        own = np.where(known & (self.code[at] == want), self.own[at], 0.0)
+        return own + self.back[contexts] * share
+
+    def base_log(self, place: np.ndarray, known: np.ndarray) -> np.ndarray:
+        if not len(self.base):
+            return np.full(len(place), self.base_unknown)
+        return np.where(known, self.base[place], self.base_unknown)
 
 
 def _opened(data: pa.ChunkedArray) -> list[tuple[int, np.ndarray, Packet]]:
     return [_open(x) for x in data.to_pylist()]
 
 
-def _count_totals(part: int, group: pa.Table) -> pa.Table:
-    """First pass: per context class its customers, types and (as class -1) the
-    sums N, V, types seen once and twice."""
+def _pack_part(p: Part) -> bytes:
+    runs = np.bincount(p.word, minlength=len(p.words))
+    return struct.pack("<QQ", len(p.words), len(p.count)) + b"".join(
+        x.astype(kind).tobytes() for x, kind in
+        ((p.words, "<u8"), (p.unigram, "<i8"), (runs, "<i8"), (p.context, "<u2"), (p.count, "<i8")))
+
+
+def _unpack_part(raw: bytes) -> Part:
+    n, m = struct.unpack_from("<QQ", raw)
+    out, at = [], 16
+    for kind, length in (("<u8", n), ("<i8", n), ("<i8", n), ("<u2", m), ("<i8", m)):
+        x = np.frombuffer(raw, dtype=kind, count=length, offset=at)
+        out.append(x)
+        at += x.nbytes
+    words, unigram, runs, context, count = out
+    return Part(words, unigram, np.repeat(np.arange(n), runs), context.astype(np.int64), count)
+
+
+_COUNTED = "part int, context long, x long, y long, data binary"
+
+
+def _count_rows(part: int, group: pa.Table) -> pa.Table:
+    """A partition's counts as one row; per context class its customers and types;
+    as classes -1 and -2 the sums V, N and types seen once and twice."""
     p = count_part(_opened(group.column("data")))
     at = np.flatnonzero(np.bincount(p.context, minlength=CONTEXTS))
     customers = np.bincount(p.context, weights=p.count, minlength=CONTEXTS)[at].astype(np.int64)
     types = np.bincount(p.context, minlength=CONTEXTS)[at]
-    head = [[-1, len(p.words), int(p.unigram.sum())],
+    head = [[None, None, None], [-1, len(p.words), int(p.unigram.sum())],
             [-2, int((p.count == 1).sum()), int((p.count == 2).sum())]]
-    return pa.table({"context": pa.array([h[0] for h in head] + at.tolist(), pa.int64()),
+    n = len(head) + len(at)
+    return pa.table({"part": pa.array([part] * n, pa.int32()),
+                     "context": pa.array([h[0] for h in head] + at.tolist(), pa.int64()),
                      "x": pa.array([h[1] for h in head] + customers.tolist(), pa.int64()),
-                     "y": pa.array([h[2] for h in head] + types.tolist(), pa.int64())})
+                     "y": pa.array([h[2] for h in head] + types.tolist(), pa.int64()),
+                     "data": pa.array([_pack_part(p)] + [None] * (n - 1), pa.binary())})
 
 
-def _seat_totals(totals: Totals):
-    """Second pass: seat, and return the tables of each class."""
-    def run(part: int, group: pa.Table) -> pa.Table:
-        p = count_part(_opened(group.column("data")))
-        rng = _seed(part)
-        p_word = (p.unigram + 1.0) / (totals.tokens + totals.vocabulary + 1.0)
-        tables = np.ones(len(p.count), dtype=np.int64)
-        own = np.ones(len(p.words), dtype=np.int64)
-        for _ in range(BURN_IN):
-            tables, customers, own = sweep(p, p_word, totals, rng)
-            p_word = parent_probability(customers, own, totals)
-        by = np.bincount(p.context, weights=tables, minlength=CONTEXTS).astype(np.int64)
-        at = np.flatnonzero(by)
-        return pa.table({"context": pa.array([-1, *at.tolist()], pa.int64()),
-                         "x": pa.array([int(own.sum()), *by[at].tolist()], pa.int64()),
-                         "y": pa.array([0] * (len(at) + 1), pa.int64())})
+def _sweep_rows(history: Sequence[Totals]):
+    """The sweep after ``history``: the tables of each class, as class -1 those
+    of the parent restaurant."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for raw in b.column(0):
+                p = _unpack_part(raw.as_py())
+                for tables, _, own in replay(p, history):      # to the last
+                    pass
+                by = np.bincount(p.context, weights=tables, minlength=CONTEXTS).astype(np.int64)
+                at = np.flatnonzero(by)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([-1, *at.tolist()], pa.int64()), pa.array([int(own.sum()), *by[at].tolist()], pa.int64()),
+                     pa.array([0] * (len(at) + 1), pa.int64())], names=["context", "x", "y"])
     return run
 
 
-def _score_parts(totals: Totals):
-    """Third pass: average the probability of every (word, context) over
-    seatings, and sum logarithms over each packet's documents."""
+def _score_parts(history: Sequence[Totals]):
+    """Last step: sum the logarithms over each packet's documents."""
     def run(part: int, group: pa.Table) -> pa.Table:
         batches, opened = group.column("batch").to_pylist(), _opened(group.column("data"))
-        p = count_part(opened)
-        rng = _seed(part)
-        p_word = (p.unigram + 1.0) / (totals.tokens + totals.vocabulary + 1.0)
-        whole = THETA + totals.customers
-        back = (THETA + totals.discount * totals.tables) / whole
-        mean_word, mean_own = np.zeros(len(p.words)), np.zeros(len(p.count))
-        for i in range(BURN_IN + SAMPLES):
-            tables, customers, own = sweep(p, p_word, totals, rng)
-            p_word = parent_probability(customers, own, totals)
-            if i >= BURN_IN:
-                mean_word += p_word / SAMPLES
-                mean_own += (p.count - totals.discount * tables) / whole[p.context] / SAMPLES
-        unknown = float(parent_probability(np.zeros(1), np.zeros(1), totals)[0])
-        code = p.word * CONTEXTS + p.context
-        base = np.log10((p.unigram + 1.0) / (totals.tokens + totals.vocabulary + 1.0))
-        base_unknown = -np.log10(totals.tokens + totals.vocabulary + 1.0)
+        model = Model(count_part(opened), history)
         out = []
         for n, _, q in opened:
-            place = np.searchsorted(p.words, q.words)
-            place = np.minimum(place, max(0, len(p.words) - 1))
-            known = p.words[place] == q.words if len(p.words) else np.zeros(len(q.words), bool)
-            word, is_known = np.repeat(place, q.runs), np.repeat(known, q.runs)
-            share = np.where(is_known, mean_word[word], unknown) if len(p.words) else np.full(len(word), unknown)
-            prob = back[q.contexts] * share
-            if len(code):
-                want = word * CONTEXTS + q.contexts
-                at = np.minimum(np.searchsorted(code, want), len(code) - 1)
-                hit = is_known & (code[at] == want)
-                prob = prob + np.where(hit, mean_own[at], 0.0)
-                plain = np.where(is_known, base[word], base_unknown)
-            else:
-                plain = np.full(len(word), base_unknown)
+            place, known = (np.repeat(x, q.runs) for x in model.find(q.words))
+            prob = model.probability(place, known, q.contexts)
             times = q.counts.astype(np.float64)
             sums = [np.bincount(q.docs, weights=w, minlength=n) for w in
-                    (times * np.log10(prob), times * plain, times * is_known)]
+                    (times * np.log10(prob), times * model.base_log(place, known), times * known)]
             used = np.flatnonzero(np.bincount(q.docs, minlength=n))
             out.append(used.astype("<u2").tobytes() + sums[0][used].tobytes() + sums[1][used].tobytes()
                        + sums[2][used].astype("<u4").tobytes())
@@ -408,32 +509,43 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), held_out.alias("held"), "text")
     packed = rows.mapInArrow(_pack_rows(parts), "part int, batch long, data binary")
     name = f"tessera_packets_{uuid.uuid4().hex}"
-    path = f"{ensure_checkpoint_dir(spark)}/tables/{name}"
-    (packed.repartition(width, "part").write.bucketBy(width, "part").sortBy("part")
-     .option("path", path).option("compression", "zstd").saveAsTable(name))
-    table = spark.table(name)
-    words = table.where("part >= 0")
+    with owned_tables(spark) as keep:
+        try:
+            (packed.repartition(width, "part").write.bucketBy(width, "part").sortBy("part")
+             .option("path", table_path(spark, "packets")).option("compression", "zstd").saveAsTable(name))
+            return keep(_scored(spark.table(name)), "scores")
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _scored(packed: DataFrame) -> DataFrame:
+    words = packed.where("part >= 0")
 
     def per_part(fn, schema: str) -> DataFrame:
         return words.groupBy("part").applyInArrow(
             lambda key, group: fn(key[0].as_py(), group), schema)
 
-    found = _sums(per_part(_count_totals, "context long, x long, y long"))
+    counted, path = write_table(per_part(_count_rows, _COUNTED), "counts")
+    found = _sums(counted.where("context is not null"))
     vocabulary, n_tokens = found.pop(-1, (0, 0))
     ones, twos = found.pop(-2, (0, 0))
     customers, types = np.zeros(CONTEXTS, dtype=np.int64), np.zeros(CONTEXTS, dtype=np.int64)
     for c, (x, y) in found.items():
         customers[c], types[c] = x, y
-    totals = first_totals(n_tokens, vocabulary, ones, twos, customers, types)
-    found = _sums(per_part(_seat_totals(totals), "context long, x long, y long"))
-    parent_tables = found.pop(-1, (0, 0))[0]
-    tables = np.zeros(CONTEXTS, dtype=np.int64)
-    for c, (x, _) in found.items():
-        tables[c] = x
-    totals = totals._replace(tables=tables, parent_customers=int(tables.sum()), parent_tables=parent_tables)
-
-    sums = per_part(_score_parts(totals), "batch long, data binary").withColumn("is_list", F.lit(False))
-    lists = table.where("part < 0").select("batch", "data", F.lit(True).alias("is_list"))
+    history = [first_totals(n_tokens, vocabulary, ones, twos, customers, types)]
+    parts = counted.where("context is null").select("data")
+    for _ in range(BURN_IN + SAMPLES):
+        found = _sums(parts.mapInArrow(_sweep_rows(tuple(history)), "context long, x long, y long"))
+        parent_tables = found.pop(-1, (0, 0))[0]
+        tables = np.zeros(CONTEXTS, dtype=np.int64)
+        for c, (x, _) in found.items():
+            tables[c] = x
+        history.append(history[0]._replace(tables=tables, parent_customers=int(tables.sum()),
+                                           parent_tables=parent_tables))
+    drop_table(packed.sparkSession, path)
+
+    sums = per_part(_score_parts(tuple(history)), "batch long, data binary").withColumn("is_list", F.lit(False))
+    lists = packed.where("part < 0").select("batch", "data", F.lit(True).alias("is_list"))
     scored = sums.unionByName(lists).groupBy("batch").applyInArrow(
         lambda key, group: _join_scores(key[0].as_py(), group),
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

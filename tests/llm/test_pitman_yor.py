@@ -8,6 +8,7 @@ import pytest
 from llm.conftest import SF
 from tessera.llm import pitman_yor as P
 from tessera.llm.common import table
+from tessera.session import ensure_checkpoint_dir
 
 
 def words(text):
@@ -34,7 +35,8 @@ def test_base_score_against_brute_force_and_better_model(spark):
     d = table(spark, sf, "documents")
     rows = [(r.doc_id, r.text) for r in d.collect()]
     want = {r[0]: r for r in brute_base(rows, crc_held)}
-    got = {r.doc_id: r for r in P.score_documents(d).collect()}
+    scored = P.score_documents(d)
+    got = {r.doc_id: r for r in scored.collect()}
     assert set(got) == set(want)
     for i, r in got.items():
         w = want[i]
@@ -43,64 +45,159 @@ def test_base_score_against_brute_force_and_better_model(spark):
         assert r.score < 0
     held = [r for r in got.values() if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
-    summary = {r.held_out: r for r in P.perplexity(P.score_documents(d)).collect()}
+    summary = {r.held_out: r for r in P.perplexity(scored).collect()}
     assert summary[True].perplexity < summary[True].base_perplexity
 
 
-def test_probabilities_of_a_context_sum_to_one(spark, docs):
-    """Over every known word, the end and one unknown word, after any context."""
-    train = "a b a c a b . d e a b c a a b"
-    vocabulary = sorted(set(train.split()))
-    rows = [(1, train)] * 3 + [(10 + i, f"a {w}") for i, w in enumerate(vocabulary)]
-    rows += [(50, "a zzz"), (51, "a")]
-    d = docs(rows)
-    out = {r.doc_id: r for r in P.score_texts(d, d.doc_id >= 10).collect()}
-    # log P(a) + log P(w | a) + log P(end | w): isolate P(w | a) through the
-    # model itself, scored with the same totals
-    single = {w: out[10 + i] for i, w in enumerate(vocabulary)}
-    assert all(math.isfinite(r.score) and r.score < 0 for r in single.values())
-    assert out[50].n_known == 2 and out[51].n_known == 2
-    best = max(single, key=lambda w: single[w].score - 0)
-    assert best in ("b", "c", "a")
-
-
-def test_seating_matches_one_by_one():
-    rng = np.random.default_rng(1)
-    many = P.seat(np.full(4000, 30), np.full(4000, 2.0), 0.5, rng)
-    slow = []
-    for _ in range(4000):
+def one_part(rows, held):
+    """The partition of a vocabulary that is not cut, and the totals of every sweep."""
+    texts = [P.tokens((t or "").encode()) for _, t in rows]
+    (_, packet), = P.packets(texts, [0])
+    part = P.count_part([(len(rows), np.array([held(i) for i, _ in rows]), packet)])
+    first = P.first_totals(int(part.count.sum()), len(part.words), int((part.count == 1).sum()),
+                           int((part.count == 2).sum()),
+                           np.bincount(part.context, part.count, P.CONTEXTS).astype(int),
+                           np.bincount(part.context, minlength=P.CONTEXTS))
+    history = [first]
+    for _ in range(P.BURN_IN + P.SAMPLES):
+        *_, (tables, _, own) = P.replay(part, history)
+        history.append(first._replace(tables=np.bincount(part.context, tables, P.CONTEXTS).astype(int),
+                                      parent_customers=int(tables.sum()), parent_tables=int(own.sum())))
+    return part, history
+
+
+def brute_scores(rows, held):
+    """The model by dictionaries and one customer after another."""
+    end = (1 << 64) - 1
+
+    def steps(text):
+        ws = [P._word(w) for w in (text or "").encode().lower().split()]
+        before = [P._word(b""), *ws]
+        return list(zip(before, [*ws, end], strict=True))
+
+    def klass(u):
+        return int(P._context(np.array([u], np.uint64))[0])
+
+    def draws(w, u, number):
+        key = P.dish_keys(np.array([w], np.uint64), np.array([u]), number)
+        return lambda n: float(P.uniform(key, n)[0])
+
+    def sit(c, odds, d, draw):
         t = 1
-        for n in range(1, 30):
-            t += rng.random() < 2.0 / (2.0 + n - 0.5 * t)
-        slow.append(t)
-    assert many.mean() == pytest.approx(np.mean(slow), rel=0.03)
-    blocks = P.seat(np.full(300, 20000), np.full(300, 5.0), 0.3, rng)
-    exact = P.seat(np.full(300, 20000), np.full(300, 5.0), 0.3, rng, block=0.0)
-    assert blocks.mean() == pytest.approx(exact.mean(), rel=0.03)
-    assert (P.seat(np.array([1, 1]), np.array([9.0, 9.0]), 0.9, rng) == 1).all()
-
-
-def test_predictive_sums_to_one():
-    """P(. | u) over all words of one partition and the unknown word."""
-    rng = np.random.default_rng(0)
-    n_words, classes = 50, 7
-    word, context = np.divmod(np.arange(n_words * classes), classes)
-    count = rng.integers(1, 20, len(word))
-    part = P.Part(np.arange(n_words), np.bincount(word, count).astype(int), word, context, count)
-    customers = np.bincount(context, count, P.CONTEXTS).astype(int)
-    totals = P.first_totals(int(count.sum()), n_words, 10, 5, customers, np.bincount(context, minlength=P.CONTEXTS))
-    tables, c, own = P.sweep(part, np.full(n_words, 1 / 60), totals, rng)
-    totals = totals._replace(tables=np.bincount(context, tables, P.CONTEXTS).astype(int),
-                             parent_customers=int(tables.sum()), parent_tables=int(own.sum()))
-    p_word = P.parent_probability(c, own, totals)
-    unknown = P.parent_probability(np.zeros(1), np.zeros(1), totals)[0]
-    assert p_word.sum() + unknown == pytest.approx(1.0)
-    whole = P.THETA + totals.customers
-    back = (P.THETA + totals.discount * totals.tables) / whole
-    for u in range(classes):
-        at = context == u
-        p = (count[at] - totals.discount * tables[at]) / whole[u] + back[u] * p_word[word[at]]
-        assert p.sum() + back[u] * unknown == pytest.approx(1.0)
+        for n in range(1, c):
+            t += draw(n) < odds / (odds + n - d * t)
+        return t
+
+    c = Counter((w, klass(u)) for i, t in rows if not held(i) for u, w in steps(t))
+    words = {w for w, _ in c}
+    c_u = Counter()
+    for (_, u), n in c.items():
+        c_u[u] += n
+    ones, twos = (sum(n == k for n in c.values()) for k in (1, 2))
+    d, e, theta, v = min(0.95, max(0.1, ones / max(1, ones + 2 * twos))), P.PARENT_DISCOUNT, P.THETA, len(words)
+    t, s = dict.fromkeys(c, 1), dict.fromkeys(words, 1)
+    samples = []
+    for number in range(P.BURN_IN + P.SAMPLES + 1):
+        if number:
+            t = {(w, u): sit(n, (theta + d * t_u[u]) * p[w], d, draws(w, u, number)) for (w, u), n in c.items()}
+        c_w, t_u = Counter(), Counter()
+        for (w, u), k in t.items():
+            c_w[w] += k
+            t_u[u] += k
+        if number:
+            base = (theta + e * sum(s.values())) / (v + 1)
+            s = {w: sit(c_w[w], base, e, draws(w, P.CONTEXTS, number)) for w in words}
+        whole = theta + sum(c_w.values())
+        rest = (theta + e * sum(s.values())) / whole / (v + 1)
+        p = {w: (c_w[w] - e * s[w]) / whole + rest for w in words}
+        if number > P.BURN_IN:
+            samples.append((t, t_u, p, rest))
+
+    def mean(f):
+        return sum(f(x) for x in samples) / len(samples)
+
+    def chance(u, w):
+        own = mean(lambda x: c[w, u] - d * x[0][w, u]) if (w, u) in c else 0.0
+        back = mean(lambda x: theta + d * x[1][u])
+        return (own + back * mean(lambda x: x[2].get(w, x[3]))) / (theta + c_u[u])
+
+    return {i: sum(math.log10(chance(klass(u), w)) for u, w in steps(t)) for i, t in rows}
+
+
+def some_rows(n, seed=4):
+    rng = np.random.default_rng(seed)
+    vocabulary = [f"w{i}" for i in range(40)]
+    share = 1 / np.arange(1, 41)
+    return [(i, " ".join(rng.choice(vocabulary, rng.integers(0, 40), p=share / share.sum())) + " x" * (i % 4)
+             + (f" only{i}" if i % 5 == 0 else "")) for i in range(n)]
+
+
+def test_scores_against_brute_force_at_any_number_of_partitions(spark, docs):
+    rows = some_rows(25)
+    part, _ = one_part(rows, crc_held)
+    assert part.count.max() <= P.HEAD and part.unigram.max() > P.HEAD / 2      # all drawn one by one
+    want = brute_scores(rows, crc_held)
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (3, 8):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = {r.doc_id: r.score for r in P.score_documents(docs(rows)).collect()}
+            assert got == pytest.approx(want, rel=1e-9)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+
+
+def test_scored_probabilities_sum_to_one():
+    """What the scoring step looks up, over every known word and one unknown
+    word: after frequent, rare and unseen contexts."""
+    part, history = one_part(some_rows(300), lambda i: i % 7 == 2)
+    model = P.Model(part, history)
+    unseen = np.array([P._word(b"never seen")], np.uint64)
+    words = np.concatenate([part.words, unseen])
+    place, known = model.find(words)
+    assert known.sum() == len(part.words) and not known[-1]
+    before = [P._word(w) for w in (b"", b"w0", b"w1", b"w39", b"x", b"only0")] + [int(unseen[0])]
+    for u in before:
+        klass = int(P._context(np.array([u], np.uint64))[0])
+        prob = model.probability(place, known, np.full(len(words), klass))
+        assert (prob > 0).all()
+        assert prob.sum() == pytest.approx(1.0, abs=1e-9)
+
+
+def test_seating_has_the_distribution_of_one_by_one():
+    """Mean and spread of the tables, with most customers beyond the first."""
+    rng = np.random.default_rng(1)
+    n = 3000
+    keys = rng.integers(0, 1 << 63, n).astype(np.uint64)
+    for customers, odds, d in ((30, 2.0, 0.5), (2000, 5.0, 0.3), (2000, 0.05, 0.9), (500, 300.0, 0.5)):
+        got = P.seat(np.full(n, customers), np.full(n, odds), d, keys)
+        t = np.ones(n)
+        for k in range(1, customers):
+            t += rng.random(n) < odds / (odds + k - d * t)
+        error = 4 * math.sqrt(2) * t.std() / math.sqrt(n)
+        assert got.mean() == pytest.approx(t.mean(), abs=error)
+        assert got.std() == pytest.approx(t.std(), rel=0.1)
+    assert (P.seat(np.array([1, 1]), np.array([9.0, 9.0]), 0.9, keys[:2]) == 1).all()
+    # a dish's tables do not depend on its neighbours
+    odds, many = np.full(n, 3.0), rng.integers(1, 1_000_000, n)
+    all_at_once = P.seat(many, odds, 0.4, keys)
+    assert np.array_equal(all_at_once[::7], P.seat(many[::7], odds[::7], 0.4, keys[::7]))
+    assert (all_at_once <= many).all()
+
+
+def test_a_partitions_counts_are_read_back():
+    part, _ = one_part(some_rows(50), lambda i: i % 7 == 2)
+    again = P._unpack_part(P._pack_part(part))
+    assert all(np.array_equal(x, y) for x, y in zip(part, again, strict=True))
+
+
+def test_nothing_is_left_but_the_scores(spark, docs):
+    import os
+    folder = f"{ensure_checkpoint_dir(spark)}/tables".removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    P.score_documents(docs(some_rows(10)))
+    assert [x.split("-")[0] for x in set(os.listdir(folder)) - before] == ["scores"]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tessera_packets")]
 
 
 def test_packets_hold_every_token():
