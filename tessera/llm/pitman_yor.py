@@ -20,8 +20,12 @@ adds up to 1 as well.
 
 A dish's random numbers are hashed from (word, context, sweep), so the seating
 does not depend on partitions. The first ``HEAD`` customers are drawn one by
-one; from there the place of the next new table is drawn at once, from the
-product of the chances that none opens. Both draw from the same distribution.
+one. From there, where few tables are to be expected, the place of the next one
+is drawn at once, from the product of the chances that none opens; where many
+are, blocks of customers are drawn together: with the draws fixed, a customer
+opens a table if there are more tables than a bound of its own, so their number
+is raised until it holds still, which is where one by one would end. All three
+draw from the same distribution.
 
 How it runs:
 
@@ -32,10 +36,10 @@ How it runs:
    partition's packets in one task without another shuffle.
 2. A partition's training counts are written as one row, with its share of the
    restaurant totals: CONTEXTS rows at most, whatever the corpus.
-3. A sweep reads these rows, seats and returns totals only. It repeats the
-   sweeps before it from their totals, so no seating is kept anywhere.
-4. The last step repeats all sweeps, averages, and returns to every packet the
-   sums over its documents; these are added up per packet.
+3. A sweep reads these rows, seats, and writes them again with the customers and
+   tables of the parent restaurant, and its share of the new totals.
+4. The last step repeats all sweeps from their totals, averages, and returns to
+   every packet the sums over its documents; these are added up per packet.
 
 All counts cover all training documents; a partition's words are counted there
 and nowhere else. Words are identified by 64-bit hashes.
@@ -70,6 +74,9 @@ PACK_TOKENS = 600_000
 BURN_IN = 2
 SAMPLES = 4
 HEAD = 64                 # customers of a dish that are drawn one by one
+FEW_TABLES = 16           # new tables are drawn one at a time if fewer are expected,
+CELL_COST = 1e-4          # or fewer than this share of the customers
+CELLS = 1 << 20           # customers of a block
 SEED = 29
 HELD_OUT, HELD_REMAINDER = 7, 2
 
@@ -243,6 +250,25 @@ def _gamma_ratio(y: np.ndarray, odds: np.ndarray) -> np.ndarray:
     return -(y - 0.5) * np.log1p(odds / y) - odds * np.log(z) + odds + tail(y) - tail(z)
 
 
+def _seat_block(present: np.ndarray, last: np.ndarray, tables: np.ndarray, odds: np.ndarray,
+                discount: float, keys: np.ndarray) -> np.ndarray:
+    """Tables after the customers that meet ``present`` to ``last`` - 1 others."""
+    size = last - present
+    start = np.cumsum(size) - size
+    dish = np.repeat(np.arange(len(size)), size)
+    n = np.arange(len(dish)) - (start - present)[dish]
+    o = odds[dish]
+    # u < o / (o + n - discount * t), solved for t
+    bound = (n + o - o / uniform(keys[dish], n)) / discount
+    opens = np.zeros(len(dish), dtype=bool)
+    while True:
+        before = np.cumsum(opens) - opens
+        now = tables[dish] + before - before[start][dish] > bound
+        if np.array_equal(now, opens):
+            return tables + np.add.reduceat(opens.astype(np.int64), start)
+        opens = now
+
+
 def seat(customers: np.ndarray, odds: np.ndarray, discount: float, keys: np.ndarray) -> np.ndarray:
     """Tables after ``customers`` (>= 1) sat down one by one: a new table opens
     with weight ``odds`` against ``n - discount * tables`` for n present."""
@@ -254,6 +280,29 @@ def seat(customers: np.ndarray, odds: np.ndarray, discount: float, keys: np.ndar
         chance = odds[live] / (odds[live] + n - discount * tables[live])
         tables[live] += uniform(keys[live], n) < chance
         live = live[customers[live] > n + 1]
+    expected = odds[live] * np.log((customers[live] + odds[live]) / (HEAD + odds[live]))
+    many = expected > np.maximum(FEW_TABLES, CELL_COST * customers[live])
+    _seat_many(live[many], customers, odds, discount, keys, tables)
+    _seat_few(live[~many], customers, odds, discount, keys, tables)
+    return tables
+
+
+def _seat_many(live: np.ndarray, customers: np.ndarray, odds: np.ndarray, discount: float,
+               keys: np.ndarray, tables: np.ndarray) -> None:
+    present = np.full(len(live), HEAD, dtype=np.int64)
+    while len(live):
+        # the dishes that fit into a block, or a block of the first one
+        some = max(1, int(np.searchsorted(np.cumsum(customers[live] - present), CELLS, "right")))
+        at, begin = live[:some], present[:some]
+        last = np.minimum(customers[at], begin + CELLS)
+        tables[at] = _seat_block(begin, last, tables[at], odds[at], discount, keys[at])
+        present[:some] = last
+        done = some - int(customers[at[-1]] > last[-1])
+        live, present = live[done:], present[done:]
+
+
+def _seat_few(live: np.ndarray, customers: np.ndarray, odds: np.ndarray, discount: float,
+              keys: np.ndarray, tables: np.ndarray) -> None:
     present = np.full(len(live), HEAD, dtype=np.int64)
     while len(live):
         # no table opens up to m customers with chance exp(ratio(m) - ratio(present))
@@ -269,7 +318,6 @@ def seat(customers: np.ndarray, odds: np.ndarray, discount: float, keys: np.ndar
         tables[live] += 1
         going = customers[live] > high
         live, present = live[going], high[going]
-    return tables
 
 
 class Totals(NamedTuple):
@@ -334,12 +382,17 @@ def first_totals(n_tokens: int, vocabulary: int, ones: int, twos: int, customers
     return Totals(n_tokens, vocabulary, discount, customers, types, int(types.sum()), vocabulary)
 
 
+def first_state(part: Part) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What :func:`sweep` returns, before any: one table for every dish."""
+    return (np.ones(len(part.count), dtype=np.int64),
+            np.bincount(part.word, minlength=len(part.words)).astype(np.int64),
+            np.ones(len(part.words), dtype=np.int64))
+
+
 def replay(part: Part, history: Sequence[Totals]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """What :func:`sweep` returns, before the first sweep and after each whose
-    totals before it are in ``history``."""
-    state = (np.ones(len(part.count), dtype=np.int64),
-             np.bincount(part.word, minlength=len(part.words)).astype(np.int64),
-             np.ones(len(part.words), dtype=np.int64))
+    """The states before the first sweep and after each whose totals before it
+    are in ``history``."""
+    state = first_state(part)
     yield state
     for i, totals in enumerate(history):
         _, customers, own = state
@@ -413,40 +466,49 @@ def _unpack_part(raw: bytes) -> Part:
     return Part(words, unigram, np.repeat(np.arange(n), runs), context.astype(np.int64), count)
 
 
-_COUNTED = "part int, context long, x long, y long, data binary"
+_COUNTED = pa.schema([("context", pa.int64()), ("x", pa.int64()), ("y", pa.int64()),
+                      ("data", pa.binary()), ("parent", pa.binary())])
+_COUNTED_SQL = "context long, x long, y long, data binary, parent binary"
+
+
+def _counted(data: bytes, customers: np.ndarray, own: np.ndarray, context: list[int], x: list[int],
+             y: list[int]) -> pa.RecordBatch:
+    """A partition's counts and parent restaurant as one row, then totals."""
+    empty = [None] * len(context)
+    parent = customers.astype("<i8").tobytes() + own.astype("<i8").tobytes()
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, kind) for column, kind in
+         zip(([None, *context], [None, *x], [None, *y], [data, *empty], [parent, *empty]), _COUNTED.types,
+             strict=True)], schema=_COUNTED)
 
 
 def _count_rows(part: int, group: pa.Table) -> pa.Table:
-    """A partition's counts as one row; per context class its customers and types;
+    """First step; the totals are per context class its customers and types, and
     as classes -1 and -2 the sums V, N and types seen once and twice."""
     p = count_part(_opened(group.column("data")))
-    at = np.flatnonzero(np.bincount(p.context, minlength=CONTEXTS))
-    customers = np.bincount(p.context, weights=p.count, minlength=CONTEXTS)[at].astype(np.int64)
-    types = np.bincount(p.context, minlength=CONTEXTS)[at]
-    head = [[None, None, None], [-1, len(p.words), int(p.unigram.sum())],
-            [-2, int((p.count == 1).sum()), int((p.count == 2).sum())]]
-    n = len(head) + len(at)
-    return pa.table({"part": pa.array([part] * n, pa.int32()),
-                     "context": pa.array([h[0] for h in head] + at.tolist(), pa.int64()),
-                     "x": pa.array([h[1] for h in head] + customers.tolist(), pa.int64()),
-                     "y": pa.array([h[2] for h in head] + types.tolist(), pa.int64()),
-                     "data": pa.array([_pack_part(p)] + [None] * (n - 1), pa.binary())})
-
-
-def _sweep_rows(history: Sequence[Totals]):
-    """The sweep after ``history``: the tables of each class, as class -1 those
-    of the parent restaurant."""
+    _, customers, own = first_state(p)
+    types = np.bincount(p.context, minlength=CONTEXTS)
+    at = np.flatnonzero(types)
+    tokens_of = np.bincount(p.context, weights=p.count, minlength=CONTEXTS)[at].astype(np.int64)
+    return pa.Table.from_batches([_counted(
+        _pack_part(p), customers, own, [-1, -2, *at.tolist()],
+        [len(p.words), int((p.count == 1).sum()), *tokens_of.tolist()],
+        [int(p.unigram.sum()), int((p.count == 2).sum()), *types[at].tolist()])])
+
+
+def _sweep_rows(totals: Totals, number: int):
+    """Sweep ``number``; the totals are the tables of each class, and as class -1
+    those of the parent restaurant."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for raw in b.column(0):
-                p = _unpack_part(raw.as_py())
-                for tables, _, own in replay(p, history):      # to the last
-                    pass
+            for data, parent in zip(b.column(0), b.column(1), strict=True):
+                p = _unpack_part(data.as_py())
+                customers, own = np.frombuffer(parent.as_py(), "<i8").reshape(2, -1)
+                tables, customers, own = sweep(p, parent_probability(customers, own, totals), totals, number)
                 by = np.bincount(p.context, weights=tables, minlength=CONTEXTS).astype(np.int64)
                 at = np.flatnonzero(by)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([-1, *at.tolist()], pa.int64()), pa.array([int(own.sum()), *by[at].tolist()], pa.int64()),
-                     pa.array([0] * (len(at) + 1), pa.int64())], names=["context", "x", "y"])
+                yield _counted(data.as_py(), customers, own, [-1, *at.tolist()],
+                               [int(own.sum()), *by[at].tolist()], [0] * (len(at) + 1))
     return run
 
 
@@ -525,7 +587,7 @@ def _scored(packed: DataFrame) -> DataFrame:
         return words.groupBy("part").applyInArrow(
             lambda key, group: fn(key[0].as_py(), group), schema)
 
-    counted, path = write_table(per_part(_count_rows, _COUNTED), "counts")
+    counted, path = write_table(per_part(_count_rows, _COUNTED_SQL), "counts")
     found = _sums(counted.where("context is not null"))
     vocabulary, n_tokens = found.pop(-1, (0, 0))
     ones, twos = found.pop(-2, (0, 0))
@@ -533,9 +595,12 @@ def _scored(packed: DataFrame) -> DataFrame:
     for c, (x, y) in found.items():
         customers[c], types[c] = x, y
     history = [first_totals(n_tokens, vocabulary, ones, twos, customers, types)]
-    parts = counted.where("context is null").select("data")
-    for _ in range(BURN_IN + SAMPLES):
-        found = _sums(parts.mapInArrow(_sweep_rows(tuple(history)), "context long, x long, y long"))
+    for number in range(1, BURN_IN + SAMPLES + 1):
+        parts = counted.where("context is null").select("data", "parent")
+        counted, new = write_table(parts.mapInArrow(_sweep_rows(history[-1], number), _COUNTED_SQL), "counts")
+        drop_table(packed.sparkSession, path)
+        path = new
+        found = _sums(counted.where("context is not null"))
         parent_tables = found.pop(-1, (0, 0))[0]
         tables = np.zeros(CONTEXTS, dtype=np.int64)
         for c, (x, _) in found.items():

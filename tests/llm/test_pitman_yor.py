@@ -164,12 +164,13 @@ def test_scored_probabilities_sum_to_one():
         assert prob.sum() == pytest.approx(1.0, abs=1e-9)
 
 
-def test_seating_has_the_distribution_of_one_by_one():
+def test_seating_has_the_distribution_of_one_by_one(monkeypatch):
     """Mean and spread of the tables, with most customers beyond the first."""
     rng = np.random.default_rng(1)
     n = 3000
     keys = rng.integers(0, 1 << 63, n).astype(np.uint64)
-    for customers, odds, d in ((30, 2.0, 0.5), (2000, 5.0, 0.3), (2000, 0.05, 0.9), (500, 300.0, 0.5)):
+    for customers, odds, d in ((30, 2.0, 0.5), (2000, 5.0, 0.3), (2000, 0.05, 0.9), (500, 300.0, 0.5),
+                               (2000, 3.0, 0.9), (2000, 40.0, 0.9)):
         got = P.seat(np.full(n, customers), np.full(n, odds), d, keys)
         t = np.ones(n)
         for k in range(1, customers):
@@ -178,8 +179,16 @@ def test_seating_has_the_distribution_of_one_by_one():
         assert got.mean() == pytest.approx(t.mean(), abs=error)
         assert got.std() == pytest.approx(t.std(), rel=0.1)
     assert (P.seat(np.array([1, 1]), np.array([9.0, 9.0]), 0.9, keys[:2]) == 1).all()
+    # blocks end where the same draws end one by one, however they are cut
+    for cells in (1 << 20, 700):
+        monkeypatch.setattr(P, "CELLS", cells)
+        got = P.seat(np.full(5, 1500), np.full(5, 40.0), 0.9, keys[:5])
+        t = np.ones(5, dtype=int)
+        for k in range(1, 1500):
+            t += P.uniform(keys[:5], k) < 40 / (40 + k - 0.9 * t)
+        assert np.array_equal(got, t)
     # a dish's tables do not depend on its neighbours
-    odds, many = np.full(n, 3.0), rng.integers(1, 1_000_000, n)
+    odds, many = np.tile([0.5, 3.0, 9.0], n // 3), rng.integers(1, 20_000, n)
     all_at_once = P.seat(many, odds, 0.4, keys)
     assert np.array_equal(all_at_once[::7], P.seat(many[::7], odds[::7], 0.4, keys[::7]))
     assert (all_at_once <= many).all()
