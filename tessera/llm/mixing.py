@@ -229,7 +229,35 @@ def _open() -> Column:
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES,
         seed: int = SEED, leaves: int = LEAVES, fan_in: int = FAN_IN) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, copies`` of every row.
+    """``doc_id, size, source_size, target, taken, copies`` of every row."""
+    return _mixed(docs, weights, max_copies, seed, leaves, fan_in).drop("h", "source")
+
+
+def mixed_texts(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES,
+                seed: int = SEED, leaves: int = LEAVES, fan_in: int = FAN_IN) -> DataFrame:
+    """The rows of ``docs`` that the mixture takes, with ``copies`` (instead of a column
+    of that name, if any). Rows equal in id, source and text are one row here, with
+    the copies of all of them. The texts are shuffled once, by the rows' hash, unless
+    the table of copies is small."""
+    mixed = _mixed(docs, weights, max_copies, seed, leaves, fan_in)
+    copies = (mixed.groupBy("h", "doc_id", "source").agg(F.sum("copies").alias("n")).where(F.col("n") > 0)
+              .select(F.col("h").alias("__h"), F.col("doc_id").alias("__doc_id"), F.col("source").alias("__source"),
+                      F.col("n").alias("__copies")))
+    columns = [c for c in docs.columns if c != "copies"]
+    return (docs.withColumn("__key", row_hash(seed))
+            .join(copies, (F.col("__key") == F.col("__h")) & F.col("doc_id").eqNullSafe(F.col("__doc_id"))
+                  & F.col("source").eqNullSafe(F.col("__source")))
+            .dropDuplicates(["__key", "doc_id", "source"])
+            .select(*columns, F.col("__copies").alias("copies")))
+
+
+def row_hash(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), F.col("text"))
+
+
+def _mixed(docs: DataFrame, weights: tuple[int, ...], max_copies: int, seed: int, leaves: int,
+           fan_in: int) -> DataFrame:
+    """:func:`mix` with the rows' ``h, source``.
 
     Texts are only counted where they are read; what is shuffled are ids,
     sizes and hashes. A document that is undecided at a leaf appears again at
@@ -237,14 +265,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = M
     with owned_tables(docs.sparkSession) as keep:
         sized = materialize(docs.select(
             "doc_id", "source", word_count(F.col("text")).alias("size"),
-            F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), F.col("text")).alias("h")), "sizes")
+            row_hash(seed).alias("h")), "sizes")
         targets = materialize(source_targets(sized, weights, max_copies), "targets")
         share = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
         whole = F.floor(share + EPS)
         rows = (
             sized.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
             .select(F.xxhash64(F.col("source").isNull(), F.col("source")).alias("key"),
-                    "doc_id", "h", "size", "source_size", "target", whole.alias("whole"),
+                    "doc_id", "source", "h", "size", "source_size", "target", whole.alias("whole"),
                     F.greatest(F.lit(0.0), share - whole).alias("x"),
                     F.floor(F.log2(F.greatest("size", F.lit(1)))).cast("int").alias("class")))
         classes = materialize(rows.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
@@ -254,7 +282,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = M
             rows.join(classes, (F.col("key") == F.col("k")) & (F.col("class") == F.col("c")))
             .withColumn("spare", _open() & (drawn * F.col("n") < F.lit(RESERVE))).drop("k", "c", "n", "class"), "rows")
         leaf = F.xxhash64(F.col("key"), F.pmod(F.xxhash64("h", F.lit(1)), F.lit(leaves)))
-        columns = ["h", "size", "x", "spare", "key", "doc_id", "source_size", "target", "whole"]
+        columns = ["h", "size", "x", "spare", "key", "doc_id", "source", "source_size", "target", "whole"]
         done = []
         live = rows.where(~F.col("spare"))
         levels = ceil(log(leaves) / log(fan_in)) if leaves > 1 else 0
@@ -274,5 +302,5 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = M
         for d in done[1:]:
             out = out.unionByName(d)
         copies = F.col("whole") + F.round("x").cast("long")
-        return keep(out.select("doc_id", "size", "source_size", "target",
+        return keep(out.select("h", "source", "doc_id", "size", "source_size", "target",
                                (copies * F.col("size")).alias("taken"), copies.alias("copies")), "mixture")

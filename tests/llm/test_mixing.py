@@ -128,3 +128,19 @@ def test_nulls_repeats_and_empty_table(docs):
     assert len(out) == 6 and all(0 <= r.taken <= 3 * r.size for r in out)
     assert mixing.mix(docs([])).count() == 0
     assert mixing.mix(docs([(1, "", "a")])).collect()[0].taken == 0
+
+
+def test_texts_of_the_mixture(spark):
+    rows = [(1, "a b", "s", "x", 7), (1, "a b", "s", "x", 8), (None, "c", None, "y", None), (None, None, "c", "y", None),
+            (2, "", "t", "z", 1), (3, "w " * 5000, "t", "z", 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, size string, copies long")
+    mixed = mixing.mix(frame).collect()
+    got = mixing.mixed_texts(frame)
+    assert got.columns == ["doc_id", "text", "source", "size", "copies"]
+    copies = {}
+    for r in mixed:
+        copies[r.doc_id, r.size] = copies.get((r.doc_id, r.size), 0) + r.copies
+    out = got.collect()
+    assert {(r.doc_id, len((r.text or "").split())): r.copies for r in out} == {k: n for k, n in copies.items() if n}
+    assert {(r.text, r.source) for r in out} <= {(t, s) for _, t, s, _, _ in rows}
+    assert mixing.mixed_texts(frame.where("false")).count() == 0

@@ -1,3 +1,5 @@
+import pathlib
+
 import duckdb
 
 import corpus_pipeline
@@ -8,6 +10,7 @@ from llm.test_simhash import brute_components, brute_fingerprint
 from tessera.llm import pii
 from tessera.llm.catalog import ORACLE_SQL
 from tessera.llm.common import table
+from tessera.session import ensure_checkpoint_dir
 
 
 def test_stages():
@@ -63,3 +66,23 @@ def test_stages_keep_columns_and_bear_odd_rows(spark):
             assert set(texts) in ({1, 4, 5}, {1, 4, 5, None}) and texts[4].startswith("mail me at [EMAIL] ")
         mixed = corpus_pipeline.STAGES[-1][1](spark, kept, SF)
         assert mixed.count() == len(texts)
+
+
+def test_the_corpus_holds_the_masked_texts_of_the_run(spark, tmp_path):
+    taken = {r.doc_id: r.copies for r in corpus_pipeline.run(spark, SF).collect() if r.copies}
+    path = str(tmp_path / "corpus")
+    out = corpus_pipeline.write_corpus(spark, SF, path)
+    source = table(spark, SF, "documents")
+    assert out.columns == [*source.columns, "copies"]
+    texts = {r.doc_id: r.text for r in source.collect()}
+    rows = out.collect()
+    assert {r.doc_id: r.copies for r in rows} == taken and len(rows) == len(taken)
+    assert all(r.text == pii.mask_text(texts[r.doc_id]) for r in rows)
+
+
+def test_a_run_leaves_only_its_result(spark):
+    folder = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "tables"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    out = corpus_pipeline.run(spark, SF)
+    left = set(folder.iterdir()) - before
+    assert [p.name.rsplit("-", 1)[0] for p in left] == ["pipeline"] and out.count() > 0
