@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontaminate, host_rules, mixing, pii, simhash
 from tessera.llm.common import table
-from tessera.session import materialize
+from tessera.session import materialize, owned_tables
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,11 +55,25 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the ``documents`` of ``sf_dir``."""
+def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``documents`` of ``sf_dir`` after all stages but the last."""
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = materialize(docs, f"stage-{name}")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the ``documents`` of ``sf_dir``. The stages' tables are
+    deleted at the end; :func:`write_corpus` writes the texts."""
+    with owned_tables(spark) as keep:
+        return keep(STAGES[-1][1](spark, _cleaned(spark, sf_dir), sf_dir), "pipeline")
+
+
+def write_corpus(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Write the corpus to the Parquet folder ``path``, which must not exist: the rows of
+    ``documents`` that :func:`run` takes, their personal data masked, with ``copies``."""
+    with owned_tables(spark):
+        corpus = mixing.mixed_texts(_cleaned(spark, sf_dir))
+        corpus.write.mode("errorifexists").parquet(path)
+        return spark.read.schema(corpus.schema).parquet(path)
