@@ -2,6 +2,7 @@ import random
 from fractions import Fraction
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -212,3 +213,38 @@ def test_repeated_rid_fails(sets, job):
     x, y = [f"x{i}" for i in range(10)], [f"y{i}" for i in range(10)]
     with pytest.raises(Exception, match="repeated rid"):
         job(sets([(1, x), (1, y), (2, y[:9] + ["z"])])).collect()
+
+
+@pytest.mark.parametrize("t", [0.4, 1.0])
+def test_classes_say_every_pair_without_repeating_copies(sets, t):
+    # 60 copies, near ones of them, and a class of its own
+    records = ([(rid, [1, 2, 3, 4, 5]) for rid in range(60)] + [(rid, [9, 8, 7]) for rid in (70, 71)]
+               + [(80, [1, 2, 3, 4]), (81, [4, 3, 2, 1, 1]), (82, [7, 8, 9, 10]), (83, [42])])
+    rows = [tuple(r) for r in setsim.set_similarity_classes(sets(records), t).collect()]
+    assert len(rows) < 70                                    # the join has over 1,770
+    rep = {b: a for a, b, sim in rows if sim == 1.0}
+    linked = {(a, b): sim for a, b, sim in rows if sim < 1.0}
+    assert not set(rep.values()) & set(rep) and not any(x in rep for p in linked for x in p)
+    every = []
+    for i, (a, _) in enumerate(sorted(records)):
+        for b, _ in sorted(records)[i + 1:]:
+            x, y = sorted((rep.get(a, a), rep.get(b, b)))
+            if x == y or (x, y) in linked:
+                every.append((a, b, linked.get((x, y), 1.0)))
+    assert every == brute(records, t)
+
+
+def test_parities_never_differ_more_than_the_sets():
+    rnd = random.Random(4)
+    for _ in range(200):
+        x = [rnd.getrandbits(32) - 2 ** 31 for _ in range(rnd.randint(1, 300))]
+        y = rnd.sample(x, rnd.randint(0, len(x))) + [rnd.getrandbits(32) - 2 ** 31 for _ in range(rnd.randint(1, 200))]
+        batch = pa.RecordBatch.from_pydict({
+            "rid": pa.array([1, 2]), "n": pa.array([len(x), len(y)], pa.int32()),
+            "h": pa.array([x, y], pa.list_(pa.int32()))})
+        (got,) = setsim._parities(iter([batch]))
+        a, b = got.column("wide").to_pylist()
+        assert setsim.parity_differences(a, b) == setsim.parity_differences(b, a) <= len(set(x) ^ set(y))
+        assert setsim.parity_differences(a, a) == 0
+        if not set(x) & set(y) and min(len(x), len(y)) > 50:
+            assert setsim.parity_differences(a, b) > (len(x) + len(y)) / 3
