@@ -248,3 +248,19 @@ def test_parities_never_differ_more_than_the_sets():
         assert setsim.parity_differences(a, a) == 0
         if not set(x) & set(y) and min(len(x), len(y)) > 50:
             assert setsim.parity_differences(a, b) > (len(x) + len(y)) / 3
+
+
+@pytest.mark.parametrize("hot", [0, 4, 500_000])
+def test_join_needs_no_frequency_join_and_any_order_is_lossless(sets, monkeypatch, hot):
+    def no(*_):
+        raise AssertionError("token rows are joined with their frequencies")
+    monkeypatch.setattr(setsim, "_frequency_join", no)
+    monkeypatch.setattr(setsim, "HOT_TOKENS", hot)
+    rnd = random.Random(21)
+    records = [(i, [rnd.randrange(12) for _ in range(rnd.randint(1, 6))]) for i in range(40)]
+    # beyond the 128 bits of the bitmap
+    long = [rnd.randrange(5000) for _ in range(150)]
+    records += [(100 + i, long[i * 12:] + [6000 + i]) for i in range(8)]
+    expected = brute(records, 0.5)
+    assert len(expected) > 30
+    assert pairs(set_similarity_join(sets(records), 0.5)) == expected
