@@ -2,6 +2,7 @@ import random
 from fractions import Fraction
 from itertools import combinations
 
+import duckdb
 import pyarrow as pa
 import pytest
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import setsim
 from tessera import order_tokens, prefix_index, set_similarity_join, token_frequency
+from tessera.plans.catalog import ORACLE_SQL, QUERIES
 
 T = [(0, [1, 4, 5, 6]), (1, [2, 3, 6]), (2, [4, 5, 6]), (3, [1, 4, 6]), (4, [2, 5, 6]),
      (5, [3, 5])]
@@ -264,3 +266,16 @@ def test_join_needs_no_frequency_join_and_any_order_is_lossless(sets, monkeypatc
     expected = brute(records, 0.5)
     assert len(expected) > 30
     assert pairs(set_similarity_join(sets(records), 0.5)) == expected
+
+
+def test_the_docs_query_lists_every_pair_of_copies(spark, tmp_path):
+    # five copies (one with its words in another order), two near ones, a copy of one of these
+    texts = {1: "a b c d e f", 2: "f e d c b a a", 3: "a b c d e f", 4: "a b c d e f", 9: "a b c d e f",
+             5: "a b c d e x", 6: "a b c d e y", 7: "a b c d e y", 8: "other words", 10: ""}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = brute([(rid, t.split()) for rid, t in texts.items()], 0.5)
+    assert len(want) == 28                       # all pairs of eight documents
+    assert sorted(pairs(QUERIES["set_similarity_join_docs"](spark, str(tmp_path)))) == sorted(want)
+    assert sorted(con.execute(ORACLE_SQL["set_similarity_join_docs"]).fetchall()) == sorted(want)
