@@ -161,3 +161,33 @@ def test_a_long_run_without_replies_is_cut_into_rows(monkeypatch):
     assert e.text == piece * 50 and e.last and e.target is None
     (got,) = chat.read_back(iter(turns))
     assert got["n_turns"] == 50 and got["formatted_chars"] == 50 * len(piece) and got["loss_chars"] == 0
+
+
+def test_digests_read_every_example_written_out_whole(spark, monkeypatch):
+    rows = [(c, t, "assistant" if t % 2 else "user", f"text {t}") for c in (1, 2) for t in range(7)]
+    (plain, _) = chat.digests(conversations(spark, rows)).collect()
+    # a change in the prefix of the examples as they are written is read by the query
+    write = chat.examples
+
+    def marked(found):
+        for e in write(found):
+            yield e._replace(text=e.text.replace("text 0", "text zero"), loss_start=e.loss_start + 3, loss_end=e.loss_end + 3)
+
+    monkeypatch.setattr(chat, "examples", marked)
+    (got, _) = chat.digests(conversations(spark, rows)).collect()
+    turns = "".join(f"{r}\n{t}\n" for _, _, r, t in rows[:7])
+    assert plain.turns_sha256 == hashlib.sha256(turns.encode()).hexdigest()
+    assert got.turns_sha256 == hashlib.sha256(turns.replace("text 0", "text zero").encode()).hexdigest()
+    assert got.formatted_chars == plain.formatted_chars + 4 * 3 and got.loss_sha256 == plain.loss_sha256
+
+
+def test_written_examples_read_as_what_they_add():
+    turns, n = [], 4_000
+    for i in range(n):
+        head, body = f"{chat.START}{'assistant' if i % 2 else 'user'}\n", f"{i} é🙂" * (i % 5)
+        begin = turns[-1].begin + len(turns[-1].piece) if turns else 0
+        at = (begin + len(head), begin + len(head) + len(body)) if i % 2 else (None, None)
+        turns.append(chat.Turn(1, f"{head}{body}{chat.END}\n", begin, *at, i == n - 1))
+    (whole,) = chat.read_written(chat.examples(chat.targets(iter(turns))))
+    assert whole == next(chat.read_back(iter(turns))) and whole["n_turns"] == n
+    assert whole["formatted_chars"] == sum(t.begin + len(t.piece) for t in turns[1::2])
