@@ -3,7 +3,9 @@ from fractions import Fraction
 from itertools import combinations
 
 import duckdb
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from pyspark.sql import functions as F
@@ -279,3 +281,66 @@ def test_the_docs_query_lists_every_pair_of_copies(spark, tmp_path):
     assert len(want) == 28                       # all pairs of eight documents
     assert sorted(pairs(QUERIES["set_similarity_join_docs"](spark, str(tmp_path)))) == sorted(want)
     assert sorted(con.execute(ORACLE_SQL["set_similarity_join_docs"]).fetchall()) == sorted(want)
+
+
+def packets(records, t, tokens=(), blocks=(), parts=1):
+    """What _packets deals of ``rid, hashes`` records, and what _joined finds there, by part."""
+    class Hot:
+        value = (np.empty(0, np.int32), np.empty(0, np.int64))
+
+    batch = pa.RecordBatch.from_pydict({
+        "rid": pa.array([r for r, _ in records]), "n": pa.array([len(h) for _, h in records], pa.int32()),
+        **{f"bits{j}": pa.nulls(len(records), pa.int64()) for j in range(setsim.BITMAP_LONGS)},
+        "h": pa.array([h for _, h in records], pa.list_(pa.int32()))})
+    prefix = setsim._prefixes(Hot, t)(iter([batch]))
+    dealt = pa.Table.from_batches(setsim._packets(np.array(tokens, np.int32), np.array(blocks, np.int64), parts)(prefix))
+    out = []
+    for part in range(parts):
+        mine = dealt.filter(pc.equal(dealt["part"], part)).drop_columns("part").to_batches()
+        out.append([(x, y) for b in setsim._joined(t)(iter(mine)) for x, y in zip(*(c.to_pylist() for c in b.columns))])
+    return dealt, out
+
+
+def test_a_pair_leaves_a_task_once_and_chance_pairs_not_at_all():
+    rnd = random.Random(12)
+    base = [rnd.getrandbits(31) for _ in range(300)]
+    records = [(rid, base[rid * 3:] + [rnd.getrandbits(31) for _ in range(3 * rid)]) for rid in range(10)]
+    # long records (beyond 128 bits) that have ten tokens of their prefix in common by chance
+    few = sorted(base)[:10]
+    records += [(100 + i, few + [rnd.getrandbits(31) for _ in range(290)]) for i in range(20)]
+    want = {(a, b) for (a, x), (b, y) in combinations(records, 2) if len({*x} & {*y}) >= 0.5 * len({*x} | {*y})}
+    dealt, (found,) = packets(records, 0.5)
+    assert dealt.num_rows == len(records)        # a record once, not once for each token
+    assert len(found) == len(set(found)) and {tuple(sorted(p)) for p in found} == want and len(want) == 45
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_blocks_of_a_hot_token_meet(parts):
+    records = [(rid, [7, 1000 + rid, 2000 + rid]) for rid in range(60)]
+    every = {p for p in combinations(range(60), 2)}
+    for tokens, blocks in (((), ()), ((7,), (4,))):
+        dealt, found = packets(records, 0.2, tokens, blocks, parts)
+        assert {tuple(sorted(p)) for f in found for p in f} == every
+    if parts > 1:        # no part has all records and their pairs
+        assert max(map(len, found)) < len(every)
+
+
+def test_parities_of_many_pairs_are_those_of_each():
+    rnd = random.Random(5)
+    wide = [rnd.randbytes(8 << rnd.randrange(5)) for _ in range(40)]
+    a, b = np.divmod(np.arange(1600), 40)
+    got = setsim._Parities(pa.array(wide)).differences(a, b)
+    assert got.tolist() == [setsim.parity_differences(wide[i], wide[j]) for i, j in zip(a, b)]
+
+
+def test_verification_counts_token_strings():
+    toks = {1: ["a", "bc", None, ""], 2: ["ab", "c", None, ""], 3: ["a", "bc", "é🙂"], 4: ["x" * 5000]}
+    batch = pa.RecordBatch.from_pydict({"rid": list(toks), "toks": pa.array(list(toks.values()), pa.list_(pa.string()))})
+    packed = pa.Table.from_batches(setsim._packed(iter([batch]))).column("packed").to_pylist()
+    every = list(combinations(toks, 2))
+    rows = pa.RecordBatch.from_pydict({
+        "rid_a": list(toks) + [a for a, _ in every], "rid_b": pa.array([None] * 4 + [b for _, b in every]),
+        "packed": pa.array(packed + [None] * len(every), pa.binary())})
+    (got,) = setsim._verified(0.1)(iter([rows]))
+    want = {(a, b): len({*x} & {*y}) / len({*x} | {*y}) for (a, x), (b, y) in combinations(toks.items(), 2)}
+    assert {tuple(r.values()) for r in got.to_pylist()} == {(*p, s) for p, s in want.items() if s >= 0.1}
